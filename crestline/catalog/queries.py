@@ -14,7 +14,7 @@ from crestline.operators.upsert import missing_ids, patch, upsert
 from crestline.plans import (
     findings, ingest, metrics, predictions, reads, reports, scores, scoring, series, training, trends,
 )
-from crestline.session import scratch_path
+from crestline.session import pin, scratch_path
 from crestline.sources import payloads as raw
 from crestline.sources import sinks
 from crestline.sources.testbed import AS_OF, NOW, Testbed
@@ -199,7 +199,7 @@ def score_trend(t):
 
 @query
 def score_examples(t):
-    return scores.score_examples(sequence(t), t.movies)
+    return scores.score_examples(t.scores, t.items, t.movies, AS_OF)
 
 
 # --- findings and predictions -----------------------------------------------------
@@ -249,7 +249,7 @@ def findings_all(t):
 
 @query
 def finding_series(t):
-    return findings.finding_series(_findings(t), t.snapshots, t.items, AS_OF, sequence(t))
+    return findings.finding_series(pin(_findings(t)), t.snapshots, t.items, AS_OF, sequence(t))
 
 
 @query
@@ -261,7 +261,8 @@ def predictions_open(t):
 
 @query
 def predictions_recorded(t):
-    return predictions.new_predictions(t.predictions, _findings(t, top=None), AS_OF, now())
+    log = t.predictions.filter("predicted_at = date'2024-01-23'")  # the last logged day
+    return predictions.new_predictions(log, _findings(t, top=None), AS_OF, now())
 
 
 @query
@@ -666,8 +667,9 @@ def transcript_methods(t):
 def daily_counters_stream(t):
     """Event counts kept by the stream, read back from its table."""
     base = scratch_path(t.spark, "events")
+    # a file stream wants a folder or a pattern
     stream.ingest_events(
-        t.spark, f"{t.root}/events.parquet", f"{base}/table", f"{base}/state"
+        t.spark, f"{t.root}/event[s].parquet", f"{base}/table", f"{base}/state"
     ).awaitTermination()
     return t.spark.read.schema("item_id string, views bigint, likes bigint, comments bigint, day date").parquet(
         f"{base}/table"

@@ -26,7 +26,7 @@ def exact_median(
         *keys, F.col(value).cast("double").alias("_v")
     )
     bracket = present.groupBy(*keys).agg(
-        F.percentile_approx("_v", [F.lit(p) for p in _BRACKET], F.lit(_ACCURACY)).alias("_b")
+        F.percentile_approx("_v", list(_BRACKET), _ACCURACY).alias("_b")
     )
     joined = present.join(F.broadcast(bracket), list(keys))
     side = F.when(F.col("_v") < F.col("_b")[0], -1).when(F.col("_v") > F.col("_b")[1], 1).otherwise(0)

@@ -37,29 +37,39 @@ def group_ordinal(
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "ordinal",
+    size: str = "group_size",
     hot_rows: int = HOT_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its group, for groups of any size.
+    """1-based position of each row in its group and the group's size, for groups of any size.
 
     ``order`` must be a total order within a group. Group sizes are counted
-    first; only groups above ``hot_rows`` take the spread-out path.
+    first; only groups above ``hot_rows`` take the spread-out path. ``bound`` may
+    give an upper bound on group sizes (some of the keys and ``_n``) where that is
+    cheaper to count than ``df`` itself.
     """
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    plain = F.row_number().over(w).cast("bigint")
+    sizes = bound if bound is not None else df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    by = [c for c in sizes.columns if c != "_n"]
+    # at most (counted rows / hot_rows) keys, so the key list stays small enough to broadcast
+    hot = sizes.filter(F.col("_n") > hot_rows).select(*by)
+    group = Window.partitionBy(*keys)
+
+    def placed(rows: DataFrame) -> DataFrame:  # every group fits one task
+        return rows.select(
+            "*",
+            F.row_number().over(group.orderBy(*order)).cast("bigint").alias(name),
+            F.count("*").over(group).alias(size),
+        )
+
     if hot.isEmpty():
-        return df.withColumn(name, plain)
-    if not keys:
-        return _spread_ordinal(df, keys, order, name)
-    # at most (rows of df / hot_rows) keys, so the key list stays small enough to broadcast
-    hot_keys = F.broadcast(hot.select(*keys))
-    cold = df.join(hot_keys, list(keys), "left_anti").withColumn(name, plain)
-    spread = _spread_ordinal(df.join(hot_keys, list(keys), "left_semi"), keys, order, name)
+        return placed(df)
+    cold = placed(df.join(F.broadcast(hot), by, "left_anti"))
+    spread = _spread_ordinal(df.join(F.broadcast(hot), by, "left_semi"), keys, order, name, size)
     return cold.unionByName(spread)
 
 
 def _spread_ordinal(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, size: str
 ) -> DataFrame:
     """Range-sort everything, then add up the sizes of the preceding ranges.
 
@@ -79,12 +89,13 @@ def _spread_ordinal(
     # one row per (group, range): a group spans at most the number of ranges
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.select(
-        *part_keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        *part_keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias(size),
     )
     return (
         sorted_rows.join(offsets, part_keys)
         .withColumn(name, F.col("_pos") - F.col("_first") + 1 + F.col("_offset"))
-        .drop("_pos", "_part", "_first", "_offset")
+        .select(*df.columns, name, size)
     )
 
 

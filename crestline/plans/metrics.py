@@ -106,12 +106,13 @@ def score_sequence(scores: DataFrame, items: DataFrame, as_of: date | str) -> Da
         (F.col("scored_date") >= days_before(as_of, COUNTER_FLOOR_DAYS)) & F.col("excitement").isNotNull()
     ).select("item_id", "excitement", "model_version", "scored_date")
     links = movie_links(items).select("item_id", "movie_id", "published_at")
-    rows = kept.join(links, "item_id")
     placed = group_ordinal(
-        rows, ["movie_id", "model_version"], ["published_at", "item_id"], "item_ordinal"
+        kept.join(links, "item_id"), ["movie_id", "model_version"], ["published_at", "item_id"],
+        "item_ordinal", "n_items",
+        # an item has one score per version, so a movie's items bound its sequences
+        bound=links.groupBy("movie_id").agg(F.count("*").alias("_n")),
     )
-    counts = rows.groupBy("movie_id", "model_version").agg(F.count("*").alias("n_items"))
-    return placed.join(counts, ["movie_id", "model_version"]).select(
+    return placed.select(
         "movie_id", "item_id", "excitement", "model_version", "scored_date", "published_at",
         "item_ordinal", "n_items",
     )

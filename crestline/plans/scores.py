@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crestline.operators.rollup import banded_rollup
+from crestline.plans.metrics import current_sequence
+from crestline.session import pin
 
 # A change within two points counts as steady; bucket edges by scored items.
 STEADY_POINTS = 2.0
@@ -89,10 +92,17 @@ def example_movies(sequence: DataFrame, want: int = EXAMPLES) -> DataFrame:
     )
 
 
-def score_examples(sequence: DataFrame, movies: DataFrame, want: int = EXAMPLES) -> DataFrame:
-    """Item rows of the example movies with each movie's trend beside them."""
-    chosen = F.broadcast(example_movies(sequence, want).select("movie_id"))  # ``want`` rows
-    own = sequence.join(chosen, "movie_id", "left_semi")
+def score_examples(
+    scores: DataFrame, items: DataFrame, movies: DataFrame, as_of: date | str,
+    version: str | None = None, want: int = EXAMPLES,
+) -> DataFrame:
+    """Item rows of the example movies with each movie's trend beside them.
+
+    The choice needs counts only; the sequence is built for the chosen movies.
+    """
+    sequence = current_sequence(scores, items, as_of, version)
+    chosen = F.broadcast(pin(example_movies(sequence, want).select("movie_id")))  # ``want`` rows
+    own = current_sequence(scores, items.join(chosen, "movie_id", "left_semi"), as_of, version)
     trend = F.broadcast(score_trend(own))  # one row per chosen movie
     titles = F.broadcast(movies.select("movie_id", "title").join(chosen, "movie_id", "left_semi"))
     return (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crestline.operators.asof import next_event
 from crestline.plans.metrics import movie_days, movie_links
+from crestline.session import pin
 
 # Candidate and pairing thresholds.
 WINDOW_DAYS = 120
@@ -115,9 +116,11 @@ def view_timeseries(
     min_peak: int = MIN_PEAK_VIEWS, min_days: int = MIN_DAYS,
 ) -> DataFrame:
     """The pair's curves as rows, with a mark on launch days."""
-    pair = pick_pair(view_candidates(stats, items, movies, as_of, min_peak, min_days))
+    # two rows that several branches need: settle them once
+    pair = pin(pick_pair(view_candidates(stats, items, movies, as_of, min_peak, min_days)))
     series = view_series(stats, items, as_of, pair)
-    marks = launch_days(series, items).withColumn("launch", F.lit(True))
+    own = items.join(F.broadcast(pair.select("movie_id")), "movie_id", "left_semi")
+    marks = launch_days(series, own).withColumn("launch", F.lit(True))
     # two curves of at most a window's days each
     return (
         series.join(marks, ["movie_id", "day"], "left")

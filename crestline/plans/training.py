@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crestline.operators.medians import exact_median
@@ -195,7 +195,7 @@ def acceptance_gate(scored: DataFrame) -> DataFrame:
     at least two scored items count; the decline band is zero here.
     """
     rows = scored.filter(F.col("excitement").isNotNull() & F.col("published_at").isNotNull())
-    seq = group_ordinal(rows, ["movie_id"], ["published_at", "item_id"], "item_ordinal")
+    seq = group_ordinal(rows, ["movie_id"], ["published_at", "item_id"], "item_ordinal", "in_movie")
     student = banded_rollup(score_units(seq), "delta", "n_items", SCORE_BUCKETS, 0.0)
     proxy = score_units(seq, "lexicon").agg(
         F.try_divide(F.count_if(F.col("delta") < 0), F.count("*")).alias("share")
@@ -209,24 +209,22 @@ def acceptance_gate(scored: DataFrame) -> DataFrame:
         of("5+", "median").alias("many"), of("2", "median").alias("two"),
     )
     worse = F.coalesce(F.col("many") < F.col("two"), F.lit(True))  # passes when a bucket is empty
+
+    def check(name: str, value: Column, passed: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), value.alias("value"), passed.alias("passed"))
+
+    share, median = F.col("share"), F.col("median")
     main = facts.select(
         F.inline(
             F.array(
-                F.struct(
-                    F.lit("decline_rate").alias("check"), F.col("share").alias("value"),
-                    (F.col("share") >= MIN_DECLINE_SHARE).alias("passed"),
-                ),
-                F.struct(F.lit("median_delta"), F.col("median"), F.col("median") < 0),
-                F.struct(F.lit("dose_response"), F.col("many") - F.col("two"), worse),
+                check("decline_rate", share, share >= MIN_DECLINE_SHARE),
+                check("median_delta", median, median < 0),
+                check("dose_response", F.col("many") - F.col("two"), worse),
             )
         )
     )
-    return main.unionByName(
-        proxy.select(
-            F.lit("proxy_blind").alias("check"), F.col("share").alias("value"),
-            (F.col("share") < MAX_PROXY_SHARE).alias("passed"),
-        )
-    )
+    blind = proxy.select(F.inline(F.array(check("proxy_blind", share, share < MAX_PROXY_SHARE))))
+    return main.unionByName(blind)
 
 
 def decline_summary(seq: DataFrame, value: str) -> DataFrame:

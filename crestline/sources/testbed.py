@@ -111,17 +111,31 @@ class Testbed:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        """Running totals by user and event day; likes go missing on some days."""
+        """Running totals by user and event day; likes go missing on some days.
+
+        Movies take turns in fading out, taking off late, losing likes, and holding.
+        """
         kind = F.col("event_type")
-        daily = (
+        counted = (
             self.raw("events")
             .groupBy("user_id", F.to_date("ts").alias("collected_date"))
             .agg(
-                F.count("*").alias("v"),
-                F.count_if(kind == "click").alias("l"),
+                F.count("*").alias("n"),
+                F.count_if(kind == "click").alias("clicks"),
                 F.count_if(kind == "purchase").alias("c"),
             )
         )
+        turn = F.expr(f"({MOVIE_OF.format(c='user_id')}) % 4")
+        d = F.dayofmonth("collected_date")
+        views = (
+            F.when(turn == 0, F.col("n") * F.greatest(F.lit(1), (30 - d) * 2))
+            .when(turn == 1, F.when(d < 24, 2).otherwise(40))
+            .otherwise(F.col("n") * 10)
+        )
+        likes = F.when(turn == 2, F.col("clicks") * F.greatest(F.lit(1), 30 - d * 2)).otherwise(F.col("clicks") * 2)
+        daily = counted.select(
+            "user_id", "collected_date", views.cast("bigint").alias("v"), likes.cast("bigint").alias("l"), "c"
+        )
         upto = Window.partitionBy("user_id").orderBy("collected_date")
         gap = (F.col("user_id") % 11 == 3) & (F.dayofmonth("collected_date") % 7 == 2)
         return daily.select(
