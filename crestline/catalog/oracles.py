@@ -134,7 +134,7 @@ preds AS (
   FROM (
     SELECT o_orderkey, {_MOVIE.format(c='o_custkey')} AS movie_id,
       {_day('2023-12-20', 'o_orderkey % 35')} AS predicted_at,
-      CASE WHEN o_orderpriority LIKE '1%' THEN 7 ELSE 21 END AS horizon_days,
+      CAST(CASE WHEN o_orderpriority LIKE '1%' THEN 7 ELSE 21 END AS BIGINT) AS horizon_days,
       CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'hit' ELSE 'miss' END AS status
     FROM orders)
   QUALIFY row_number() OVER (PARTITION BY movie_id, predicted_at ORDER BY o_orderkey) = 1),
@@ -500,7 +500,7 @@ ORACLES["predictions_open"] = q(
 )
 ORACLES["predictions_recorded"] = q(
     f"SELECT movie_id || '-2024-01-30' AS prediction_id, kind, movie_id, title, {AS_OF} AS predicted_at,"
-    " 21 AS horizon_days, days_to_release AS days_to_release_at_prediction, vs_peak AS vs_peak_at_prediction,"
+    " CAST(21 AS BIGINT) AS horizon_days, days_to_release AS days_to_release_at_prediction, vs_peak AS vs_peak_at_prediction,"
     " headline AS basis, 'open' AS status, CAST(NULL AS DATE) AS resolved_at, CAST(NULL AS VARCHAR) AS"
     f" resolved_item_id, CAST(NULL AS BIGINT) AS resolved_lag_days, {NOW} AS created_at, {NOW} AS updated_at"
     " FROM best WHERE kind = 'trailer_due' AND movie_id NOT IN"
@@ -610,9 +610,9 @@ SELECT 'v' || conv_id || '-' || turn AS item_id, 'at_discovery' AS snapshot_kind
 _SEEN = f"{_P} % 31 <> 0"
 ORACLES["flatten_movies_json"] = (
     f"SELECT {_P} AS movie_id, p_name AS title, CASE WHEN {_P} % 5 = 0 THEN DATE '2024-06-01' ELSE"
-    f" {_day('2024-02-01', f'{_P} % 100')} END AS release_date, 90 + p_size AS runtime_minutes, 'Planned' AS status,"
+    f" {_day('2024-02-01', f'{_P} % 100')} END AS release_date, CAST(90 + p_size AS BIGINT) AS runtime_minutes, 'Planned' AS status,"
     f" {r6('p_retailprice')} AS popularity, '/p' || {_P} || '.jpg' AS poster_path, 'C' || {_P} % 9 || '|ZZ' AS"
-    f" origin_countries, p_size AS genre_id, p_type AS genre FROM part WHERE {_SEEN}"
+    f" origin_countries, CAST(p_size AS BIGINT) AS genre_id, p_type AS genre FROM part WHERE {_SEEN}"
 )
 
 
@@ -886,7 +886,7 @@ ORACLES["item_windows"] = q(
 _MATCH = """m AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS item_id, l_returnflag AS method, l_discount >= 0.05 AS success,
     CASE WHEN l_partkey % 17 <> 0 THEN 't' || l_partkey % 40 ELSE '' END AS title, 'a' || l_suppkey % 10 AS artist,
-    l_tax AS score, l_linenumber * 15 AS start_seconds, l_quantity AS latency FROM lineitem)"""
+    l_tax AS score, CAST(l_linenumber * 15 AS BIGINT) AS start_seconds, l_quantity AS latency FROM lineitem)"""
 ORACLES["window_report"] = (
     f"WITH {_MATCH} SELECT method, count(*) AS windows_tested, count(*) FILTER (WHERE success) AS windows_matched,"
     f" {r6('count(*) FILTER (WHERE success) / count(*) * 100')} AS hit_rate_pct,"

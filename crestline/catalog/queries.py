@@ -17,6 +17,7 @@ from crestline.plans import (
 from crestline.session import pin, scratch_path
 from crestline.sources import payloads as raw
 from crestline.sources import sinks
+from crestline.sources.tables import spread
 from crestline.sources.testbed import AS_OF, NOW, Testbed
 from crestline.streaming import counters as stream
 
@@ -205,8 +206,12 @@ def score_examples(t):
 # --- findings and predictions -----------------------------------------------------
 
 
-def _scan(t, as_of=AS_OF):
-    return findings.movie_scan(t.snapshots, t.items, t.movies, as_of)
+def _facts(t):
+    return findings.movie_facts(t.snapshots, t.items, AS_OF)
+
+
+def _scan(t):
+    return findings.movie_scan(_facts(t), t.items, t.movies, AS_OF)
 
 
 def _public(df):
@@ -230,7 +235,7 @@ def finding_quality_slide(t):
 
 @query
 def finding_fatigue(t):
-    return _public(findings.excitement_fatigue(sequence(t), t.snapshots, t.items, t.movies, AS_OF))
+    return _public(findings.excitement_fatigue(sequence(t), _facts(t), t.movies))
 
 
 def _findings(t, top=6):
@@ -490,15 +495,16 @@ def word_counts(t):
 
 @query
 def jaccard_pairs(t):
-    a = t.raw("documents").select("doc_id", F.col("text").alias("text_a"))
-    b = t.raw("documents").select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("text_b"))
-    return reports.transcript_similarity(a.join(b, "doc_id")).select("doc_id", "similarity")
+    docs = spread(t.raw("documents"), "doc_id")
+    a = docs.select("doc_id", F.col("text").alias("text"))
+    b = docs.select((F.col("doc_id") - 1).alias("doc_id"), "text")
+    return reports.transcript_similarity(a, b, "doc_id")
 
 
 @query
 def lexicon_rate(t):
     points = hype_points(F.col("text"))
-    return t.raw("documents").groupBy("source").agg(
+    return spread(t.raw("documents"), "doc_id").groupBy("source").agg(
         F.count("*").alias("texts"), F.avg(points).alias("rate"), F.max(points).alias("most")
     )
 

@@ -122,7 +122,7 @@ def strip_ws(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Whitespace-separated words, no empty ones."""
-    return F.filter(F.split(c, f"{WS}+"), lambda w: w != "")
+    return F.array_remove(F.split(c, f"{WS}+"), "")
 
 
 def word_count(c: Column) -> Column:
@@ -144,14 +144,11 @@ def tokens(c: Column) -> Column:
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    """Set similarity of two token arrays: both empty 1, one empty 0."""
+    """Similarity of two arrays of distinct tokens: both empty 1, one empty 0."""
     na, nb = F.size(a), F.size(b)
     shared = F.size(F.array_intersect(a, b))
-    distinct = F.size(F.array_union(a, b))
-    return (
-        F.when((na == 0) & (nb == 0), F.lit(1.0))
-        .when((na == 0) | (nb == 0), F.lit(0.0))
-        .otherwise(shared / distinct)
+    return F.when((na == 0) & (nb == 0), F.lit(1.0)).otherwise(
+        F.try_divide(shared, na + nb - shared)
     )
 
 

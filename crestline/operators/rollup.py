@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crestline.operators.medians import exact_median
+from crestline.session import pin
 
 ALL = "all"
 
@@ -32,9 +33,11 @@ def banded_rollup(
     """One row overall and one per bucket, empty buckets included with 0 units.
 
     Columns: bucket, units, below (< -band), within, above (> band),
-    below_share, median, then ``extra`` aggregates.
+    below_share, median, then ``extra`` aggregates. The units are few next to
+    the history they were fitted on, and are read three times: they are pinned.
     """
     labels = [ALL, *[label for label, _, _ in edges]]
+    units = pin(units)
     rows = units.select(
         F.explode(F.array_compact(F.array(F.lit(ALL), size_bucket(F.col(size), edges)))).alias("bucket"),
         *units.columns,

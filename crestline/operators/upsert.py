@@ -21,9 +21,18 @@ def last_wins(staged: DataFrame, keys: Sequence[str], seq: str | None) -> DataFr
     return latest(staged, keys, [F.col(seq).desc()]).drop(seq)
 
 
-def _joined(target: DataFrame, staged: DataFrame, keys: Sequence[str], how: str):
-    t = target.select(F.struct(*target.columns).alias("_t"), *keys)
-    s = staged.select(F.struct(*staged.columns).alias("_s"), *keys)
+def _joined(target: DataFrame, staged: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Target columns as they are, staged ones prefixed, a flag per side.
+
+    Keys stay the join's own columns, so a following merge on the same keys
+    finds the rows already partitioned.
+    """
+    t = target.withColumn("_in_t", F.lit(True))
+    s = staged.select(
+        *keys,
+        *[F.col(c).alias(f"_s_{c}") for c in staged.columns if c not in keys],
+        F.lit(True).alias("_in_s"),
+    )
     return t.join(s, list(keys), how)
 
 
@@ -42,25 +51,20 @@ def upsert(
     staged key resolves to its last row. Row order never matters.
     """
     staged = last_wins(staged, keys, seq)
-    update = set(staged.columns if update_cols is None else update_cols) - set(keys)
-    insert = set(staged.columns if insert_cols is None else insert_cols) | set(keys)
+    update = set(staged.columns if update_cols is None else update_cols)
+    insert = set(staged.columns if insert_cols is None else insert_cols)
     both = _joined(target, staged, keys, "full_outer")
-    is_new, is_hit = F.col("_t").isNull(), F.col("_s").isNotNull()
+    is_new, is_staged = F.col("_in_t").isNull(), F.col("_in_s").isNotNull()
 
-    def merged(c: str, dtype) -> Column:
-        old = F.col("_t")[c]
+    def merged(c: str) -> Column:
         if c in keys:
             return F.col(c)
-        new = F.col("_s")[c] if c in staged.columns else F.lit(None)
-        if c in update and c in insert:
-            return F.when(is_hit, new).otherwise(old).cast(dtype)
-        if c in update:
-            return F.when(is_new, F.lit(None)).when(is_hit, new).otherwise(old).cast(dtype)
-        if c in insert:
-            return F.when(is_new, new).otherwise(old).cast(dtype)
-        return old
+        new = F.col(f"_s_{c}") if c in staged.columns else F.lit(None)
+        on_insert = new if c in insert else F.lit(None)
+        on_match = new if c in update else F.col(c)
+        return F.when(is_new, on_insert).when(is_staged, on_match).otherwise(F.col(c))
 
-    return both.select(*[merged(f.name, f.dataType).alias(f.name) for f in target.schema])
+    return both.select(*[merged(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
 def patch(
@@ -73,24 +77,17 @@ def patch(
     """Update matched target rows column by column; staged rows without a match are ignored."""
     staged = last_wins(staged, keys, seq)
     both = _joined(target, staged, keys, "left")
-    hit = F.col("_s").isNotNull()
+    hit = F.col("_in_s").isNotNull()
 
     def s(c: str) -> Column:
-        return F.col("_s")[c]
-
-    def t(c: str) -> Column:
-        return F.col("_t")[c]
-
-    return both.select(
-        *[
-            (
-                F.when(hit, exprs[f.name](s, t)).otherwise(t(f.name)).cast(f.dataType)
-                if f.name in exprs
-                else t(f.name)
-            ).alias(f.name)
-            for f in target.schema
-        ]
-    )
+        return F.col(c) if c in keys else F.col(f"_s_{c}")
+
+    def patched(c: str, dtype) -> Column:
+        if c not in exprs:
+            return F.col(c)
+        return F.when(hit, exprs[c](s, F.col)).otherwise(F.col(c)).cast(dtype)
+
+    return both.select(*[patched(f.name, f.dataType).alias(f.name) for f in target.schema])
 
 
 def keep_old_if_null(*cols: str) -> dict[str, PatchExpr]:

@@ -11,6 +11,7 @@ from crestline.functions.scalars import day, days_before, percent_text, salience
 from crestline.operators.ordering import latest
 from crestline.plans.metrics import movie_days, movie_links
 from crestline.plans.scores import score_units
+from crestline.session import pin
 
 # Detector thresholds.
 SPENT_VS_PEAK = 0.25
@@ -27,19 +28,27 @@ FATIGUE_PEAK_DAYS = 120
 KINDS = ("trailer_due", "surging", "quality_slide", "excitement_fatigue")
 
 
-def movie_scan(
-    stats: DataFrame, items: DataFrame, movies: DataFrame, as_of: date | str, days: int = 30
-) -> DataFrame:
-    """Velocity and quality aggregates of the window, one row per movie."""
-    daily = movie_days(stats, items, as_of, days)
+def movie_facts(stats: DataFrame, items: DataFrame, as_of: date | str, days: int = 30) -> DataFrame:
+    """Velocity and quality per movie over ``days``, and its best single-item day of the long window.
+
+    One pass over the longer of the two windows serves all four detectors.
+    """
+    daily = movie_days(stats, items, as_of, max(days, FATIGUE_PEAK_DAYS))
+    inside = F.col("collected_date") >= days_before(as_of, days)
     recent = F.col("collected_date") > days_before(as_of, RECENT_DAYS)
     ratio = F.try_divide("likes", "views")
-    agg = daily.groupBy("movie_id").agg(
-        F.avg(F.when(recent, F.col("delta_views"))).alias("cur_vel"),
-        F.max("delta_views").alias("peak_vel"),
-        F.avg(F.when(recent, ratio)).alias("lv_recent"),
-        F.avg(F.when(~recent, ratio)).alias("lv_older"),
+    for_fatigue = F.col("collected_date") >= days_before(as_of, FATIGUE_PEAK_DAYS)
+    return daily.groupBy("movie_id").agg(
+        F.avg(F.when(inside & recent, F.col("delta_views"))).alias("cur_vel"),
+        F.max(F.when(inside, F.col("delta_views"))).alias("peak_vel"),
+        F.avg(F.when(inside & recent, ratio)).alias("lv_recent"),
+        F.avg(F.when(inside & ~recent, ratio)).alias("lv_older"),
+        F.max(F.when(for_fatigue, F.col("top_item_delta"))).alias("top_item_delta"),
     )
+
+
+def movie_scan(facts: DataFrame, items: DataFrame, movies: DataFrame, as_of: date | str) -> DataFrame:
+    """The facts of movies with an audience, beside their items and release."""
     published = (
         movie_links(items)
         .filter(F.col("published_at").isNotNull())
@@ -51,7 +60,7 @@ def movie_scan(
         )
     )
     return (
-        agg.filter(F.col("peak_vel") > 0)
+        facts.filter(F.col("peak_vel") > 0)
         .join(published, "movie_id")
         .join(movies.select("movie_id", "title", "release_date"), "movie_id")
         .withColumn("days_to_release", F.datediff("release_date", day(as_of)))
@@ -133,17 +142,11 @@ def quality_slide(scan: DataFrame) -> DataFrame:
     )
 
 
-def excitement_fatigue(
-    sequence: DataFrame, stats: DataFrame, items: DataFrame, movies: DataFrame, as_of: date | str
-) -> DataFrame:
+def excitement_fatigue(sequence: DataFrame, facts: DataFrame, movies: DataFrame) -> DataFrame:
     """Comment excitement falling along the movie's item sequence (unrounded scores)."""
     drop = F.col("first_score") - F.col("last_score")
     falling = score_units(sequence).filter(drop >= FATIGUE_DROP_POINTS)
-    peaks = (
-        movie_days(stats, items, as_of, FATIGUE_PEAK_DAYS)
-        .groupBy("movie_id")
-        .agg(F.max("top_item_delta").alias("peak_vel"))
-    )
+    peaks = facts.select("movie_id", F.col("top_item_delta").alias("peak_vel"))
     rows = falling.join(peaks, "movie_id", "left").join(movies.select("movie_id", "title"), "movie_id")
     headline = F.concat(
         _text("title"), F.lit(" — comment excitement cooling "),
@@ -173,11 +176,16 @@ def detect_findings(
     days: int = 30,
     top: int | None = 6,
 ) -> DataFrame:
-    """Top findings over distinct movies; without a score sequence the fourth detector rests."""
-    scan = movie_scan(stats, items, movies, as_of, days)
+    """Top findings over distinct movies; without a score sequence the fourth detector rests.
+
+    The facts, one row per movie, are pinned: every detector reads them, and the
+    counters are scanned once.
+    """
+    facts = pin(movie_facts(stats, items, as_of, days))
+    scan = movie_scan(facts, items, movies, as_of)
     candidates = trailer_due(scan).unionByName(surging(scan)).unionByName(quality_slide(scan))
     if sequence is not None:
-        candidates = candidates.unionByName(excitement_fatigue(sequence, stats, items, movies, as_of))
+        candidates = candidates.unionByName(excitement_fatigue(sequence, facts, movies))
     best = best_per_movie(candidates)
     if top is None:
         return best.drop("_priority")

@@ -11,6 +11,7 @@ from crestline.functions.scalars import day
 from crestline.operators.asof import next_event
 from crestline.operators.upsert import patch, upsert
 from crestline.plans.metrics import movie_links
+from crestline.session import pin
 
 HORIZON_DAYS = 21  # fixed value: days within which the predicted item must appear
 
@@ -86,7 +87,8 @@ def daily_update(
     log: DataFrame, items: DataFrame, findings: DataFrame, today: date | str, now: Column
 ) -> DataFrame:
     """Resolve first, then record: a movie settled today may be called again today."""
-    return record_predictions(resolve_predictions(log, items, today, now), findings, today, now)
+    settled = pin(resolve_predictions(log, items, today, now))  # read by the check and by the merge
+    return record_predictions(settled, findings, today, now)
 
 
 def track_record(log: DataFrame) -> DataFrame:

@@ -11,10 +11,18 @@ from crestline.functions.scalars import jaccard, tokens, window_starts
 WINDOW_SECONDS, TAIL_SECONDS = 15, 5
 
 
-def transcript_similarity(pairs: DataFrame) -> DataFrame:
-    """Token-set similarity of ``text_a`` and ``text_b``, three decimals."""
-    return pairs.withColumn(
-        "similarity", F.round(jaccard(tokens(F.col("text_a")), tokens(F.col("text_b"))), 3)
+def transcript_similarity(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Token-set similarity of the two texts of each key, three decimals.
+
+    Texts become distinct tokens before the join, so each is tokenised once and
+    repeated words do not travel.
+    """
+
+    def token_sets(df: DataFrame, name: str) -> DataFrame:
+        return df.select(key, F.array_distinct(tokens(F.col("text"))).alias(name))
+
+    return token_sets(one, "_a").join(token_sets(other, "_b"), key).select(
+        key, F.round(jaccard(F.col("_a"), F.col("_b")), 3).alias("similarity")
     )
 
 

@@ -41,7 +41,8 @@ def score_units(sequence: DataFrame, value: str = "excitement", by: Sequence[str
 def score_decay(sequence: DataFrame) -> DataFrame:
     """First-to-last change across movies, overall and by number of scored items."""
     rolled = banded_rollup(
-        score_units(sequence), "delta", "n_items", SCORE_BUCKETS, STEADY_POINTS,
+        score_units(sequence).select("delta", "slope", "n_items"),
+        "delta", "n_items", SCORE_BUCKETS, STEADY_POINTS,
         [F.avg(F.coalesce("slope", F.lit(0.0))).alias("mean_slope")],
     )
     return rolled.select(

@@ -118,7 +118,7 @@ def view_timeseries(
     """The pair's curves as rows, with a mark on launch days."""
     # two rows that several branches need: settle them once
     pair = pin(pick_pair(view_candidates(stats, items, movies, as_of, min_peak, min_days)))
-    series = view_series(stats, items, as_of, pair)
+    series = pin(view_series(stats, items, as_of, pair))
     own = items.join(F.broadcast(pair.select("movie_id")), "movie_id", "left_semi")
     marks = launch_days(series, own).withColumn("launch", F.lit(True))
     # two curves of at most a window's days each

@@ -196,7 +196,10 @@ def acceptance_gate(scored: DataFrame) -> DataFrame:
     """
     rows = scored.filter(F.col("excitement").isNotNull() & F.col("published_at").isNotNull())
     seq = group_ordinal(rows, ["movie_id"], ["published_at", "item_id"], "item_ordinal", "in_movie")
-    student = banded_rollup(score_units(seq), "delta", "n_items", SCORE_BUCKETS, 0.0)
+    seq = pin(seq.select("movie_id", "item_ordinal", "excitement", "lexicon"))  # two scores, one order
+    student = banded_rollup(
+        score_units(seq).select("delta", "n_items"), "delta", "n_items", SCORE_BUCKETS, 0.0
+    )
     proxy = score_units(seq, "lexicon").agg(
         F.try_divide(F.count_if(F.col("delta") < 0), F.count("*")).alias("share")
     )
@@ -229,7 +232,7 @@ def acceptance_gate(scored: DataFrame) -> DataFrame:
 
 def decline_summary(seq: DataFrame, value: str) -> DataFrame:
     """Share declining, median change and mean slope of a score along the sequence."""
-    units = score_units(seq, value).withColumn("bucket", F.lit(ALL))
+    units = pin(score_units(seq, value).select("delta", "slope").withColumn("bucket", F.lit(ALL)))
     sums = units.groupBy("bucket").agg(
         F.count("*").alias("movies"),
         F.count_if(F.col("delta") < 0).alias("declined"),

@@ -220,7 +220,7 @@ def engagement_decay(
     stats: DataFrame, items: DataFrame, as_of: date | str, days: int = 45, unit: str = "movie"
 ) -> DataFrame:
     """How the like/view ratio moves across units, overall and by the movie's item count."""
-    units = decay_units(stats, items, as_of, days, unit)
+    units = decay_units(stats, items, as_of, days, unit).select("pct", "weight", "n_items")
     weighted = F.try_divide(F.sum(F.col("pct") * F.col("weight")), F.sum("weight"))
     rolled = banded_rollup(
         units, "pct", "n_items", ITEM_BUCKETS, STEADY_BAND, [weighted.alias("view_weighted_pct_change")]
