@@ -735,6 +735,10 @@ FROM comments c FULL JOIN (
 _WS = r"[\p{Z}\t\n\v\f\r\x1c-\x1f\x{85}]"
 _WORDS = f"list_filter(string_split_regex(text, '{_WS}+'), lambda w: w <> '')"
 _ATT = "CASE WHEN doc_id % 3 = 0 THEN 'yta' WHEN doc_id % 3 = 1 THEN 'whisper' ELSE 'failed' END"
+ORACLES["transcript_run_items"] = q(
+    f"SELECT item_id, CASE WHEN transcript_at IS NULL AND tracking_status = 'active' AND c IN (SELECT doc_id FROM"
+    f" documents) THEN {NOW} ELSE {txt('transcript_at')} END AS transcript_captured_at FROM items"
+)
 ORACLES["transcript_rows"] = f"""SELECT 'v' || doc_id AS item_id, {_ATT} AS source,
   CASE WHEN doc_id % 3 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN 'manual' ELSE 'auto-generated' END
     WHEN doc_id % 3 = 1 THEN CASE WHEN n_chars % 2 = 0 THEN 'speech' ELSE 'music' END END AS track_kind,

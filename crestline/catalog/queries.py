@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from crestline.functions import scalars as fn
 from crestline.functions.lexicon import hype_points
+from crestline.operators.ordering import latest
 from crestline.operators.upsert import missing_ids, patch, upsert
 from crestline.plans import (
     findings, ingest, metrics, predictions, reads, reports, scores, scoring, series, training, trends,
 )
+from crestline.schemas import TABLES
 from crestline.session import pin, scratch_path
 from crestline.sources import payloads as raw
 from crestline.sources import sinks
@@ -434,8 +436,11 @@ def flatten_tv_items_json(t):
 @query
 def discovery_merge(t):
     merged = ingest.merge_discovered_items(
-        t.items, _movies(t).items.withColumn("item_id", F.concat(F.lit("v"), F.col("movie_id").cast("string")))
-        .dropDuplicates(["item_id"]),
+        t.items,
+        latest(
+            _movies(t).items.withColumn("item_id", F.concat(F.lit("v"), F.col("movie_id").cast("string"))),
+            ["item_id"], [F.col("name")],
+        ),
     )
     return merged.select("item_id", "content_kind", "movie_id", "tracking_end_date", "tracking_status", "channel_title")
 
@@ -470,6 +475,13 @@ def comment_run_rows(t):
     return run.comments.select("item_id", "snapshot_kind", "comment_id", "snapshot_date", "rank", "like_count")
 
 
+@query
+def transcript_run_items(t):
+    empty = t.spark.createDataFrame([], TABLES["transcripts"].ddl)
+    _, items = ingest.transcript_run(t.items, empty, t.transcript_attempts, now(), limit=None)
+    return items.select("item_id", "transcript_captured_at")
+
+
 @query
 def transcript_rows(t):
     return ingest.transcript_rows(t.transcript_attempts, now()).drop("text")

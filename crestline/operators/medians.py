@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The sketch's rank error is n / ACCURACY, far inside the bracket's 0.5 % on each side.
-_BRACKET = (0.495, 0.505)
-_ACCURACY = 10_000
+# The sketch's rank error is n / ACCURACY, far inside the bracket's 0.05 % on each side.
+_BRACKET = (0.4995, 0.5005)
+_ACCURACY = 100_000
 
 
 def exact_median(

@@ -25,7 +25,9 @@ def titled_items(
     """Items with title, release date, poster and countries from whichever title they hang on.
 
     No broadcast hints: measured sizes decide at run time, and a title holding
-    very many items is split by the adaptive skew join.
+    very many items is split by the adaptive skew join. An item without a movie
+    (or show) has nothing to find there, but a null key would still send all
+    such items to one task: a salt next to the key spreads them.
     """
     m = movies.select(
         "movie_id", F.col("title").alias("_mt"), F.col("release_date").alias("_md"),
@@ -36,22 +38,25 @@ def titled_items(
         F.col("origin_countries").alias("_tc"),
     )
     se = seasons.select("tv_id", "season_number", F.col("air_date").alias("_sd"))
-    return (
-        items.withColumnRenamed("name", "item_name")
-        .join(m, "movie_id", "left")
-        .join(tv, "tv_id", "left")
-        .join(se, ["tv_id", "season_number"], "left")
-        .select(
-            "item_id", "content_kind", "movie_id", "tv_id", "season_number", "item_name",
-            "video_type", "tracking_status", "published_at", "tracking_end_date", "thumbnail_url",
-            F.coalesce("_mt", "_tt").alias("title"),
-            F.coalesce("_md", "_sd").alias("release_date"),
-            F.coalesce("_mp", "_tp").alias("poster_path"),
-            F.coalesce("_mc", "_tc").alias("origin_countries"),
-        )
+    named = items.withColumnRenamed("name", "item_name")
+    for dim, keys in ((m, ["movie_id"]), (tv, ["tv_id"]), (se, ["tv_id", "season_number"])):
+        salted = named.withColumn("_salt", null_salt(F.col(keys[0]), F.col("item_id")))
+        named = salted.join(dim.withColumn("_salt", F.lit(0)), [*keys, "_salt"], "left").drop("_salt")
+    return named.select(
+        "item_id", "content_kind", "movie_id", "tv_id", "season_number", "item_name",
+        "video_type", "tracking_status", "published_at", "tracking_end_date", "thumbnail_url",
+        F.coalesce("_mt", "_tt").alias("title"),
+        F.coalesce("_md", "_sd").alias("release_date"),
+        F.coalesce("_mp", "_tp").alias("poster_path"),
+        F.coalesce("_mc", "_tc").alias("origin_countries"),
     )
 
 
+def null_salt(key: Column, row_id: Column, parts: int = 1024) -> Column:
+    """0 next to a real key; next to a null one a number that scatters the rows."""
+    return F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(parts))).otherwise(0).cast("int")
+
+
 def _title_filter(kind: str | None, country: str | None) -> Column:
     keep = F.lit(True)
     if kind:

@@ -74,3 +74,41 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """Label lines ``{"item_id": ..., "excitement": ...}``; malformed lines are dropped."""
     rows = spark.read.schema("item_id string, excitement double").json(path)
     return rows.filter(F.col("item_id").isNotNull() & F.col("excitement").isNotNull())
+
+
+# --- whole-table snapshots --------------------------------------------------------
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def snapshots(spark: SparkSession, base: str) -> list[str]:
+    """Complete versions of an unpartitioned table, oldest first."""
+    root, fs = _hadoop_path(spark, base)
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        done, _ = _hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")
+        if status.getPath().getName().startswith("v") and fs.exists(done):
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def read_current(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The newest complete version, or an empty table."""
+    ddl, versions = TABLES[table].ddl, snapshots(spark, base)
+    if not versions:
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(versions[-1])
+
+
+def write_current(df: DataFrame, base: str) -> str:
+    """Write the next version beside the current one, which stays readable until this is complete."""
+    versions = snapshots(df.sparkSession, base)
+    last = int(versions[-1].rsplit("/v", 1)[1]) if versions else 0
+    path = f"{base.rstrip('/')}/v{last + 1:010d}"
+    df.write.mode("overwrite").parquet(path)
+    return path
