@@ -64,7 +64,7 @@ def upsert(
         on_match = new if c in update else F.col(c)
         return F.when(is_new, on_insert).when(is_staged, on_match).otherwise(F.col(c))
 
-    return both.select(*[merged(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+    return both.select(*[merged(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in target.schema])
 
 
 def patch(
@@ -82,12 +82,12 @@ def patch(
     def s(c: str) -> Column:
         return F.col(c) if c in keys else F.col(f"_s_{c}")
 
-    def patched(c: str, dtype) -> Column:
+    def patched(c: str, dtype: str) -> Column:
         if c not in exprs:
             return F.col(c)
         return F.when(hit, exprs[c](s, F.col)).otherwise(F.col(c)).cast(dtype)
 
-    return both.select(*[patched(f.name, f.dataType).alias(f.name) for f in target.schema])
+    return both.select(*[patched(f.name, f.dataType.simpleString()).alias(f.name) for f in target.schema])
 
 
 def keep_old_if_null(*cols: str) -> dict[str, PatchExpr]:

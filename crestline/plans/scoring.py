@@ -123,7 +123,8 @@ def linear_scores(features: DataFrame, head: LinearHead, out: str = "excitement"
     constant = head.intercept - sum(w * m for w, m in zip(weights, head.mean, strict=True))
     terms = F.zip_with("features", F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w)
     dot = F.aggregate(terms, F.lit(float(constant)), lambda acc, t: acc + t)
-    return features.withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(100.0), dot)))
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(100.0), dot))  # both skip nulls
+    return features.withColumn(out, F.when(F.col("features").isNotNull(), clipped))
 
 
 def score_run(
