@@ -206,7 +206,8 @@ def finding_series(
     """
     chosen = findings.select("movie_id", "kind")
     fatigue = F.col("kind") == "excitement_fatigue"
-    daily = movie_days(stats, items, as_of, days).select(
+    own = items.join(chosen, "movie_id", "left_semi")
+    daily = movie_days(stats, own, as_of, days, selective=True).select(
         "movie_id", F.col("collected_date").alias("day"), F.col("delta_views").cast("double").alias("dv")
     )
     out = chosen.filter(~fatigue).join(daily, "movie_id")

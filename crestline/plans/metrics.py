@@ -75,14 +75,18 @@ def movie_links(items: DataFrame) -> DataFrame:
 
 
 def movie_days(
-    stats: DataFrame, items: DataFrame, as_of: date | str, days: int
+    stats: DataFrame, items: DataFrame, as_of: date | str, days: int, selective: bool = False
 ) -> DataFrame:
     """Per movie and day: summed counters and new views over its items.
 
     The per-item rows are joined on the item id and summed per (movie, day)
     with map-side partial sums, so a movie with very many items stays spread.
+    ``selective`` says that ``items`` holds a small part of all items: their
+    counters are picked out before the deltas instead of after.
     """
     links = movie_links(items).select("item_id", "movie_id")
+    if selective:
+        stats = stats.join(links.select("item_id"), "item_id", "left_semi")
     return (
         counter_deltas(stats, as_of, days, ("view_count", "like_count"))
         .join(links, "item_id")

@@ -44,7 +44,7 @@ def pick_pair(candidates: DataFrame) -> DataFrame:
     """The most viewed many-item movie and its best few-item counterpart (role many / few).
 
     The counterpart comes from the narrowest day-span tolerance that has any;
-    each choice is a top-1 over single-row context, never a self pairing.
+    each choice is a top-1 against the anchor's two values, never a self pairing.
     """
     by_fame = [F.desc("peak_views"), F.col("movie_id")]
     strict = (F.col("n_items") >= MANY_ITEMS) & (F.col("days") >= MANY_MIN_DAYS)
@@ -53,22 +53,20 @@ def pick_pair(candidates: DataFrame) -> DataFrame:
         .orderBy(F.desc(strict), *by_fame)
         .limit(1)
     )
-    one = F.broadcast(anchor.select(F.col("movie_id").alias("_id"), F.col("days").alias("_days")))
-    gap = F.abs(F.col("days") - F.col("_days"))
+    gap = F.abs(F.col("days") - anchor.select("days").scalar())
     tier = F.lit(len(DAY_TOLERANCES))
     for i, tol in reversed(list(enumerate(DAY_TOLERANCES))):
         tier = F.when(gap <= tol, i).otherwise(tier)
     partner = (
-        candidates.filter(F.col("n_items") <= FEW_ITEMS)
-        .join(one, F.col("movie_id") != F.col("_id"))  # against one broadcast row
-        .orderBy(tier, *by_fame)
+        candidates.filter((F.col("n_items") <= FEW_ITEMS) & (F.col("movie_id") != anchor.select("movie_id").scalar()))
+        .withColumn("_tier", tier)
+        .orderBy("_tier", *by_fame)
         .limit(1)
-        .select(*candidates.columns)
+        .drop("_tier")
     )
     pair = anchor.withColumn("role", F.lit("many")).unionByName(partner.withColumn("role", F.lit("few")))
     # without a counterpart there is no pair
-    both = pair.agg(F.count("*").alias("_n")).filter(F.col("_n") == 2)
-    return pair.join(F.broadcast(both.select(F.lit(True).alias("_ok"))), F.lit(True)).drop("_ok")
+    return pair.filter(pair.agg(F.count("*")).scalar() == 2)
 
 
 def view_series(
@@ -80,7 +78,7 @@ def view_series(
     ids = F.broadcast(chosen.select("movie_id"))
     own = items.join(ids, "movie_id", "left_semi")
     return (
-        movie_days(stats, own, as_of, WINDOW_DAYS)
+        movie_days(stats, own, as_of, WINDOW_DAYS, selective=True)
         .filter(F.col("delta_views").isNotNull())
         .select(
             "movie_id", "collected_date",
@@ -116,8 +114,9 @@ def view_timeseries(
     min_peak: int = MIN_PEAK_VIEWS, min_days: int = MIN_DAYS,
 ) -> DataFrame:
     """The pair's curves as rows, with a mark on launch days."""
-    # two rows that several branches need: settle them once
-    pair = pin(pick_pair(view_candidates(stats, items, movies, as_of, min_peak, min_days)))
+    # one row per movie, then two rows, each read by several branches: settle them once
+    candidates = pin(view_candidates(stats, items, movies, as_of, min_peak, min_days))
+    pair = pin(pick_pair(candidates))
     series = pin(view_series(stats, items, as_of, pair))
     own = items.join(F.broadcast(pair.select("movie_id")), "movie_id", "left_semi")
     marks = launch_days(series, own).withColumn("launch", F.lit(True))

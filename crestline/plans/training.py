@@ -178,8 +178,8 @@ def fit_quality(predictions: DataFrame, y: str = "y", predicted: str = "oof") ->
     rows = predictions.select(F.col(y).alias("y"), F.col(predicted).alias("p"))
     err = F.col("p") - F.col("y")
     ranked = average_rank(average_rank(rows, "y", "_ry"), "p", "_rp")
-    mean = F.broadcast(rows.agg(F.avg("y").alias("_mean")))  # one row
-    return ranked.join(mean, F.lit(True)).agg(
+    mean = rows.agg(F.avg("y")).scalar()
+    return ranked.withColumn("_mean", mean).agg(
         F.count("*").alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),

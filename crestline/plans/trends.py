@@ -23,10 +23,12 @@ MIN_FIT_DAYS = 10
 ITEM_BUCKETS = (("1", 1, 1), ("2-3", 2, 3), ("4+", 4, None))
 
 
-def movie_series(stats: DataFrame, items: DataFrame, as_of: date | str, days: int) -> DataFrame:
+def movie_series(
+    stats: DataFrame, items: DataFrame, as_of: date | str, days: int, selective: bool = False
+) -> DataFrame:
     """Daily like/view ratio and new views per movie, days with views only."""
     return (
-        movie_days(stats, items, as_of, days)
+        movie_days(stats, items, as_of, days, selective)
         .filter(F.col("views") > 0)
         .select(
             "movie_id", "collected_date", "likes", "views", "delta_views",
@@ -68,15 +70,15 @@ def _demand_state(points: Column, cur: Column, prior: Column, vs_peak: Column) -
 
 
 def engagement_trend(
-    stats: DataFrame, items: DataFrame, as_of: date | str, days: int = 30
+    stats: DataFrame, items: DataFrame, as_of: date | str, days: int = 30, selective: bool = False
 ) -> DataFrame:
-    """Both axes for every movie at once; filter on ``movie_id`` for one.
+    """Both axes for every movie in ``items``; hand in the items of a few with ``selective``.
 
     Quality: least-squares fit of the like/view ratio on the day offset.
     Demand: recent new views against the window's peak, with the half-life of a
     log-linear fit over the row index after the peak.
     """
-    s = _with_demand_columns(movie_series(stats, items, as_of, days))
+    s = _with_demand_columns(movie_series(stats, items, as_of, days, selective))
     dv, ratio, x = F.col("delta_views").cast("double"), F.col("like_view_ratio"), F.col("_x")
     tail = (F.col("_idx") > F.col("_peak_idx")) & (dv > 0)
     idx = F.col("_idx").cast("double")

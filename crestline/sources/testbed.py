@@ -171,13 +171,12 @@ class Testbed:
     def embedded_comments(self) -> DataFrame:
         """Comments with a vector each, picked by arithmetic on conversation and turn."""
         vectors = self.raw("embeddings")
-        size = F.broadcast(vectors.agg((F.max("vec_id") + 1).alias("_size")))  # one row
+        size = vectors.agg(F.max("vec_id") + 1).scalar()
         ids = F.expr("cast(substring(item_id, 2) as bigint) * 31 + rank - 1")
         return (
-            self.comments.join(size, F.lit(True))
-            .withColumn("vec_id", ids % F.col("_size"))
+            self.comments.withColumn("vec_id", ids % size)
             .join(vectors.select("vec_id", "embedding"), "vec_id")
-            .drop("vec_id", "_size")
+            .drop("vec_id")
         )
 
     @cached_property

@@ -73,7 +73,9 @@ class Workspace:
         items = self.table("items")
         if movie_id is not None:
             items = items.filter(F.col("movie_id") == movie_id)
-        return trends.engagement_trend(self.table("counter_snapshots"), items, self.as_of, days)
+        return trends.engagement_trend(
+            self.table("counter_snapshots"), items, self.as_of, days, selective=movie_id is not None
+        )
 
     def engagement_decay(self, days: int = 45, unit: str = "movie") -> DataFrame:
         return trends.engagement_decay(self.table("counter_snapshots"), self.table("items"), self.as_of, days, unit)
@@ -82,9 +84,10 @@ class Workspace:
         return scores.score_decay(self.sequence(model_version))
 
     def movie_excitement_trend(self, movie_id: int | None = None, model_version: str | None = None) -> DataFrame:
-        sequence = self.sequence(model_version)
+        items = self.table("items")
         if movie_id is not None:
-            sequence = sequence.filter(F.col("movie_id") == movie_id)
+            items = items.filter(F.col("movie_id") == movie_id)
+        sequence = metrics.current_sequence(self.table("scores"), items, self.as_of, model_version)
         return scores.score_trend(sequence)
 
     def interesting_findings(self, days: int = 30, top: int | None = 6) -> DataFrame:
