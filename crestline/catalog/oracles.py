@@ -299,7 +299,9 @@ _V1_COLS = (
 )
 ORACLES["daily_metrics"] = q(f"SELECT item_id, {_V1_COLS} FROM v1")
 ORACLES["daily_metrics_recent"] = q(f"SELECT item_id, {_V1_COLS} FROM v1 WHERE collected_date >= {AS_OF} - 7")
-ORACLES["item_metrics_one"] = q(f"SELECT item_id, {_V1_COLS} FROM v1 WHERE item_id = 'v7'")
+ORACLES["item_metrics_one"] = q(
+    f"SELECT item_id, {_V1_COLS} FROM v1 WHERE item_id = (SELECT item_id FROM top)", _trending(7, 1)
+)
 _TITLE_COLS = (
     "item_id, content_kind, movie_id, tv_id, season_number, name AS item_name, video_type, tracking_status,"
     f" {txt('published_at')} AS published_at, tracking_end_date, title, release_date, poster_path,"
@@ -541,6 +543,17 @@ ORACLES["patch_update"] = q(
 FROM customer LEFT JOIN last_order ON c_custkey = o_custkey WHERE c_custkey % 3 <> 0""",
     _LAST_ORDER,
 )
+ORACLES["bounded_scan"] = q(f"SELECT * FROM snaps WHERE collected_date >= {AS_OF} - 3")
+ORACLES["sql_read"] = q(
+    "SELECT tracking_status, count(*) AS n, max(duration_seconds) AS longest FROM items"
+    " WHERE duration_seconds >= 45 AND content_kind = 'movie' GROUP BY tracking_status"
+)
+ORACLES["contract_check"] = q(
+    "SELECT 'items' AS table_name, count(*) AS violations FROM items WHERE content_kind NOT IN ('movie', 'tv')"
+    " OR (movie_id IS NULL) = (tv_id IS NULL) UNION ALL SELECT 'counter_snapshots', count(*) FROM snaps WHERE"
+    " item_id IS NULL UNION ALL SELECT 'comments', count(*) FROM comments WHERE comment_id IS NULL UNION ALL"
+    " SELECT 'predictions', count(*) FROM preds WHERE status NOT IN ('open', 'hit', 'miss')"
+)
 ORACLES["mark_missing"] = q(
     "SELECT item_id, CASE WHEN c % 29 = 0 THEN 'unavailable' ELSE tracking_status END AS tracking_status,"
     f" CASE WHEN c % 29 = 0 THEN {NOW} END AS last_collected_at FROM items"
@@ -699,6 +712,17 @@ FROM (SELECT *, wanted AND c % 29 <> 0 AS got, wanted AND c % 29 = 0 AS lost,
   FROM (SELECT *, item_id IN (SELECT item_id FROM active) AS wanted FROM items))""",
     _ACTIVE,
 )
+ORACLES["table_merge"] = q(
+    f"""SELECT coalesce(n.item_id, s.item_id) AS item_id, coalesce(n.collected_date, s.collected_date) AS collected_date,
+  CASE WHEN n.item_id IS NULL THEN s.view_count ELSE n.view_count END AS view_count,
+  CASE WHEN n.item_id IS NULL THEN s.like_count ELSE n.like_count END AS like_count,
+  CASE WHEN n.item_id IS NULL THEN s.comment_count ELSE n.comment_count END AS comment_count,
+  CAST(0 AS BIGINT) AS favorite_count
+FROM snaps s FULL JOIN (
+  SELECT 'v' || c_custkey AS item_id, {AS_OF} AS collected_date, c_custkey * 13 AS view_count, {_LIKES} AS like_count,
+    {_REPLIES} AS comment_count {_BACK}) n
+  ON s.item_id = n.item_id AND s.collected_date = n.collected_date"""
+)
 ORACLES["counter_run_snapshots"] = q(
     f"""SELECT coalesce(n.item_id, s.item_id) AS item_id, coalesce(n.collected_date, s.collected_date) AS collected_date,
   CASE WHEN n.item_id IS NULL THEN s.view_count ELSE n.view_count END AS view_count,
@@ -854,6 +878,11 @@ ORACLES["scoring_job_merged"] = q(
     (SELECT item_id FROM scores WHERE excitement > 50 AND model_version = 'm2'))) GROUP BY ALL""",
     _DISC_C,
 )
+ORACLES["feature_table"] = q(
+    f"SELECT item_id, movie_id, CAST(label * 10 AS DOUBLE) AS y, dim, {r6('x')} AS x FROM pooled"
+    " JOIN links USING (item_id) JOIN embeddings ON item_id = 'v' || vec_id",
+    _POOL,
+)
 ORACLES["fit_quality"] = q(
     f"""SELECT count(*) AS n, {r6('avg(abs(p - y))')} AS mae, {r6('sqrt(avg((p - y) * (p - y)))')} AS rmse,
   {r6('avg(abs(y - m))')} AS baseline_mae, {r6('corr(ry, rp)')} AS spearman FROM (
@@ -862,12 +891,7 @@ ORACLES["fit_quality"] = q(
   FROM (SELECT round(a.excitement) AS y, round(b.excitement) AS p FROM scores a JOIN scores b USING (item_id)
     WHERE a.model_version = 'm1' AND b.model_version = 'm2' AND a.excitement IS NOT NULL))"""
 )
-ORACLES["acceptance_gate"] = q(
-    f"""SELECT 'decline_rate' AS "check", {r6('d')} AS value, d >= 0.55 AS passed FROM f
-UNION ALL SELECT 'median_delta', {r6('md')}, md < 0 FROM f
-UNION ALL SELECT 'dose_response', {r6('m5 - m2')}, coalesce(m5 < m2, true) FROM f
-UNION ALL SELECT 'proxy_blind', {r6('pd')}, pd < 0.58 FROM f""",
-    f"""lex AS (
+_GATE = f"""lex AS (
   SELECT item_id, avg({_hype_points('text')}) AS h FROM (
     SELECT * FROM comments WHERE snapshot_kind = 'at_discovery'
     QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY rank, comment_id) <= 30) GROUP BY item_id),
@@ -877,7 +901,20 @@ o AS (
   WHERE model_version = 'm1' AND excitement IS NOT NULL AND published_at IS NOT NULL),
 u AS (
   SELECT movie_id, count(*) AS n, arg_max(excitement, k) - arg_min(excitement, k) AS delta,
-    arg_max(h, k) - arg_min(h, k) AS hd FROM o GROUP BY movie_id HAVING count(*) >= 2),
+    arg_max(h, k) - arg_min(h, k) AS hd, regr_slope(excitement, k) AS sl, regr_slope(h, k) AS hsl
+  FROM o GROUP BY movie_id HAVING count(*) >= 2)"""
+ORACLES["acceptance_summary"] = q(
+    f"""SELECT 'excitement' AS score, count(*) AS movies, count(*) FILTER (WHERE delta < 0) AS declined,
+  {r6('avg(sl)')} AS mean_slope, {r6('median(delta)')} AS median_delta FROM u
+UNION ALL SELECT 'lexicon', count(*), count(*) FILTER (WHERE hd < 0), {r6('avg(hsl)')}, {r6('median(hd)')} FROM u""",
+    _GATE,
+)
+ORACLES["acceptance_gate"] = q(
+    f"""SELECT 'decline_rate' AS "check", {r6('d')} AS value, d >= 0.55 AS passed FROM f
+UNION ALL SELECT 'median_delta', {r6('md')}, md < 0 FROM f
+UNION ALL SELECT 'dose_response', {r6('m5 - m2')}, coalesce(m5 < m2, true) FROM f
+UNION ALL SELECT 'proxy_blind', {r6('pd')}, pd < 0.58 FROM f""",
+    _GATE + """,
 f AS (
   SELECT count(*) FILTER (WHERE delta < 0) / count(*) AS d, median(delta) AS md,
     median(delta) FILTER (WHERE n >= 5) AS m5, median(delta) FILTER (WHERE n = 2) AS m2,

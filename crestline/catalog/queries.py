@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,14 @@ from pyspark.sql import types as T
 from crestline.functions import scalars as fn
 from crestline.functions.lexicon import hype_points
 from crestline.operators.ordering import latest
-from crestline.operators.upsert import missing_ids, patch, upsert
+from crestline.operators.upsert import merge_partitions, missing_ids, patch, upsert
 from crestline.plans import (
     findings, ingest, metrics, predictions, reads, reports, scores, scoring, series, training, trends,
 )
-from crestline.schemas import TABLES
+from crestline.schemas import TABLES, violations
 from crestline.session import pin, scratch_path
 from crestline.sources import payloads as raw
-from crestline.sources import sinks
+from crestline.sources import sinks, tables
 from crestline.sources.tables import spread
 from crestline.sources.testbed import AS_OF, NOW, Testbed
 from crestline.streaming import counters as stream
@@ -45,7 +46,11 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def query(fn_: Callable[[Testbed], DataFrame]) -> Callable[[Testbed], DataFrame]:
-    QUERIES[fn_.__name__] = lambda spark, sf_dir: flat(fn_(Testbed(spark, sf_dir)))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # days are UTC days
+        return flat(fn_(Testbed(spark, sf_dir)))
+
+    QUERIES[fn_.__name__] = run
     return fn_
 
 
@@ -81,7 +86,9 @@ def daily_metrics_recent(t):
 
 @query
 def item_metrics_one(t):
-    return reads.item_metrics(t.snapshots, t.items, AS_OF, "v7")
+    """The history of whichever item is growing most."""
+    top = reads.growth(t.snapshots, AS_OF, 7).orderBy(F.desc("views_gained"), "item_id").limit(1)
+    return reads.item_metrics(t.snapshots, t.items, AS_OF, top.select("item_id").scalar())
 
 
 @query
@@ -336,6 +343,50 @@ def mark_ended(t):
     return ingest.mark_ended(t.items, "2024-02-20").select("item_id", "tracking_status")
 
 
+@query
+def table_merge(t):
+    """Snapshots stored by day, today's counters merged into the stored table, read back."""
+    path = scratch_path(t.spark, "merge")
+    tables.save(t.snapshots, path, "counter_snapshots")
+    staged = pin(raw.counter_rows(t.video_documents, AS_OF, now()))
+    spec = TABLES["counter_snapshots"]
+    merge_partitions(path, staged, spec.keys, spec.partition, cluster=spec.cluster)
+    return tables.scan(t.spark, path, "counter_snapshots", since=tables.floor_for("counter_snapshots", AS_OF)).drop(
+        "collected_at"
+    )
+
+
+@query
+def bounded_scan(t):
+    """The last days of a day-partitioned table."""
+    path = scratch_path(t.spark, "scan")
+    tables.save(t.snapshots, path, "counter_snapshots")
+    since = fn.days_before(AS_OF, 3)
+    return tables.scan(t.spark, path, "counter_snapshots", since=since).drop("collected_at", "favorite_count")
+
+
+@query
+def sql_read(t):
+    """A parametrised SQL read over named frames."""
+    return tables.query(
+        t.spark,
+        "SELECT tracking_status, count(*) AS n, max(duration_seconds) AS longest FROM catalog_items"
+        " WHERE duration_seconds >= :shortest AND content_kind = :kind GROUP BY tracking_status",
+        {"catalog_items": t.items}, shortest=45, kind="movie",
+    )
+
+
+@query
+def contract_check(t):
+    """Rows of each derived table that break its contract."""
+    frames = {"items": t.items, "counter_snapshots": t.snapshots, "comments": t.comments, "predictions": t.predictions}
+    counts = [
+        violations(df, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("violations"))
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- target selection -------------------------------------------------------------
 
 
@@ -595,23 +646,26 @@ def scoring_job_merged(t):
 
 
 def _labels(t):
-    """A label per item with discovery comments, from the document labels and the vector class."""
-    marks = t.raw("embeddings").selectExpr(
+    """A label per item, from the vector class."""
+    return t.raw("embeddings").selectExpr(
         "concat('v', vec_id) as item_id", "cast(label * 10 as double) as excitement"
     )
-    return marks
 
 
-def _trained(t):
-    table = training.training_table(
+def _features(t):
+    return training.training_table(
         scoring.discovery_comments(t.embedded_comments, AS_OF), _labels(t), metrics.movie_links(t.items)
     )
-    return training.train(table, "r1", scoring.feature_layout(64))
+
+
+@query
+def feature_table(t):
+    return _features(t).select("item_id", "movie_id", "y", F.posexplode("features").alias("dim", "x"))
 
 
 @query
 def ridge_train(t):
-    _, oof = _trained(t)
+    _, oof = training.train(_features(t), "r1", scoring.feature_layout(64))
     return training.fit_quality(oof)
 
 
@@ -635,6 +689,16 @@ def acceptance_gate(t):
     return training.acceptance_gate(_gate_rows(t))
 
 
+@query
+def acceptance_summary(t):
+    """Declines by the model score and by the hype signal alone."""
+    seq = pin(training.gate_sequence(_gate_rows(t)))
+    both = [
+        training.decline_summary(seq, value).withColumn("score", F.lit(value)) for value in ("excitement", "lexicon")
+    ]
+    return both[0].unionByName(both[1])
+
+
 # --- reports ----------------------------------------------------------------------
 
 

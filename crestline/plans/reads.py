@@ -92,9 +92,9 @@ def search_items(
 
 
 def item_metrics(
-    stats: DataFrame, items: DataFrame, as_of: date | str, item_id: str, days: int = 30
+    stats: DataFrame, items: DataFrame, as_of: date | str, item_id: str | Column, days: int = 30
 ) -> DataFrame:
-    """Daily metrics of one item; the id filter reaches both scans."""
+    """Daily metrics of one item (an id, or a scalar subquery giving it); the filter reaches both scans."""
     own = F.col("item_id") == item_id
     return daily_metrics(stats.filter(own), items.filter(own), as_of, since=days).orderBy("collected_date")
 

@@ -188,15 +188,22 @@ def fit_quality(predictions: DataFrame, y: str = "y", predicted: str = "oof") ->
     )
 
 
-def acceptance_gate(scored: DataFrame) -> DataFrame:
-    """One row per check with its value and outcome.
+def gate_sequence(scored: DataFrame) -> DataFrame:
+    """Scored items in publishing order, with both scores to compare.
 
-    ``scored``: item_id, movie_id, published_at, excitement, lexicon. Movies with
-    at least two scored items count; the decline band is zero here.
+    ``scored``: item_id, movie_id, published_at, excitement, lexicon.
     """
     rows = scored.filter(F.col("excitement").isNotNull() & F.col("published_at").isNotNull())
     seq = group_ordinal(rows, ["movie_id"], ["published_at", "item_id"], "item_ordinal", "in_movie")
-    seq = pin(seq.select("movie_id", "item_ordinal", "excitement", "lexicon"))  # two scores, one order
+    return seq.select("movie_id", "item_ordinal", "excitement", "lexicon")
+
+
+def acceptance_gate(scored: DataFrame) -> DataFrame:
+    """One row per check with its value and outcome (input as for ``gate_sequence``).
+
+    Movies with at least two scored items count; the decline band is zero here.
+    """
+    seq = pin(gate_sequence(scored))  # two scores, one order
     student = banded_rollup(
         score_units(seq).select("delta", "n_items"), "delta", "n_items", SCORE_BUCKETS, 0.0
     )
