@@ -19,6 +19,9 @@ def build_session(app: str = "crestline", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # streaming state beyond the heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         **conf,
     }

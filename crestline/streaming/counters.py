@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -68,7 +71,11 @@ def ingest_events(
     spark: SparkSession, source: str, target: str, checkpoint: str, lateness: str = "1 day",
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Keep per-day event counts at ``target`` current; updated counts replace stored ones."""
+    """Keep per-day event counts at ``target`` current; updated counts replace stored ones.
+
+    State is kept for days within ``lateness`` of the newest event. Rows later
+    than that are left out here: ``rows_too_late`` tells, ``recount_days`` repairs.
+    """
     events = (
         spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
@@ -80,3 +87,19 @@ def ingest_events(
         .foreachBatch(_merge_into(target, ("item_id", "day"), "day", None))
         .start()
     )
+
+
+def rows_too_late(query: StreamingQuery) -> int:
+    """Grouped rows a finished run left out because they came after the watermark."""
+    return sum(
+        op.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for op in progress["stateOperators"]
+    )
+
+
+def recount_days(spark: SparkSession, source: str, target: str, days: Sequence[date]) -> None:
+    """Count the given days again from all events, however late, and replace them at ``target``."""
+    events = spark.read.schema(EVENTS_DDL).parquet(source)
+    counts = daily_event_counts(events.filter(F.to_date("ts").isin(*days)))
+    merge_partitions(target, pin(counts), ("item_id", "day"), "day")
