@@ -142,15 +142,17 @@ class Workspace:
         self.replace("items", run.items)
         return captured.count()
 
-    def discover(self, found: ingest.Discovery, kind: str) -> None:
-        """Bring titles, items, providers and credits up to date with one discovery."""
-        self.replace("items", ingest.merge_discovered_items(self.table("items"), found.items))
+    def discover(self, found: ingest.Discovery, kind: str) -> int:
+        """Bring titles, items, providers and credits up to date; returns how many items were found."""
+        items = pin(found.items)
+        self.replace("items", ingest.merge_discovered_items(self.table("items"), items))
         parts = {"movies" if kind == "movie" else "shows": found.titles, "providers": found.providers,
                  "credits": found.credits}
         if found.seasons is not None:
             parts["seasons"] = found.seasons
         for name, rows in parts.items():
             self.replace(name, upsert(self.table(name), rows, TABLES[name].keys))
+        return items.count()
 
     def score_comments(self, embedded: DataFrame, head: scoring.LinearHead, now: Column, dim: int) -> int:
         rows, _ = scoring.score_run(embedded, self.table("scores"), head, self.as_of, now, dim)
@@ -160,15 +162,58 @@ class Workspace:
 
     def capture_transcripts(
         self, attempts: DataFrame, now: Column, limit: int | None = ingest.TRANSCRIPTS_PER_RUN
-    ) -> None:
+    ) -> int:
+        before = self.table("transcripts").count()
         merged, items = ingest.transcript_run(self.table("items"), self.table("transcripts"), attempts, now, limit)
         self.replace("transcripts", merged)
         self.replace("items", items)
+        return self.table("transcripts").count() - before
 
-    def update_predictions(self, now: Column, top: int = 50) -> None:
+    def update_predictions(self, now: Column, top: int = 50) -> int:
         found = pin(self.interesting_findings(top=top))
         log = predictions.daily_update(self.table("predictions"), self.table("items"), found, self.as_of, now)
         self.replace("predictions", log)
+        return self.table("predictions").filter(F.col("predicted_at") == F.lit(self.as_of)).count()
 
     def append_run_log(self, log: sinks.RunLog) -> None:
         self.replace("run_log", log.merged_into(self.table("run_log")))
+
+    def run_day(
+        self,
+        at: datetime,
+        movie_listings: DataFrame | None = None,
+        tv_listings: DataFrame | None = None,
+        documents: DataFrame | None = None,
+        threads: DataFrame | None = None,
+        embedded: DataFrame | None = None,
+        head: scoring.LinearHead | None = None,
+        dim: int = 0,
+        attempts: DataFrame | None = None,
+        predict: bool = True,
+        run_id: str | None = None,
+    ) -> DataFrame:
+        """All phases that have input, in their fixed order; returns this run's log rows.
+
+        A failing phase ends the run; the log is kept either way.
+        """
+        now = F.lit(at)
+        log = sinks.RunLog(self.spark, run_id)
+        phases = [
+            ("discover_movies", movie_listings,
+             lambda: self.discover(ingest.discover_movies(movie_listings, now), "movie")),
+            ("discover_tv", tv_listings,
+             lambda: self.discover(ingest.discover_tv(tv_listings, self.as_of, now), "tv")),
+            ("stats", documents, lambda: self.collect_counters(documents, now, ingest.MAX_ACTIVE_ITEMS)),
+            ("comments", threads, lambda: self.collect_comments(threads, now)),
+            ("excitement", embedded, lambda: self.score_comments(embedded, head, now, dim)),
+            ("transcripts", attempts, lambda: self.capture_transcripts(attempts, now)),
+            ("predictions", predict or None, lambda: self.update_predictions(now)),
+        ]
+        try:
+            for name, given, job in phases:
+                if given is not None:
+                    with log.phase(name) as ctx:
+                        ctx["items_processed"] = job()
+        finally:
+            self.append_run_log(log)
+        return log.rows()

@@ -204,6 +204,22 @@ def test_daily_jobs_and_documents(spark, workspace, tmp_path):
     assert spark.read.json(f"{out}/meta").first().model_version == "m2"
 
 
+def test_a_whole_day_is_logged_in_order(spark, tmp_path):
+    bed = Testbed(spark, ROOT)
+    ws = Workspace(spark, str(tmp_path / "ws"), date.fromisoformat(AS_OF))
+    at = datetime(2024, 1, 30, 6)
+    log = ws.run_day(at, bed.movie_listings, bed.tv_listings, documents=bed.video_documents, run_id="r1")
+    got = {r.phase: (r.items_processed, r.errors) for r in log.collect()}
+    assert list(got) == ["discover_movies", "discover_tv", "stats", "predictions"]
+    assert got["discover_movies"][0] > 100 and got["stats"] == (0, 0)  # none of the documents is of these items
+    assert ws.table("items").filter("content_kind = 'tv'").count() == got["discover_tv"][0]
+    assert ws.table("credits").count() > 0 and ws.table("seasons").count() > 0
+    with pytest.raises(AttributeError):
+        ws.run_day(at, embedded=bed.embedded_comments, head=None, run_id="r2")
+    stored = {(r.run_id, r.phase): r.errors for r in ws.table("run_log").collect()}
+    assert stored[("r2", "excitement")] == 1 and len(stored) == 5
+
+
 def test_a_failing_section_leaves_its_empty_document(spark, tmp_path):
     def broken():
         raise RuntimeError("no scores")
