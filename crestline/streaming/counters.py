@@ -69,24 +69,32 @@ def daily_event_counts(events: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 def ingest_events(
     spark: SparkSession, source: str, target: str, checkpoint: str, lateness: str = "1 day",
-    files_per_batch: int = 1000,
+    files_per_batch: int = 1000, state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep per-day event counts at ``target`` current; updated counts replace stored ones.
 
     State is kept for days within ``lateness`` of the newest event. Rows later
     than that are left out here: ``rows_too_late`` tells, ``recount_days`` repairs.
+    The state is split into ``state_partitions`` (one per core unless given),
+    which the first run fixes for good.
     """
     events = (
         spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
-    return (
+    writer = (
         daily_event_counts(events, lateness)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(_merge_into(target, ("item_id", "day"), "day", None))
-        .start()
     )
+    setting = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        return writer.start()  # the query keeps the settings it starts with
+    finally:
+        spark.conf.set(setting, usual)
 
 
 def rows_too_late(query: StreamingQuery) -> int:
