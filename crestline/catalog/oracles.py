@@ -234,7 +234,7 @@ _ALL_FINDINGS = (
 _URL = "CASE WHEN poster_path <> '' THEN 'https://image.tmdb.org/t/p/w500' || poster_path END"
 
 
-def _trending(days: int, limit: int) -> str:
+def _trending(days: int, limit: int, keep: str = "true") -> str:
     return f"""growth AS (
   SELECT item_id, CAST(sum(delta_views) AS BIGINT) AS views_gained, CAST(sum(delta_likes) AS BIGINT) AS likes_gained,
     max(view_count) AS view_count, avg(like_view_ratio) AS avg_like_view_ratio
@@ -242,7 +242,7 @@ def _trending(days: int, limit: int) -> str:
 top AS (
   SELECT item_id, content_kind, title, name AS item_name, tracking_status, release_date, countries, poster_path,
     views_gained, likes_gained, g.view_count, avg_like_view_ratio, {_URL} AS poster_url
-  FROM growth g JOIN titled USING (item_id) WHERE views_gained IS NOT NULL
+  FROM growth g JOIN titled USING (item_id) WHERE views_gained IS NOT NULL AND {keep}
   ORDER BY views_gained DESC, item_id LIMIT {limit})"""
 
 
@@ -286,11 +286,14 @@ _COUNTRY = """country AS (
 
 ORACLES: dict[str, str] = {}
 
-ORACLES["trending"] = q(
+_TREND = (
     f"SELECT item_id, content_kind, title, item_name, tracking_status, release_date, {join_list('countries')}"
     f" AS origin_countries, poster_path, views_gained, likes_gained, view_count,"
-    f" {r6('avg_like_view_ratio')} AS avg_like_view_ratio, poster_url FROM top",
-    _trending(7, 20),
+    f" {r6('avg_like_view_ratio')} AS avg_like_view_ratio, poster_url FROM top"
+)
+ORACLES["trending"] = q(_TREND, _trending(7, 20))
+ORACLES["trending_country"] = q(
+    _TREND, _trending(14, 20, "content_kind = 'movie' AND list_contains(countries, 'US')")
 )
 _V1_COLS = (
     "collected_date, view_count, like_count, comment_count, delta_views, delta_likes, delta_comments,"

@@ -71,7 +71,14 @@ def sequence(t: Testbed, version: str | None = None) -> DataFrame:
 
 @query
 def trending(t):
-    return reads.trending(t.snapshots, titled(t), AS_OF)
+    return reads.trending(t.snapshots, t.items, t.movies, t.shows, t.seasons, AS_OF)
+
+
+@query
+def trending_country(t):
+    return reads.trending(
+        t.snapshots, t.items, t.movies, t.shows, t.seasons, AS_OF, 14, content_kind="movie", country="US"
+    )
 
 
 @query
@@ -133,7 +140,7 @@ def top_countries(t):
 
 @query
 def carousel(t):
-    return reads.carousel(t.snapshots, titled(t), AS_OF)
+    return reads.carousel(t.snapshots, t.items, t.movies, t.shows, t.seasons, AS_OF)
 
 
 @query

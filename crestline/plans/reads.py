@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crestline.functions.scalars import days_before, image_url, or_unknown
 from crestline.operators.ordering import top_n
 from crestline.plans.metrics import counter_deltas, daily_metrics, movie_links
+from crestline.session import pin
 from crestline.sources.tables import COMMENT_FLOOR_DAYS, COUNTER_FLOOR_DAYS
 
 MAX_ROWS = 100
@@ -52,6 +53,21 @@ def titled_items(
     )
 
 
+def title_few(
+    few: DataFrame, movies: DataFrame, shows: DataFrame, seasons: DataFrame
+) -> DataFrame:
+    """``titled_items`` for a pinned top list: the titles are cut to its ids before any join.
+
+    ``few`` holds at most ``MAX_ROWS`` items, so its ids are broadcast and the
+    title tables are only scanned.
+    """
+
+    def own(dim: DataFrame, key: str) -> DataFrame:
+        return dim.join(F.broadcast(few.select(key)), key, "left_semi")
+
+    return titled_items(few, own(movies, "movie_id"), own(shows, "tv_id"), own(seasons, "tv_id"))
+
+
 def null_salt(key: Column, row_id: Column, parts: int = 1024) -> Column:
     """0 next to a real key; next to a null one a number that scatters the rows."""
     return F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(parts))).otherwise(0).cast("int")
@@ -145,31 +161,46 @@ def growth(stats: DataFrame, as_of: date | str, period_days: int) -> DataFrame:
 
 def trending(
     stats: DataFrame,
-    titled: DataFrame,
+    items: DataFrame,
+    movies: DataFrame,
+    shows: DataFrame,
+    seasons: DataFrame,
     as_of: date | str,
     period_days: int = 7,
     content_kind: str | None = None,
     country: str | None = None,
     limit: int = 20,
 ) -> DataFrame:
-    """Items with the largest view growth over the period."""
-    return (
-        growth(stats, as_of, period_days)
-        .join(titled.filter(_title_filter(content_kind, country)), "item_id")
-        .select(
-            "item_id", "content_kind", "title", "item_name", "tracking_status", "release_date",
-            "origin_countries", "poster_path", "views_gained", "likes_gained", "view_count",
-            "avg_like_view_ratio", image_url(F.col("poster_path")).alias("poster_url"),
-        )
-        .orderBy(F.desc("views_gained"), "item_id")
-        .limit(min(limit, MAX_ROWS))
-    )
+    """Items with the largest view growth over the period.
 
-
-def carousel(stats: DataFrame, titled: DataFrame, as_of: date | str) -> DataFrame:
+    Titles are resolved for the winners only, unless a country, which is known
+    from the title alone, takes part in the choice.
+    """
+    gains = growth(stats, as_of, period_days)
+    by_gain = [F.desc("views_gained"), F.col("item_id")]
+    n = min(limit, MAX_ROWS)
+    if country:
+        titled = titled_items(items, movies, shows, seasons).filter(_title_filter(content_kind, country))
+        winners = gains.join(titled, "item_id").orderBy(*by_gain).limit(n)
+    else:
+        kept = items.filter(_title_filter(content_kind, None))
+        top = pin(gains.join(kept.select("item_id"), "item_id").orderBy(*by_gain).limit(n))
+        few = pin(kept.join(F.broadcast(top.select("item_id")), "item_id", "left_semi"))
+        winners = F.broadcast(top).join(title_few(few, movies, shows, seasons), "item_id")
+    return winners.select(
+        "item_id", "content_kind", "title", "item_name", "tracking_status", "release_date",
+        "origin_countries", "poster_path", "views_gained", "likes_gained", "view_count",
+        "avg_like_view_ratio", image_url(F.col("poster_path")).alias("poster_url"),
+    ).orderBy(*by_gain)
+
+
+def carousel(
+    stats: DataFrame, items: DataFrame, movies: DataFrame, shows: DataFrame, seasons: DataFrame,
+    as_of: date | str,
+) -> DataFrame:
     """The month's top items; those without a poster drop out of the ten afterwards."""
     return (
-        trending(stats, titled, as_of, CAROUSEL_DAYS, limit=CAROUSEL_SIZE)
+        trending(stats, items, movies, shows, seasons, as_of, CAROUSEL_DAYS, limit=CAROUSEL_SIZE)
         .filter(F.col("poster_url").isNotNull())
         .select(
             "item_id", "title", "poster_url", "views_gained", "likes_gained", "view_count",

@@ -66,7 +66,10 @@ class Workspace:
         return reads.top_comments(self.table("comments"), self.as_of, item_id, snapshot_kind, limit)
 
     def trending(self, **options) -> DataFrame:
-        return reads.trending(self.table("counter_snapshots"), self.titled(), self.as_of, **options)
+        return reads.trending(*self._for_trending(), self.as_of, **options)
+
+    def _for_trending(self) -> list[DataFrame]:
+        return [self.table(t) for t in ("counter_snapshots", "items", "movies", "shows", "seasons")]
 
     def movie_engagement_trend(self, movie_id: int | None = None, days: int = 30) -> DataFrame:
         """All movies, or one: the filter goes below the joins and windows."""
@@ -112,7 +115,7 @@ class Workspace:
         stats, items, movies = (self.table(t) for t in ("counter_snapshots", "items", "movies"))
         version = metrics.latest_version(self.table("scores"), self.as_of).first()
         builders = {
-            "carousel": lambda: reads.carousel(stats, self.titled(), self.as_of),
+            "carousel": lambda: reads.carousel(*self._for_trending(), self.as_of),
             "excitement_decay": self.comment_excitement_decay,
             "excitement_examples": lambda: scores.score_examples(self.table("scores"), items, movies, self.as_of),
             "views_timeseries": lambda: series.view_timeseries(stats, items, movies, self.as_of),

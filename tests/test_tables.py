@@ -4,6 +4,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from crestline.plans import scoring
 from crestline.schemas import TABLES
 from crestline.sources import sinks, tables
 from crestline.sources.testbed import AS_OF, NOW, Testbed
@@ -47,6 +48,17 @@ def test_labels(spark, tmp_path):
     assert [(r.item_id, r.excitement) for r in tables.read_labels(spark, str(path)).collect()] == [("a", 40.0)]
 
 
+def test_training_export_is_one_object_per_item(spark, tmp_path):
+    bed, out = Testbed(spark, ROOT), str(tmp_path / "set")
+    sets = scoring.comment_sets(scoring.discovery_comments(bed.comments, AS_OF))
+    rows = sinks.training_set(sets, bed.items, bed.movies)
+    sinks.export_training_set(rows, out)
+    back = spark.read.json(out)
+    assert back.count() == rows.count() > 0
+    first = back.orderBy("item_id").first()
+    assert len(first.comments) >= 3 and first.comments[0].rank == min(c.rank for c in first.comments)
+
+
 def test_versions_are_replaced_only_when_complete(spark, tmp_path):
     base = str(tmp_path / "run_log")
     assert tables.read_current(spark, base, "run_log").count() == 0
