@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from crestline.llm.packing import op8_best_fit_packing
 from crestline.llm.simhash_dedup import op1_simhash_near_dedup
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op8_best_fit_packing)}
 ORACLES: dict[str, str] = {}
