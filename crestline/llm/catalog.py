@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from crestline.llm.decontamination import OP10_SQL, op10_decontamination
+from crestline.llm.licenses import OP9_SQL, op9_license_scan
 from crestline.llm.packing import op8_best_fit_packing
 from crestline.llm.simhash_dedup import op1_simhash_near_dedup
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op8_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f for f in (op1_simhash_near_dedup, op8_best_fit_packing, op9_license_scan, op10_decontamination)
+}
+ORACLES = {"op9_license_scan": OP9_SQL, "op10_decontamination": OP10_SQL}
