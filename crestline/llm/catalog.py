@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from crestline.llm.decontamination import OP10_SQL, op10_decontamination
+from crestline.llm.language_id import op4_language_id
 from crestline.llm.licenses import OP9_SQL, op9_license_scan
 from crestline.llm.line_dedup import op5_line_dedup
 from crestline.llm.packing import op8_best_fit_packing
+from crestline.llm.quality_model import op3_quality_classifier
 from crestline.llm.quality_rules import OP7_SQL, op7_quality_rules
 from crestline.llm.simhash_dedup import op1_simhash_near_dedup
+from crestline.llm.toxicity import op2_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_simhash_near_dedup, op5_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_decontamination,
+        op1_simhash_near_dedup, op2_toxicity, op3_quality_classifier, op4_language_id, op5_line_dedup, op7_quality_rules,
+        op8_best_fit_packing, op9_license_scan, op10_decontamination,
     )
 }
 ORACLES = {
