@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from crestline.llm.chat_format import op6_chat_formatting
 from crestline.llm.decontamination import OP10_SQL, op10_decontamination
 from crestline.llm.language_id import op4_language_id
 from crestline.llm.licenses import OP9_SQL, op9_license_scan
@@ -15,8 +16,8 @@ from crestline.llm.toxicity import op2_toxicity
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_simhash_near_dedup, op2_toxicity, op3_quality_classifier, op4_language_id, op5_line_dedup, op7_quality_rules,
-        op8_best_fit_packing, op9_license_scan, op10_decontamination,
+        op1_simhash_near_dedup, op2_toxicity, op3_quality_classifier, op4_language_id, op5_line_dedup,
+        op6_chat_formatting, op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_decontamination,
     )
 }
 ORACLES = {
