@@ -165,7 +165,7 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text", proximity: bool = True,
 ) -> DataFrame:
-    """``doc_id, n_words, n_hit, item_ids`` (sorted, as text), ``near_items, contaminated``: one row per row of ``docs``.
+    """``doc_id, row, n_words, n_hit, item_ids`` (sorted, as text), ``near_items, contaminated``: one row per row of ``docs``.
 
     A word is hit inside any occurrence of a window of 13 words of an item, or of a whole
     shorter item. A text is contaminated when a word is hit and hits are a twentieth of
@@ -198,7 +198,7 @@ def contamination(
         near = F.coalesce("near", F.lit(0))
     n_hit = F.coalesce("n_hit", F.lit(0))
     return out.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        "doc_id", "row", "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         near.alias("near_items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
