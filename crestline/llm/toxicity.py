@@ -125,8 +125,10 @@ def automaton(terms) -> Automaton:
     while todo:
         state = todo.pop()
         row = []
+        labels = {c for node, _ in state for c in children[node]}
+        other = step(state, 0)  # where every character leads that no node here waits for
         for c in range(len(alphabet) + 1):
-            nxt = step(state, c)
+            nxt = step(state, c) if c in labels else other
             if nxt not in number:
                 number[nxt] = len(moves)
                 moves.append([])
@@ -201,6 +203,7 @@ class Reader:
 @dataclasses.dataclass
 class Model:
     terms: list[str]
+    found: Automaton
     weights: np.ndarray
     bias: float
 
@@ -238,9 +241,9 @@ def regression(x: np.ndarray, y: np.ndarray, share: float, penalty: float = 0.05
     return w[:-1], float(w[-1])
 
 
-def _measured(terms):
+def _measured(found: Automaton):
     def run(batches):
-        reader = Reader(automaton(terms))
+        reader = Reader(found)
         for batch in batches:
             rows = np.array([reader.features(t.as_py()) for t in batch.column(1)]).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays(
@@ -250,11 +253,11 @@ def _measured(terms):
     return run
 
 
-def measure(docs: DataFrame, terms: list[str], key: str, text_col: str = "text") -> DataFrame:
-    """``key, f0 ...``: the features of every row."""
+def measure(docs: DataFrame, found: Automaton, key: str, text_col: str = "text") -> DataFrame:
+    """``key, f0 ...``: the features of every row. The table is built once and travels with the tasks."""
     read = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    return read.mapInArrow(_measured(terms), f"key {kind}, " + ", ".join(f"f{i} double" for i in range(FEATURES)))
+    return read.mapInArrow(_measured(found), f"key {kind}, " + ", ".join(f"f{i} double" for i in range(FEATURES)))
 
 
 def train(
@@ -266,7 +269,7 @@ def train(
     known = labels.select(F.col(id_col).alias("key"), F.col(label).cast("int").alias("y")).where("key is not null and y in (0, 1)").distinct()
     sizes = class_counts(known, "y")
     if not sizes:
-        return Model([], np.zeros(FEATURES), 0.0)
+        return Model([], automaton([]), np.zeros(FEATURES), 0.0)
     most = {1: toxic_rows, 0: clean_rows}
     # at most those rows, so the broadcast has that bound
     picked = F.broadcast(bounded_sample(known, "y", sizes, most, "key"))
@@ -274,13 +277,14 @@ def train(
     sample = written(texts.join(picked, "key").select("y", "text"), "toxicity-sample")
     seen = class_counts(sample, "y")
     terms = lexicon(sample, seen.get(1, 0), seen.get(0, 0))
-    rows = measure(sample, terms, "y").toPandas()
+    found = automaton(terms)
+    rows = measure(sample, found, "y").toPandas()
     if not len(rows):
-        return Model([], np.zeros(FEATURES), 0.0)
+        return Model([], automaton([]), np.zeros(FEATURES), 0.0)
     rows = rows.sort_values(list(rows.columns))
     x, y = rows.drop(columns="key").to_numpy(float), rows["key"].to_numpy(float)
     weights, bias = regression(x, y, sizes.get(1, 0) / sum(sizes.values()))
-    return Model(terms, weights, bias)
+    return Model(terms, found, weights, bias)
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,7 +297,7 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     raw = F.lit(float(model.bias))
     for i, w in enumerate(model.weights):
         raw = raw + F.lit(float(w)) * F.col(f"f{i}")
-    return measure(docs, model.terms, id_col, text_col).select(
+    return measure(docs, model.found, id_col, text_col).select(
         F.col("key").alias("doc_id"), (1 / (1 + F.exp(-raw))).alias("score"), (F.col("f0") > 0).alias("hits")
     )
 
