@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +48,11 @@ def ingest_snapshots(
     )
 
 
-def daily_event_counts(events: DataFrame, lateness: str = "1 day") -> DataFrame:
+def daily_event_counts(events: DataFrame) -> DataFrame:
     """Events per user and day (views: every event, likes: clicks, comments: purchases)."""
     kind = F.col("event_type")
     return (
-        events.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", lateness)
-        .groupBy(F.window("ts", "1 day").alias("w"), "user_id")
+        events.groupBy(F.to_date("ts").alias("day"), "user_id")
         .agg(
             F.count("*").alias("views"),
             F.count_if(kind == "click").alias("likes"),
@@ -62,52 +60,60 @@ def daily_event_counts(events: DataFrame, lateness: str = "1 day") -> DataFrame:
         )
         .select(
             F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("item_id"),
-            F.to_date("w.start").alias("day"), *DAILY_COUNTS,
+            "day", *DAILY_COUNTS,
         )
     )
 
 
 def ingest_events(
-    spark: SparkSession, source: str, target: str, checkpoint: str, lateness: str = "1 day",
-    files_per_batch: int = 1000, state_partitions: int | None = None,
+    spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Keep per-day event counts at ``target`` current; updated counts replace stored ones.
+    """Keep per-day event counts at ``target`` current, whatever order the files arrive in.
 
-    State is kept for days within ``lateness`` of the newest event. Rows later
-    than that are left out here: ``rows_too_late`` tells, ``recount_days`` repairs.
-    The state is split into ``state_partitions`` (one per core unless given),
-    which the first run fixes for good.
+    A batch only says which days have new events; those days are counted again from all
+    of ``source`` and replaced. No state is kept and nothing is ever too late. A replayed
+    batch counts the same days once more.
     """
     events = (
         spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
-    writer = (
-        daily_event_counts(events, lateness)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+
+    def recount(batch: DataFrame, _batch_id: int) -> None:
+        # one value per calendar day
+        days = [r[0] for r in batch.select(F.to_date("ts").alias("day")).distinct().collect() if r[0]]
+        if days:
+            recount_days(batch.sparkSession, source, target, days)
+
+    return (
+        events.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(_merge_into(target, ("item_id", "day"), "day", None))
-    )
-    setting = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(setting)
-    spark.conf.set(setting, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
-        return writer.start()  # the query keeps the settings it starts with
-    finally:
-        spark.conf.set(setting, usual)
-
-
-def rows_too_late(query: StreamingQuery) -> int:
-    """Grouped rows a finished run left out because they came after the watermark."""
-    return sum(
-        op.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
+        .foreachBatch(recount)
+        .start()
     )
 
 
 def recount_days(spark: SparkSession, source: str, target: str, days: Sequence[date]) -> None:
-    """Count the given days again from all events, however late, and replace them at ``target``."""
+    """Count the given days from all events and replace them at ``target``.
+
+    Days are compared as ranges of instants, which the scan can prune on.
+    """
     events = spark.read.schema(EVENTS_DDL).parquet(source)
-    counts = daily_event_counts(events.filter(F.to_date("ts").isin(*days)))
+    wanted = F.lit(False)
+    for first, last in _runs(sorted(days)):
+        wanted = wanted | (
+            (F.col("ts") >= F.lit(first.isoformat()).cast("timestamp_ntz"))
+            & (F.col("ts") < F.lit((last + timedelta(days=1)).isoformat()).cast("timestamp_ntz"))
+        )
+    counts = daily_event_counts(events.filter(wanted))
     merge_partitions(target, pin(counts), ("item_id", "day"), "day")
+
+
+def _runs(days: Sequence[date]) -> list[tuple[date, date]]:
+    """Sorted days as stretches of consecutive ones."""
+    out: list[tuple[date, date]] = []
+    for d in days:
+        if out and d - out[-1][1] <= timedelta(days=1):
+            out[-1] = (out[-1][0], d)
+        else:
+            out.append((d, d))
+    return out
