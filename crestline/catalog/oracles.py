@@ -509,7 +509,7 @@ ORACLES["predictions_recorded"] = q(
     " headline AS basis, 'open' AS status, CAST(NULL AS DATE) AS resolved_at, CAST(NULL AS VARCHAR) AS"
     f" resolved_item_id, CAST(NULL AS BIGINT) AS resolved_lag_days, {NOW} AS created_at, {NOW} AS updated_at"
     " FROM best WHERE kind = 'trailer_due' AND movie_id NOT IN"
-    " (SELECT movie_id FROM preds WHERE status = 'open' AND predicted_at = DATE '2024-01-23')",
+    " (SELECT CASE WHEN movie_id % 2 = 1 THEN -movie_id ELSE movie_id END FROM preds WHERE status = 'open')",
     _ALL_FINDINGS,
 )
 ORACLES["predictions_resolved"] = q(
@@ -519,7 +519,7 @@ ORACLES["predictions_resolved"] = q(
 )
 ORACLES["predictions_daily_update"] = q(
     f"SELECT * FROM log_after UNION ALL SELECT movie_id || '-2024-01-30', movie_id, {AS_OF}, 'open', NULL, NULL,"
-    f" NULL, {NOW} FROM (SELECT * FROM best ORDER BY raw DESC, prio, movie_id LIMIT 50) WHERE kind = 'trailer_due'"
+    f" NULL, {NOW} FROM best WHERE kind = 'trailer_due'"
     " AND movie_id NOT IN (SELECT movie_id FROM log_after WHERE status = 'open')",
     _ALL_FINDINGS,
 )
@@ -533,17 +533,19 @@ _LAST_ORDER = (
     "last_order AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)"
 )
 ORACLES["upsert_merge"] = q(
-    f"""SELECT coalesce(c_custkey, o_custkey) AS k,
+    f"""SELECT coalesce(ck, o_custkey) AS k,
   CASE WHEN c_custkey IS NULL THEN 'order ' || o_orderkey ELSE c_name END AS name,
   {r6('CASE WHEN o_custkey IS NOT NULL THEN o_totalprice ELSE c_acctbal END')} AS amount,
   CASE WHEN c_custkey IS NOT NULL AND o_custkey IS NOT NULL THEN o_orderstatus END AS status
-FROM (SELECT * FROM customer WHERE c_custkey % 3 <> 0) FULL JOIN last_order ON c_custkey = o_custkey""",
+FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS ck FROM customer)
+FULL JOIN last_order ON ck = o_custkey""",
     _LAST_ORDER,
 )
 ORACLES["patch_update"] = q(
-    f"""SELECT c_custkey AS k, c_name AS name, {r6('c_acctbal + coalesce(o_totalprice, 0)')} AS amount,
+    f"""SELECT ck AS k, c_name AS name, {r6('c_acctbal + coalesce(o_totalprice, 0)')} AS amount,
   CASE WHEN o_custkey IS NULL THEN NULL WHEN o_orderstatus = 'P' THEN 'kept' ELSE o_orderstatus END AS status
-FROM customer LEFT JOIN last_order ON c_custkey = o_custkey WHERE c_custkey % 3 <> 0""",
+FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS ck FROM customer)
+LEFT JOIN last_order ON ck = o_custkey""",
     _LAST_ORDER,
 )
 ORACLES["bounded_scan"] = q(f"SELECT * FROM snaps WHERE collected_date >= {AS_OF} - 3")
@@ -583,7 +585,7 @@ ORACLES["select_untranscribed"] = q(
 )
 ORACLES["anti_join_unscored"] = q(
     "SELECT DISTINCT item_id FROM comments WHERE snapshot_kind = 'at_discovery' AND item_id NOT IN"
-    " (SELECT item_id FROM scores WHERE excitement > 50 AND model_version = 'm1')"
+    " (SELECT item_id FROM scores WHERE CAST(substr(item_id, 2) AS BIGINT) % 3 <> 0 AND model_version = 'm1')"
 )
 
 # --- documents: the expected rows straight from the source columns ------------------
@@ -753,10 +755,11 @@ ORACLES["comment_run_rows"] = q(
   CASE WHEN n.item_id IS NULL THEN c.rank ELSE n.rank END AS rank,
   CASE WHEN n.item_id IS NULL THEN c.like_count ELSE n.like_count END AS like_count
 FROM comments c FULL JOIN (
-  SELECT item_id, kind AS snapshot_kind, c || '-' || i AS comment_id, i + 1 AS rank, c % 50 + i AS like_count
+  SELECT item_id, kind AS snapshot_kind, c || '-' || i AS comment_id, i + 1 AS rank, c % 50 + i AS like_count, {AS_OF} AS d
   FROM (SELECT *, unnest(range(0, c % 4 + 1)) AS i FROM due_items), (VALUES ('at_discovery'), ('pre_release')) AS k(kind)
   WHERE c % 10 NOT IN (4, 5) AND CASE kind WHEN 'at_discovery' THEN disc ELSE pre END) n
-  ON c.item_id = n.item_id AND c.snapshot_kind = n.snapshot_kind AND c.comment_id = n.comment_id""",
+  ON c.item_id = n.item_id AND c.snapshot_kind = n.snapshot_kind AND c.comment_id = n.comment_id
+  AND c.snapshot_date = n.d""",
     _DUE,
 )
 _WS = r"[\p{Z}\t\n\v\f\r\x1c-\x1f\x{85}]"
@@ -875,10 +878,10 @@ ORACLES["scoring_job"] = q(
 )
 ORACLES["scoring_job_merged"] = q(
     f"""SELECT model_version, scored_date, count(*) AS n FROM (
-  SELECT CASE model_version WHEN 'm2' THEN 'h1' ELSE model_version END AS model_version, scored_date FROM scores
-  WHERE excitement > 50
+  SELECT CASE WHEN model_version = 'm2' AND CAST(substr(item_id, 2) AS BIGINT) % 3 <> 0 THEN 'h1' ELSE model_version END
+    AS model_version, scored_date FROM scores
   UNION ALL SELECT 'h1', {AS_OF} FROM (SELECT DISTINCT item_id FROM dc WHERE item_id NOT IN
-    (SELECT item_id FROM scores WHERE excitement > 50 AND model_version = 'm2'))) GROUP BY ALL""",
+    (SELECT item_id FROM scores WHERE CAST(substr(item_id, 2) AS BIGINT) % 3 <> 0 AND model_version = 'm2'))) GROUP BY ALL""",
     _DISC_C,
 )
 ORACLES["feature_table"] = q(
@@ -954,4 +957,8 @@ ORACLES["daily_counters_stream"] = (
     " count(*) FILTER (WHERE event_type = 'click') AS likes,"
     " count(*) FILTER (WHERE event_type = 'purchase') AS comments FROM events GROUP BY ALL"
 )
+ORACLES["daily_counters_out_of_order"] = ORACLES["daily_counters_stream"]
+ORACLES["merge_repeated_keys"] = (
+    "SELECT user_id AS k, max(event_id) AS at, arg_max(event_type, event_id) AS kind FROM events GROUP BY user_id"
+)
 ORACLES["snapshots_stream"] = q("SELECT item_id, view_count, like_count, comment_count, collected_date FROM snaps")

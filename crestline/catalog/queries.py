@@ -20,7 +20,6 @@ from crestline.schemas import TABLES, violations
 from crestline.session import pin, scratch_path
 from crestline.sources import payloads as raw
 from crestline.sources import sinks, tables
-from crestline.sources.tables import spread
 from crestline.sources.testbed import AS_OF, NOW, Testbed
 from crestline.streaming import counters as stream
 
@@ -282,7 +281,8 @@ def predictions_open(t):
 
 @query
 def predictions_recorded(t):
-    log = t.predictions.filter("predicted_at = date'2024-01-23'")  # the last logged day
+    # the calls of odd movies come from elsewhere, so that some are new
+    log = t.predictions.withColumn("movie_id", F.expr("if(movie_id % 2 = 1, -movie_id, movie_id)"))
     return predictions.new_predictions(log, _findings(t, top=None), AS_OF, now())
 
 
@@ -293,7 +293,7 @@ def predictions_resolved(t):
 
 @query
 def predictions_daily_update(t):
-    log = predictions.daily_update(t.predictions, t.items, _findings(t, top=50), AS_OF, now())
+    log = predictions.daily_update(t.predictions, t.items, _findings(t, top=None), AS_OF, now())
     return log.select(
         "prediction_id", "movie_id", "predicted_at", "status", "resolved_at", "resolved_item_id",
         "resolved_lag_days", "updated_at",
@@ -313,8 +313,9 @@ def track_record(t):
 def _order_totals(t):
     """A customer table with order figures, and staged orders with repeated customer keys."""
     target = t.raw("customer").selectExpr(
-        "c_custkey as k", "c_name as name", "c_acctbal as amount", "cast(null as string) as status"
-    ).filter("k % 3 <> 0")
+        "if(c_custkey % 3 = 0, -c_custkey, c_custkey) as k",  # every third one has no orders
+        "c_name as name", "c_acctbal as amount", "cast(null as string) as status",
+    )
     staged = t.raw("orders").selectExpr(
         "o_custkey as k", "concat('order ', o_orderkey) as name", "o_totalprice as amount",
         "o_orderstatus as status", "o_orderkey as seq",
@@ -356,6 +357,7 @@ def table_merge(t):
     path = scratch_path(t.spark, "merge")
     tables.save(t.snapshots, path, "counter_snapshots")
     staged = pin(raw.counter_rows(t.video_documents, AS_OF, now()))
+    staged = staged.unionByName(staged.withColumn("view_count", F.lit(-1).cast("bigint")))  # older readings of the same day
     spec = TABLES["counter_snapshots"]
     merge_partitions(path, staged, spec.keys, spec.partition, cluster=spec.cluster)
     return tables.scan(t.spark, path, "counter_snapshots", since=tables.floor_for("counter_snapshots", AS_OF)).drop(
@@ -399,7 +401,7 @@ def contract_check(t):
 
 @query
 def select_active(t):
-    return ingest.active_targets(t.items, AS_OF, limit=None)
+    return ingest.active_targets(t.items, AS_OF)
 
 
 @query
@@ -414,12 +416,14 @@ def select_pre_release(t):
 
 @query
 def select_untranscribed(t):
-    return ingest.transcript_targets(t.items, None)
+    return ingest.transcript_targets(t.items)
 
 
 @query
 def anti_join_unscored(t):
-    return scoring.unscored_items(t.comments, t.scores.filter("excitement > 50"), "m1", AS_OF)
+    # every third item's scores are from another version
+    scores = t.scores.withColumn("model_version", F.expr("if(substr(item_id, 2) % 3 = 0, 'old', model_version)"))
+    return scoring.unscored_items(t.comments, scores, "m1", AS_OF)
 
 
 # --- documents ------------------------------------------------------------------
@@ -505,7 +509,7 @@ def discovery_merge(t):
 
 @query
 def counter_run_items(t):
-    run = ingest.counter_run(t.items, t.snapshots, t.video_documents, AS_OF, now(), limit=None)
+    run = ingest.counter_run(t.items, t.snapshots, t.video_documents, AS_OF, now())
     return run.items.select(
         "item_id", "tracking_status", "channel_id", "channel_title", "thumbnail_url", "duration_seconds",
         "region_blocked", "last_collected_at",
@@ -514,7 +518,7 @@ def counter_run_items(t):
 
 @query
 def counter_run_snapshots(t):
-    run = ingest.counter_run(t.items, t.snapshots, t.video_documents, AS_OF, now(), limit=None)
+    run = ingest.counter_run(t.items, t.snapshots, t.video_documents, AS_OF, now())
     return run.snapshots.drop("collected_at")
 
 
@@ -536,7 +540,7 @@ def comment_run_rows(t):
 @query
 def transcript_run_items(t):
     empty = t.spark.createDataFrame([], TABLES["transcripts"].ddl)
-    _, items = ingest.transcript_run(t.items, empty, t.transcript_attempts, now(), limit=None)
+    _, items = ingest.transcript_run(t.items, empty, t.transcript_attempts, now())
     return items.select("item_id", "transcript_captured_at")
 
 
@@ -565,7 +569,7 @@ def word_counts(t):
 
 @query
 def jaccard_pairs(t):
-    docs = spread(t.raw("documents"), "doc_id")
+    docs = t.raw("documents")
     a = docs.select("doc_id", F.col("text").alias("text"))
     b = docs.select((F.col("doc_id") - 1).alias("doc_id"), "text")
     return reports.transcript_similarity(a, b, "doc_id")
@@ -574,7 +578,7 @@ def jaccard_pairs(t):
 @query
 def lexicon_rate(t):
     points = hype_points(F.col("text"))
-    return spread(t.raw("documents"), "doc_id").groupBy("source").agg(
+    return t.raw("documents").groupBy("source").agg(
         F.count("*").alias("texts"), F.avg(points).alias("rate"), F.max(points).alias("most")
     )
 
@@ -645,8 +649,9 @@ def scoring_job(t):
 @query
 def scoring_job_merged(t):
     head = demo_head()
-    known = t.scores.withColumn("model_version", F.regexp_replace("model_version", "m2", head.version)).filter(
-        "excitement > 50"
+    # two thirds of the items were scored by this head
+    known = t.scores.withColumn(
+        "model_version", F.expr(f"if(model_version = 'm2' and substr(item_id, 2) % 3 <> 0, '{head.version}', model_version)")
     )
     _, merged = scoring.score_run(t.embedded_comments, known, head, AS_OF, now(), 64)
     return merged.groupBy("model_version", "scored_date").agg(F.count("*").alias("n"))
@@ -765,6 +770,29 @@ def daily_counters_stream(t):
     )
 
 
+@query
+def daily_counters_out_of_order(t):
+    """The same from a file per slice of days, the newest first, one file a batch."""
+    base = scratch_path(t.spark, "late-events")
+    events = t.raw("events")
+    # the stream takes files by age: write the newest days first, a slice that splits days across files last
+    slices = ["day(ts) > 20", "day(ts) between 11 and 20", "day(ts) <= 10 and event_id % 2 = 0", "day(ts) <= 10 and event_id % 2 = 1"]
+    for part in slices:
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream.ingest_events(t.spark, f"{base}/in", f"{base}/table", f"{base}/state", files_per_batch=1).awaitTermination()
+    return t.spark.read.schema("item_id string, views bigint, likes bigint, comments bigint, day date").parquet(
+        f"{base}/table"
+    )
+
+
+@query
+def merge_repeated_keys(t):
+    """Events as keyed rows, every key many times over and merged twice: one row per key, the greatest one."""
+    rows = t.raw("events").selectExpr("user_id as k", "event_id as at", "event_type as kind")
+    target = rows.filter("k % 2 = 0").dropDuplicates(["k"]).selectExpr("k", "cast(-1 as bigint) as at", "'none' as kind")
+    return upsert(upsert(target, rows, ["k"]), rows, ["k"])
+
+
 @query
 def snapshots_stream(t):
     """Snapshots ingested from files twice over; the second pass changes nothing."""

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crestline.operators.ordering import latest
 
@@ -14,11 +15,22 @@ Side = Callable[[str], Column]
 PatchExpr = Callable[[Side, Side], Column]
 
 
+def _content(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The columns besides the keys as one comparable value."""
+    rest = [f for f in df.schema if f.name not in keys]
+    return F.struct(F.lit(0), *[F.to_json(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in rest])
+
+
 def last_wins(staged: DataFrame, keys: Sequence[str], seq: str | None) -> DataFrame:
-    """One staged row per key, the one with the highest ``seq``; the ``seq`` column is dropped."""
+    """One staged row per key: the one with the highest ``seq``, which is dropped.
+
+    Without ``seq``, and among equal ``seq``, the row with the greatest content wins
+    (columns compared in their order), so the choice never depends on row order.
+    """
+    by = [_content(staged, keys).desc()]
     if seq is None:
-        return staged
-    return latest(staged, keys, [F.col(seq).desc()]).drop(seq)
+        return latest(staged, keys, by)
+    return latest(staged, keys, [F.col(seq).desc(), *by]).drop(seq)
 
 
 def _joined(target: DataFrame, staged: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -43,13 +55,20 @@ def upsert(
     update_cols: Sequence[str] | None = None,
     insert_cols: Sequence[str] | None = None,
     seq: str | None = None,
+    within: Column | None = None,
 ) -> DataFrame:
     """The table after merging ``staged`` into ``target`` on ``keys``.
 
     Matched rows take ``update_cols`` from the staged row and keep the rest; new
-    rows take ``insert_cols`` and leave the rest null. With ``seq`` a repeated
-    staged key resolves to its last row. Row order never matters.
+    rows take ``insert_cols`` and leave the rest null. A repeated staged key
+    resolves to one row (``last_wins``). Row order never matters. Only target rows
+    for which ``within`` holds are matched, so a merge of one day joins that day
+    and passes the others through.
     """
+    if within is not None:
+        inside = F.coalesce(within, F.lit(False))
+        merged_part = upsert(target.filter(inside), staged, keys, update_cols, insert_cols, seq)
+        return target.filter(~inside).unionByName(merged_part)
     staged = last_wins(staged, keys, seq)
     update = set(staged.columns if update_cols is None else update_cols)
     insert = set(staged.columns if insert_cols is None else insert_cols)

@@ -24,8 +24,6 @@ from crestline.sources import payloads as raw
 # Collection stops after the grace days, an item ends after the end days.
 GRACE_DAYS = 7
 END_DAYS = 30
-MAX_ACTIVE_ITEMS = 9_300
-TRANSCRIPTS_PER_RUN = 100
 
 
 def _capped(df: DataFrame, limit: int | None) -> DataFrame:
@@ -36,7 +34,7 @@ def _capped(df: DataFrame, limit: int | None) -> DataFrame:
 
 
 def active_targets(
-    items: DataFrame, today: date | str, grace: int = GRACE_DAYS, limit: int | None = MAX_ACTIVE_ITEMS
+    items: DataFrame, today: date | str, grace: int = GRACE_DAYS, limit: int | None = None
 ) -> DataFrame:
     """Items to collect today, the soonest-ending first, open-ended ones last.
 
@@ -69,7 +67,7 @@ def comment_targets(
     return _capped(items.filter(open_for & due).select("item_id"), limit)
 
 
-def transcript_targets(items: DataFrame, limit: int | None = TRANSCRIPTS_PER_RUN) -> DataFrame:
+def transcript_targets(items: DataFrame, limit: int | None = None) -> DataFrame:
     """Active items without a transcript, the most recently seen first, one row per id."""
     rows = (
         items.filter(F.col("transcript_captured_at").isNull() & (F.col("tracking_status") == "active"))
@@ -121,6 +119,7 @@ class CounterRun:
     snapshots: DataFrame  # snapshot table after the merge
     items: DataFrame  # item registry after all updates
     unavailable: DataFrame  # requested ids that did not come back
+    rejected: DataFrame  # item_id, payload of documents that could not be read
 
 
 def counter_run(
@@ -129,22 +128,26 @@ def counter_run(
     documents: DataFrame,
     today: date | str,
     now: Column,
-    limit: int | None = MAX_ACTIVE_ITEMS,
 ) -> CounterRun:
     """Today's counters from raw documents (columns item_id, payload).
 
-    Only the documents of selected items are used. Today's rows are merged into
-    the snapshots of the same day; other days are untouched.
+    Every document of an active item is used; of several for one item the one
+    with the greatest payload. Documents that cannot be read are returned as
+    rejected: their items are neither counted nor taken for unavailable. Today's
+    rows are merged into the snapshots of the same day; other days are untouched.
     """
-    targets = active_targets(items, today, limit=limit).select("item_id")
-    returned = documents.join(targets, "item_id", "left_semi")
-    counters = raw.counter_rows(returned, today, now)
+    targets = active_targets(items, today).select("item_id")
+    returned = documents.join(targets, "item_id", "left_semi").select("item_id", "payload")
+    readable = raw.readable(F.col("payload"))
+    good = last_wins(returned.filter(readable), ["item_id"], None)
+    counters = raw.counter_rows(good, today, now)
     spec = TABLES["counter_snapshots"]
-    merged = upsert(snapshots, counters, spec.keys)
+    merged = upsert(snapshots, counters, spec.keys, within=F.col(spec.partition) == day(today))
     gone = missing_ids(targets, returned, "item_id")
-    patched = patch_registry(items, raw.registry_patch(returned, now))
+    patched = patch_registry(items, raw.registry_patch(good, now))
     return CounterRun(
-        counters, merged, mark_ended(mark_unavailable(patched, gone, now), today), gone
+        counters, merged, mark_ended(mark_unavailable(patched, gone, now), today), gone,
+        returned.filter(~readable),
     )
 
 
@@ -178,7 +181,7 @@ def comment_run(
     captured = raw.comment_rows(ok, today, now)
     spec = TABLES["comments"]
     staged = captured.withColumn("_seq", F.col("rank"))
-    merged = upsert(comments, staged, spec.keys, seq="_seq")
+    merged = upsert(comments, staged, spec.keys, seq="_seq", within=F.col(spec.partition) == day(today))
     stamps = returned.groupBy("item_id").agg(
         F.max(F.when((F.col("state") == "ok") & (F.col("snapshot_kind") == "at_discovery"), now)).alias("disc"),
         F.max(F.when((F.col("state") == "ok") & (F.col("snapshot_kind") == "pre_release"), now)).alias("pre"),
@@ -249,7 +252,7 @@ def discover_movies(listings: DataFrame, now: Column) -> Discovery:
     found = _one_per_key(raw.item_rows(videos, "movie", now), "items")
     docs = _title_docs(parsed, "movie_id", "movie")
     credit_rows = _one_per_key(raw.credit_rows(docs, now), "credits")
-    return Discovery(movies, found, raw.provider_rows(docs, now), credit_rows)
+    return Discovery(movies, found, _one_per_key(raw.provider_rows(docs, now), "providers"), credit_rows)
 
 
 def discover_tv(listings: DataFrame, today: date | str, now: Column) -> Discovery:
@@ -296,7 +299,7 @@ def discover_tv(listings: DataFrame, today: date | str, now: Column) -> Discover
     both = raw.item_rows(per_season, "tv", now).unionByName(raw.item_rows(per_series, "tv", now))
     docs = _title_docs(parsed, "tv_id", "tv")
     return Discovery(
-        shows, _one_per_key(both, "items"), raw.provider_rows(docs, now),
+        shows, _one_per_key(both, "items"), _one_per_key(raw.provider_rows(docs, now), "providers"),
         _one_per_key(raw.credit_rows(docs, now), "credits"), seasons,
     )
 
@@ -334,7 +337,7 @@ def transcript_rows(attempts: DataFrame, now: Column) -> DataFrame:
 
 def transcript_run(
     items: DataFrame, transcripts: DataFrame, attempts: DataFrame, now: Column,
-    limit: int | None = TRANSCRIPTS_PER_RUN,
+    limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(transcripts, items) after the run; success and failure both set the guard."""
     targets = transcript_targets(items, limit).select("item_id")

@@ -230,10 +230,18 @@ def country_stats(items: DataFrame, movies: DataFrame, shows: DataFrame) -> Data
     sums = [c for c in per_title.columns if c not in {"movie_id", "tv_id"}]
     # an empty movie list does not fall back to the show's list
     countries = F.coalesce("_mc", "_tc")
+    # titles without the key of a join go around it, so null keys never meet in one task
+    none = F.lit(None).cast("array<string>")
+    of_movie = F.col("movie_id").isNotNull()
+    with_movie = per_title.filter(of_movie).join(
+        movies.select("movie_id", F.col("origin_countries").alias("_mc")), "movie_id", "left"
+    ).unionByName(per_title.filter(~of_movie).withColumn("_mc", none))
+    of_show = F.col("_mc").isNull() & F.col("tv_id").isNotNull()
+    with_both = with_movie.filter(of_show).join(
+        shows.select("tv_id", F.col("origin_countries").alias("_tc")), "tv_id", "left"
+    ).unionByName(with_movie.filter(~of_show).withColumn("_tc", none))
     return (
-        per_title.join(movies.select("movie_id", F.col("origin_countries").alias("_mc")), "movie_id", "left")
-        .join(shows.select("tv_id", F.col("origin_countries").alias("_tc")), "tv_id", "left")
-        .select(F.explode(or_unknown(countries)).alias("country"), *sums)
+        with_both.select(F.explode(or_unknown(countries)).alias("country"), *sums)
         .groupBy("country")
         .agg(*[F.sum(c).alias(c) for c in sums])
     )

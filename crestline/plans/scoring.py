@@ -153,4 +153,5 @@ def score_run(
         F.round("excitement", 2).alias("excitement"), F.lit("at_discovery").alias("snapshot_kind"),
         "n_comments", "mean_like_count", "source_snapshot_date", now.alias("created_at"),
     )
-    return scored, upsert(scores, scored, TABLES["scores"].keys)
+    spec = TABLES["scores"]
+    return scored, upsert(scores, scored, spec.keys, within=F.col(spec.partition) == day(today))

@@ -70,15 +70,20 @@ def parse(df: DataFrame, col: str, schema: str, out: str) -> DataFrame:
 # --- counter payloads ---------------------------------------------------------
 
 
+def readable(payload: Column) -> Column:
+    """Whether a raw video document can be parsed and names its video."""
+    return F.coalesce(F.get_json_object(payload, "$.id"), F.lit("")) != ""
+
+
 def counter_rows(payloads: DataFrame, collected_date: date | str, now: Column) -> DataFrame:
-    """Counter snapshots from raw video documents (column ``payload``); counters arrive as text."""
+    """Counter snapshots from raw video documents (columns ``item_id, payload``); counters arrive as text."""
     v = parse(payloads, "payload", VIDEO_STATS, "v")
 
     def counter(name: str) -> Column:
         return fn.safe_int(F.col(f"v.statistics.{name}"))
 
     return v.select(
-        F.col("v.id").alias("item_id"),
+        "item_id",
         fn.day(collected_date).alias("collected_date"),
         counter("viewCount").alias("view_count"),
         counter("likeCount").alias("like_count"),
@@ -92,7 +97,7 @@ def registry_patch(payloads: DataFrame, now: Column) -> DataFrame:
     """Item attributes carried by the same documents."""
     v = parse(payloads, "payload", VIDEO_STATS, "v")
     return v.select(
-        F.col("v.id").alias("item_id"),
+        "item_id",
         F.col("v.snippet.channelId").alias("channel_id"),
         F.col("v.snippet.channelTitle").alias("channel_title"),
         fn.pick_thumbnail("v.snippet.thumbnails").alias("thumbnail_url"),
@@ -139,17 +144,17 @@ def comment_rows(threads: DataFrame, snapshot_date: date | str, now: Column) ->
 
 
 def provider_rows(titles: DataFrame, now: Column) -> DataFrame:
-    """One row per region, kind and provider (columns title_id, content_kind, d)."""
+    """A row per region, kind and listed provider (columns title_id, content_kind, d); ``seq`` is the listing order."""
     regions = titles.select(
         "title_id", "content_kind", F.explode(F.col("d")["watch/providers"]["results"]).alias("region", "r")
     )
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"r.{k}").alias("offers")) for k in PROVIDER_KINDS])
     offers = regions.select(
         "title_id", "content_kind", "region", F.col("r.link").alias("link"), F.inline(kinds)
-    ).select("title_id", "content_kind", "region", "link", "kind", F.explode("offers").alias("o"))
+    ).select("title_id", "content_kind", "region", "link", "kind", F.posexplode("offers").alias("seq", "o"))
     return offers.filter(F.col("o.provider_id") != 0).select(
         "title_id", "content_kind", "region", "kind", "o.provider_id", "o.provider_name",
-        "o.logo_path", "o.display_priority", "link", now.alias("collected_at"),
+        "o.logo_path", "o.display_priority", "link", now.alias("collected_at"), "seq",
     )
 
 
@@ -239,14 +244,23 @@ def show_rows(parsed: DataFrame, now: Column) -> DataFrame:
 
 
 def upcoming_seasons(seasons: Column, today: date | str) -> Column:
-    """Numbered seasons without an air date, or airing today or later; unparsable dates go."""
+    """Numbered seasons without an air date, or airing today or later; unparsable dates go.
+
+    Of a season listed more than once the last listing counts.
+    """
+    last = F.filter(
+        seasons,
+        lambda s, i: ~F.exists(
+            F.slice(seasons, i + 2, F.size(seasons)), lambda z: z["season_number"].eqNullSafe(s["season_number"])
+        ),
+    )
 
     def keep(s: Column) -> Column:
         undated = F.coalesce(s["air_date"], F.lit("")) == ""
         ahead = F.coalesce(fn.iso_date(s["air_date"]) >= fn.day(today), F.lit(False))
         return (F.coalesce(s["season_number"], F.lit(0)) != 0) & (undated | ahead)
 
-    return F.filter(seasons, keep)
+    return F.filter(last, keep)
 
 
 def anchor_season(upcoming: Column) -> Column:

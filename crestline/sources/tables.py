@@ -39,16 +39,6 @@ def scan(
     return df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of a scan out by ``key`` when it has fewer splits than cores.
-
-    For CPU-heavy text work on a few big row groups; a scan with enough splits
-    is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def floor_for(table: str, as_of: date | str) -> Column:
     days = COMMENT_FLOOR_DAYS if table == "comments" else COUNTER_FLOOR_DAYS
     return days_before(as_of, days)

@@ -128,11 +128,9 @@ class Workspace:
 
     # --- daily jobs -----------------------------------------------------------------
 
-    def collect_counters(self, documents: DataFrame, now: Column, limit: int | None = None) -> int:
+    def collect_counters(self, documents: DataFrame, now: Column) -> int:
         """Merge today's counters; returns how many rows came in."""
-        run = ingest.counter_run(
-            self.table("items"), self.table("counter_snapshots"), documents, self.as_of, now, limit
-        )
+        run = ingest.counter_run(self.table("items"), self.table("counter_snapshots"), documents, self.as_of, now)
         counters = pin(run.counters)
         self.merge("counter_snapshots", counters)
         self.replace("items", run.items)
@@ -164,7 +162,7 @@ class Workspace:
         return rows.count()
 
     def capture_transcripts(
-        self, attempts: DataFrame, now: Column, limit: int | None = ingest.TRANSCRIPTS_PER_RUN
+        self, attempts: DataFrame, now: Column, limit: int | None = None
     ) -> int:
         before = self.table("transcripts").count()
         merged, items = ingest.transcript_run(self.table("items"), self.table("transcripts"), attempts, now, limit)
@@ -172,7 +170,7 @@ class Workspace:
         self.replace("items", items)
         return self.table("transcripts").count() - before
 
-    def update_predictions(self, now: Column, top: int = 50) -> int:
+    def update_predictions(self, now: Column, top: int | None = None) -> int:
         found = pin(self.interesting_findings(top=top))
         log = predictions.daily_update(self.table("predictions"), self.table("items"), found, self.as_of, now)
         self.replace("predictions", log)
@@ -206,7 +204,7 @@ class Workspace:
              lambda: self.discover(ingest.discover_movies(movie_listings, now), "movie")),
             ("discover_tv", tv_listings,
              lambda: self.discover(ingest.discover_tv(tv_listings, self.as_of, now), "tv")),
-            ("stats", documents, lambda: self.collect_counters(documents, now, ingest.MAX_ACTIVE_ITEMS)),
+            ("stats", documents, lambda: self.collect_counters(documents, now)),
             ("comments", threads, lambda: self.collect_comments(threads, now)),
             ("excitement", embedded, lambda: self.score_comments(embedded, head, now, dim)),
             ("transcripts", attempts, lambda: self.capture_transcripts(attempts, now)),

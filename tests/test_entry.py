@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, connect
+from crestline.catalog.oracles import ORACLES
+from crestline.catalog.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -18,10 +20,10 @@ def test_entry_runs(spark):
 
 def test_sql_exists_for_registered_queries_only():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"ridge_train"}
+    assert set(QUERIES) - set(ORACLES) == {"ridge_train"}
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, con, name):
     ok, note = compare(spark, con, name, SMALL)
     assert ok, note

@@ -65,29 +65,39 @@ def titles(spark, details):
     return raw.parse(df, "j", raw.MOVIE_DETAILS, "d")
 
 
-def test_providers_flatten_per_region_and_kind(spark):
-    block = {"watch/providers": {"results": {
-        "US": {"link": "u", "flatrate": [{"provider_id": 8, "provider_name": "N"}], "rent": [{"provider_id": 2}]},
-        "GB": {"link": "g", "flatrate": [{"provider_id": 9}, {"provider_id": 0}, {"provider_name": "no id"}]},
-    }}}
-    got = {(r.region, r.kind, r.provider_id, r.link) for r in raw.provider_rows(titles(spark, block), now()).collect()}
-    assert got == {("US", "flatrate", 8, "u"), ("US", "rent", 2, "u"), ("GB", "flatrate", 9, "g")}
-    assert raw.provider_rows(titles(spark, {"title": "x"}), now()).count() == 0
-
-
-def test_credits_keep_ten_cast_and_fold_key_crew(spark):
-    block = {"credits": {
-        "cast": [{"id": i + 1, "name": f"n{i}", "order": 14 - i} for i in range(15)] + [{"id": 0, "order": -1}, {"name": "x"}],
-        "crew": [{"id": 99, "name": "Kim", "job": "Writer", "department": "W"},
-                 {"id": 99, "name": "K.", "job": "Director", "department": "D"},
-                 {"id": 99, "job": "Writer"}, {"id": 100, "name": "P", "job": "Producer"},
-                 {"id": 101, "job": "Foley"}],
-    }}
-    got = raw.credit_rows(titles(spark, block), now()).collect()
-    cast = [r for r in got if r.credit_kind == "cast"]
-    assert sorted(r.order_index for r in cast) == list(range(10)) and {r.department for r in cast} == {"Acting"}
-    crew = {r.person_id: (r.name, r.job, r.department, r.order_index) for r in got if r.credit_kind == "crew"}
-    assert crew == {99: ("Kim", "Director, Writer", "W", 0), 100: ("P", "Producer", None, 0)}
+def test_providers_come_per_region_and_offer_kind(spark):
+    offers = {"AT": {"link": "at", "buy": [{"provider_id": 31, "provider_name": "Kino"}, {"provider_id": 31, "provider_name": "Kino+"}],
+                     "rent": [{"provider_id": 31}]},
+              "BR": {"link": "br", "flatrate": [{"provider_name": "nameless"}, {"provider_id": 0}]}}
+    rows = raw.provider_rows(titles(spark, {"watch/providers": {"results": offers}}), now())
+    assert sorted((r.region, r.kind, r.provider_id, r.seq) for r in rows.collect()) == [
+        ("AT", "buy", 31, 0), ("AT", "buy", 31, 1), ("AT", "rent", 31, 0)
+    ]
+    assert raw.provider_rows(titles(spark, {}), now()).count() == 0
+
+
+def test_a_repeated_provider_is_one_row_and_merging_it_again_adds_none(spark):
+    details = {"title": "A", "watch/providers": {"results": {"AT": {"link": "l", "buy": [
+        {"provider_id": 31, "provider_name": "old"}, {"provider_id": 31, "provider_name": "new"}]}}}}
+    listings = spark.createDataFrame(
+        [(0, 0, 5, "", json.dumps(details), "[]")],
+        "region_order int, position int, movie_id bigint, listed_release_date string, details string, videos string",
+    )
+    rows = ingest.discover_movies(listings, now()).providers
+    table = spark.createDataFrame([], TABLES["providers"].ddl)
+    for _ in range(2):
+        table = ingest.upsert(table, rows, TABLES["providers"].keys)
+    assert [r.provider_name for r in table.collect()] == ["new"]  # the last listing stands
+
+
+def test_credits_rank_cast_and_join_the_jobs_of_a_person(spark):
+    cast = [{"id": 500 + i, "name": f"p{i}", "order": i % 6} for i in range(12)] + [{"name": "nobody"}]
+    crew = [{"id": 7, "name": "Ada", "job": "Producer", "department": "P"}, {"id": 8, "name": "Bo", "job": "Gaffer"},
+            {"id": 7, "name": "A.", "job": "Director", "department": "Q"}]
+    got = raw.credit_rows(titles(spark, {"credits": {"cast": cast, "crew": crew}}), now()).collect()
+    ranked = [r.person_id for r in sorted((r for r in got if r.credit_kind == "cast"), key=lambda r: r.order_index)]
+    assert ranked == [500, 506, 501, 507, 502, 508, 503, 509, 504, 510]  # by order, then as listed
+    assert [(r.person_id, r.name, r.job, r.department) for r in got if r.credit_kind == "crew"] == [(7, "Ada", "Director, Producer", "P")]
 
 
 # --- discovery ----------------------------------------------------------------------
@@ -118,6 +128,20 @@ def test_movie_discovery(spark):
     assert violations(found.items, "items").count() == 0
 
 
+def test_a_season_listed_twice_counts_as_last_listed(spark):
+    details = json.dumps({"name": "S", "seasons": [
+        {"season_number": 2, "air_date": "2024-03-01", "name": "first"}, {"season_number": 2, "air_date": "2024-05-01", "name": "last"},
+        {"season_number": 3, "air_date": "2024-06-01"}, {"season_number": 3, "air_date": "2020-01-01"}]})
+    listings = spark.createDataFrame(
+        [(0, 0, 9, "2024-02-02", details, json.dumps([{"season_number": 2, "videos": [video("k")]}]), "[]")],
+        "region_order int, position int, tv_id bigint, listed_first_air_date string, details string,"
+        " season_videos string, series_videos string",
+    )
+    found = ingest.discover_tv(listings, TODAY, now())
+    assert [(r.season_number, r.name) for r in found.seasons.collect()] == [(2, "last")]
+    assert [(r.item_id, str(r.tracking_end_date)) for r in found.items.collect()] == [("k", "2024-05-01")]
+
+
 def test_tv_discovery_anchors_series_videos(spark):
     details = json.dumps({
         "name": "S", "origin_country": ["KR", ""],
@@ -168,9 +192,9 @@ def test_active_targets(spark):
         {"item_id": "today", "published_at": "2024-01-30 23:00:00", "tracking_end_date": "2024-02-01"},
         {"item_id": "off", "tracking_status": "ended"},
     )
-    assert ids(ingest.active_targets(items, TODAY)) == ["grace", "today", "open"]
+    assert ids(ingest.active_targets(items, TODAY, limit=3)) == ["grace", "today", "open"]
     assert ids(ingest.active_targets(items, TODAY, limit=1)) == ["grace"]
-    assert sorted(ids(ingest.active_targets(items, TODAY, limit=None))) == ["grace", "open", "today"]
+    assert sorted(ids(ingest.active_targets(items, TODAY))) == ["grace", "open", "today"]
 
 
 def test_comment_targets(spark):
@@ -203,6 +227,40 @@ def test_items_end_thirty_days_after_their_date(spark):
     assert got == {"a": "active", "b": "ended", "c": "active", "d": "unavailable"}
 
 
+def test_counters_of_repeated_and_broken_documents(spark):
+    items = items_table(spark, {"item_id": "a"}, {"item_id": "b"}, {"item_id": "c"})
+    stats = spark.createDataFrame([], TABLES["counter_snapshots"].ddl)
+    documents = docs(
+        spark, doc("a", statistics={"viewCount": "3"}), doc("a", statistics={"viewCount": "5"}), ("b", "{broken"), ("b", None),
+        doc("other", statistics={"viewCount": "1"}),
+    )
+    for _ in range(2):
+        run = ingest.counter_run(items, stats, documents, TODAY, now())
+        stats, items = run.snapshots, run.items
+        assert [(r.item_id, r.view_count) for r in stats.collect()] == [("a", 5)]
+        assert sorted(r.item_id for r in items.collect()) == ["a", "b", "c"]
+    assert run.rejected.count() == 2
+    # b came back, though unreadable; c did not come back and ends as unavailable in the first run
+    assert {r.item_id: r.tracking_status for r in items.collect()} == {"a": "active", "b": "active", "c": "unavailable"}
+
+
+def test_every_document_of_an_active_item_is_merged(spark):
+    ids = [f"i{n:05d}" for n in range(300)]
+    items = items_table(spark, *[{"item_id": i} for i in ids])
+    run = ingest.counter_run(
+        items, spark.createDataFrame([], TABLES["counter_snapshots"].ddl),
+        docs(spark, *[doc(i, statistics={"viewCount": "1"}) for i in ids]), TODAY, now(),
+    )
+    assert run.snapshots.count() == 300
+    attempts = spark.createDataFrame(
+        [(i, "words", "x", None, None, None, None, None) for i in ids],
+        "item_id string, caption_text string, caption_kind string, caption_error string, speech_text string,"
+        " speech_language string, speech_kind string, speech_error string",
+    )
+    merged, _ = ingest.transcript_run(items, spark.createDataFrame([], TABLES["transcripts"].ddl), attempts, now())
+    assert merged.count() == 300
+
+
 def test_counter_run(spark, frame):
     items = items_table(
         spark, {"item_id": "a", "channel_id": "keep", "region_blocked": ["X"]}, {"item_id": "b"},
