@@ -571,6 +571,9 @@ _ACTIVE = (
     f"active AS (SELECT * FROM items WHERE tracking_status = 'active' AND (published_at IS NULL OR"
     f" CAST(published_at AS DATE) <= {AS_OF}) AND (tracking_end_date IS NULL OR {AS_OF} <= tracking_end_date + 7))"
 )
+ORACLES["select_active_soonest"] = q(
+    "SELECT item_id, tracking_end_date FROM active ORDER BY tracking_end_date NULLS LAST, item_id LIMIT 20", _ACTIVE
+)
 ORACLES["select_active"] = q("SELECT item_id, tracking_end_date FROM active", _ACTIVE)
 _DISC = "tracking_status = 'active' AND NOT comments_disabled AND disc_at IS NULL"
 _PRE = (
@@ -868,6 +871,7 @@ _HEAD = (
     ", scored AS (SELECT item_id, greatest(0.0, least(100.0, 40.0 + sum((x - 0.01 * (dim % 5)) / (0.5 + 0.1 * (dim % 3))"
     " * ((dim * 7) % 13 - 6) * 2.0))) AS excitement FROM pooled GROUP BY item_id)"
 )
+ORACLES["head_roundtrip"] = q(f"SELECT item_id, {r6('excitement')} AS excitement FROM scored", _POOL + _HEAD)
 ORACLES["linear_scores"] = q(f"SELECT item_id, {r6('excitement')} AS excitement FROM scored", _POOL + _HEAD)
 ORACLES["scoring_job"] = q(
     f"SELECT item_id, 'h1' AS model_version, {AS_OF} AS scored_date, round(excitement, 2) AS excitement,"

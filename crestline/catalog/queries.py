@@ -404,6 +404,12 @@ def select_active(t):
     return ingest.active_targets(t.items, AS_OF)
 
 
+@query
+def select_active_soonest(t):
+    """The twenty that end first; open-ended items come last."""
+    return ingest.active_targets(t.items, AS_OF, limit=20)
+
+
 @query
 def select_at_discovery(t):
     return ingest.comment_targets(t.items, "at_discovery", AS_OF)
@@ -640,6 +646,16 @@ def linear_scores(t):
     return scoring.linear_scores(pooled, demo_head()).select("item_id", "excitement")
 
 
+@query
+def head_roundtrip(t):
+    """The same scores from a head that was saved and loaded again."""
+    path = scratch_path(t.spark, "head")
+    scoring.save_head(t.spark, demo_head(), path)
+    head = scoring.load_head(t.spark, path, scoring.feature_layout(64))
+    pooled = scoring.pooled_features(scoring.discovery_comments(t.embedded_comments, AS_OF))
+    return scoring.linear_scores(pooled, head).select("item_id", "excitement")
+
+
 @query
 def scoring_job(t):
     scored, _ = scoring.score_run(t.embedded_comments, t.scores, demo_head(), AS_OF, now(), 64)

@@ -34,8 +34,9 @@ def safe_int(c: Column) -> Column:
 
 
 def iso_timestamp(c: Column) -> Column:
-    """ISO-8601 instant such as ``2024-01-02T03:04:05Z``; null when blank or malformed."""
-    return blank_to_null(c).try_cast("timestamp")
+    """ISO-8601 instant such as ``2024-01-02T03:04:05Z``; null when blank, malformed or shorter than a day."""
+    shape = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    return F.when(c.rlike(shape), c.try_cast("timestamp"))
 
 
 def iso_date(c: Column) -> Column:

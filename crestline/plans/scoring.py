@@ -8,7 +8,7 @@ from datetime import date
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crestline.functions.lexicon import hype_points
@@ -38,6 +38,31 @@ class LinearHead:
             raise ValueError(f"head expects {self.layout!r}, features are {layout!r}")
 
 
+HEAD_DDL = "version string, coef array<double>, intercept double, mean array<double>, scale array<double>, layout string"
+
+
+def save_head(spark: SparkSession, head: LinearHead, path: str) -> None:
+    """The head as a table of one row at ``path``; an earlier one is replaced."""
+    row = (
+        head.version, [float(x) for x in head.coef], float(head.intercept), [float(x) for x in head.mean],
+        [float(x) for x in head.scale], head.layout,
+    )
+    spark.createDataFrame([row], HEAD_DDL).repartition(1).write.mode("overwrite").parquet(path)
+
+
+def load_head(spark: SparkSession, path: str, layout: str) -> LinearHead:
+    """The head saved at ``path``, if it was trained on features of ``layout``."""
+    rows = spark.read.schema(HEAD_DDL).parquet(path).take(2)
+    if len(rows) != 1:
+        raise ValueError(f"expected one head at {path}")
+    head = LinearHead(*rows[0])
+    head.check(layout)
+    sizes = {len(head.coef), len(head.mean), len(head.scale)}
+    if len(sizes) != 1:
+        raise ValueError(f"the head at {path} has parts of different length")
+    return head
+
+
 def feature_layout(dim: int) -> str:
     return f"emb{dim}+log_mean_like+log_n+lexicon"
 

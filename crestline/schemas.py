@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 COMPANY = "struct<id:bigint,name:string,logo_path:string,origin_country:string>"
 GENRE = "struct<id:bigint,name:string>"
@@ -36,13 +37,7 @@ class Table:
 
     @property
     def columns(self) -> list[str]:
-        depth, cols, start = 0, [], 0
-        for i, ch in enumerate(self.ddl + ","):
-            depth += (ch == "<") - (ch == ">")
-            if ch == "," and depth == 0:
-                cols.append(self.ddl[start:i].split()[0])
-                start = i + 1
-        return cols
+        return StructType.fromDDL(self.ddl).names
 
     def update_columns(self) -> list[str]:
         return [c for c in self.columns if c not in self.keys]

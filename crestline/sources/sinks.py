@@ -31,21 +31,24 @@ def as_json(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def trimmed(df: DataFrame) -> DataFrame:
-    """Preview of rows: arrays cut to five elements, a ``text`` column to 200 characters."""
-    out = []
-    for f in df.schema:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.ArrayType):
-            c = preview_list(c)
-        elif f.name == "text" and isinstance(f.dataType, T.StringType):
-            c = preview(c)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    """Preview of rows: arrays cut to five elements, ``text`` fields to 200 characters, at any depth."""
+    return df.select(*[_cut(F.col(f.name), f.dataType, f.name).alias(f.name) for f in df.schema])
+
+
+def _cut(c: Column, kind: T.DataType, name: str) -> Column:
+    if isinstance(kind, T.ArrayType):
+        return F.transform(preview_list(c), lambda x: _cut(x, kind.elementType, name))
+    if isinstance(kind, T.StructType):
+        parts = F.struct(*[_cut(c[f.name], f.dataType, f.name).alias(f.name) for f in kind])
+        return F.when(c.isNotNull(), parts)
+    if name == "text" and isinstance(kind, T.StringType):
+        return preview(c)
+    return c
 
 
 def write_document(df: DataFrame, path: str) -> None:
     """A bounded result (a report or a top list) as JSON lines in a single file."""
-    df.coalesce(1).write.mode("overwrite").options(**JSON_OPTIONS).json(path)
+    df.repartition(1).write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
 def write_site(
@@ -99,7 +102,7 @@ def export_training_set(rows: DataFrame, path: str) -> None:
 
 
 class RunLog:
-    """Collects one log row per phase of a run; counts come from observed metrics."""
+    """Collects one log row per phase of a run; the phase sets its counts."""
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):
         self.spark, self.run_id, self._rows = spark, run_id or uuid.uuid4().hex, []

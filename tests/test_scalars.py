@@ -27,8 +27,8 @@ def test_text_counts(spark):
 
 def test_safe_parsing(spark):
     assert values(spark, fn.safe_int, ["12", "n/a", None, ""]) == [12, None, None, None]
-    parsed = values(spark, fn.iso_timestamp, ["2024-01-02T03:04:05Z", "", "soon", None])
-    assert [p and p.strftime("%H:%M:%S") for p in parsed][1:] == [None, None, None] and parsed[0]
+    parsed = values(spark, fn.iso_timestamp, ["2024-01-02T03:04:05Z", "", "soon", None, "2024", "2024-01", "03:04"])
+    assert [p and p.strftime("%H:%M:%S") for p in parsed][1:] == [None] * 6 and parsed[0]
     assert [str(d) for d in values(spark, fn.iso_date, ["2024-02-30", "2024-02-29", "", "x"])] == [
         "None", "2024-02-29", "None", "None",
     ]

@@ -22,6 +22,20 @@ def features(df):
     return {r.item_id: r.features for r in scoring.pooled_features(df).collect()}
 
 
+def test_a_saved_head_loads_with_its_layout_checked(spark, tmp_path):
+    path = str(tmp_path / "head")
+    saved = head(coef=[0.5, -1.25, 3.0, 0.0, 7.0], intercept=2.5)
+    for _ in range(2):  # saving again replaces it
+        scoring.save_head(spark, saved, path)
+    loaded = scoring.load_head(spark, path, scoring.feature_layout(2))
+    assert loaded == saved
+    with pytest.raises(ValueError):
+        scoring.load_head(spark, path, scoring.feature_layout(3))
+    scoring.save_head(spark, head(mean=[0.0]), path)
+    with pytest.raises(ValueError):
+        scoring.load_head(spark, path, scoring.feature_layout(2))
+
+
 def test_pooling_weights_likes_and_appends_aux(spark):
     df = spark.createDataFrame(
         [("a", "1", 1, "wow!", 3, [1.0, 0.0]), ("a", "2", 2, "ok", 0, [0.0, 1.0]), ("a", "3", 3, "x", -5, [9.0, 9.0]),

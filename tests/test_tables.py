@@ -99,6 +99,15 @@ def test_trimmed_previews(spark):
     assert (len(r.xs), len(r.text), len(r.note)) == (5, 201, 300)
 
 
+def test_trimmed_previews_at_any_depth(spark):
+    df = spark.sql("select array_repeat(named_struct('text', repeat('x', 300), 'ids', sequence(1, 9), 'n', null), 7) items,"
+                   " named_struct('inner', named_struct('text', 'short', 'deep', array_repeat(sequence(1, 8), 6))) box,"
+                   " cast(null as struct<text string>) none")
+    r = sinks.trimmed(df).first()
+    assert len(r["items"]) == 5 and {(len(i.text), len(i.ids)) for i in r["items"]} == {(201, 5)}
+    assert r.box.inner.text == "short" and [len(x) for x in r.box.inner.deep] == [5] * 5 and r.none is None
+
+
 # --- streams ------------------------------------------------------------------------
 
 
