@@ -319,9 +319,11 @@ def regional_candidates(
     candidates = items.filter(
         (F.col("content_kind") == "movie") & (F.col("duration_seconds") >= min_duration)
     )
+    wanted = candidates.join(chosen, "movie_id")
+    # the candidates' counters only: the history of all other items is not aggregated
+    own = stats.join(wanted.select("item_id"), "item_id", "left_semi")
     return (
-        candidates.join(chosen, "movie_id")
-        .join(latest_counters(stats, as_of).drop("collected_date"), "item_id", "left")
+        wanted.join(latest_counters(own, as_of).drop("collected_date"), "item_id", "left")
         .select(
             "item_id", "movie_title", "original_language", "video_type",
             F.col("name").alias("item_name"), "channel_title", "duration_seconds",
