@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crestline.llm.common import table
-from crestline.llm.decontamination import WORD, row_key, words
+from crestline.llm.common import table, written
+from crestline.llm.decontamination import GAP, count_words, plain, row_key
 
 GRAM, DRIFT, COVERED, STRETCH = 3, 3, 0.6, 1.5
 
@@ -58,7 +58,7 @@ def template_grams(phrases=PHRASES, notices=NOTICES, gram: int = GRAM) -> list[t
     """(template, label, base, tpos, its words, runs in the template, words in the template)."""
     rows = []
     for n, (text, label, base) in enumerate([(*p, True) for p in phrases] + [(*p, False) for p in notices]):
-        parts = re.findall(WORD, text.lower())
+        parts = re.sub(GAP, " ", text.lower()).split(" ")
         if len(parts) < gram:
             raise ValueError(f"a template needs {gram} words: {text!r}")
         runs = len(parts) - gram + 1
@@ -86,18 +86,20 @@ def spans(
         template_grams(phrases, notices, gram),
         "template int, label string, base boolean, tpos int, gram string, runs int, size int",
     ).withColumn("key", F.xxhash64("gram"))
-    texts = docs.select(row_key(id_col, text_col).alias("row"), words(F.col(text_col)).alias("words"))
+    texts = docs.select(row_key(id_col, text_col).alias("row"), F.split(plain(F.col(text_col)), " ").alias("words"))
     every = texts.where(F.size("words") >= gram).select("row", F.posexplode(runs_of(F.col("words"), gram)).alias("pos", "run"))
     run = F.concat_ws(" ", *[F.col(f"run.w{i}") for i in range(gram)])
     every = every.where(F.col(f"run.w{gram - 1}").isNotNull()).select("row", "pos", run.alias("found"), F.xxhash64(run).alias("key"))
     hits = every.join(F.broadcast(known), "key").where("found = gram")  # the words themselves decide, not the hash
-    votes = (
+    # small beside the texts, and read twice
+    votes = written(
         hits.groupBy("row", "template", (F.col("pos") - F.col("tpos")).alias("diagonal"))
         .agg(
             F.first("label").alias("label"), F.first("base").alias("base"), F.first("runs").alias("runs"),
             F.first("size").alias("size"), F.collect_set("tpos").alias("voted"),
             F.min("pos").alias("first"), (F.max("pos") + gram - 1).alias("last"),
-        )
+        ),
+        "license-votes",
     )
     exact = votes.where(F.col("base") & (F.size("voted") == F.col("runs"))).select(
         "row", "label", "base", "first", "last", F.lit(1.0).alias("coverage")
@@ -129,9 +131,8 @@ def license_report(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     besides the two named are not read.
     """
     counted = docs.select(
-        F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"),
-        F.size(words(F.col(text_col))).cast("bigint").alias("n_words"),
-    )
+        F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"), plain(F.col(text_col)).alias("plain")
+    ).select("doc_id", "row", count_words("plain").alias("n_words"))
     # copies of a row share a key: their equal spans count once
     places = spans(docs, text_col, id_col, **how).distinct()
     base = F.when(F.col("base"), F.col("first"))
