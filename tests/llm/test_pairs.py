@@ -140,3 +140,45 @@ def test_lines_with_many_words_and_no_rows(spark):
     signed = edge.majority([edge.xxh(w) for w in set(many.split(" "))])
     assert one.fp % (1 << 64) == signed
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def edited(turn, words, edits):
+    """``words`` with so many substitutions, deletions and insertions."""
+    words = list(words)
+    for i in range(edits):
+        at, new = turn.randrange(len(words)), f"n{turn.randrange(10**9)}"
+        words[at : at + turn.choice((0, 1, 1))] = [new] if turn.random() < 0.8 or len(words) < 6 else []
+    return words
+
+
+def test_every_pair_of_the_similarity_is_linked(spark):
+    """Plain edit similarity decides, without any rule of candidates."""
+    turn = random.Random(11)
+    vocab = [f"w{i}" for i in range(400)]
+    lines = []
+    for n in [5, 6, 7, 8, 9, 10, 11, 12, 13, 15, 16, 20, 25, 31, 40, 50] * 6:
+        base = [turn.choice(vocab) for _ in range(n)]
+        lines += [base, edited(turn, base, max(1, n // 5)), edited(turn, base, max(1, n // 10))]
+    lines = [x for x in lines if len(x) >= 5]
+    near = [
+        (i, j) for i in range(len(lines)) for j in range(i)
+        if min(len(lines[i]), len(lines[j])) >= 0.8 * max(len(lines[i]), len(lines[j]))
+        and edge.edits(lines[i], lines[j]) <= 0.2 * max(len(lines[i]), len(lines[j])) + 1e-9
+    ]
+    assert len(near) > 150
+    root, first, want = edge.union(len(lines), near), {}, {}
+    for i, g in enumerate(root):
+        want[i] = [0] if g in first else []
+        first.setdefault(g, i)
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id bigint, text string").repartition(5)
+    for short in (1, 8):
+        assert {r.doc_id: r.dropped for r in line_dedup.dedup_lines(df, short=short).collect()} == want
+
+
+@pytest.mark.parametrize("similarity", [0.6, 0.7, 0.8, 0.9, 0.95])
+def test_grams_suffice_at_every_length(similarity):
+    ranges = line_dedup.gram_ranges(similarity)
+    for m in range(5, 400):
+        (q,) = [q for q, low, high in ranges if low <= m and (high is None or m <= high)]
+        edits = int((1 - similarity) * m + 1e-9)
+        assert all(n - q + 1 >= q * edits + 1 for n in range(5, m + 1) if n >= similarity * m - 1e-9)
