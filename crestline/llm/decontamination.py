@@ -154,14 +154,14 @@ def phrase_matches(docs: DataFrame, items: DataFrame, found: DataFrame, id_col:
 def proximity_matches(index: DataFrame, ranked: DataFrame, terms: int = NEAR_TERMS, span: int = NEAR_SPAN) -> DataFrame:
     """``row, item, first, last``: stretches of at most ``span`` words that hold the item's rarest terms, in any order.
 
-    Items with fewer distinct terms have none. One row per place where the last of the terms falls in.
+    Ranked are the terms that some text holds; items with fewer of them have none. One row per place where the
+    last of the terms falls in.
     """
     by_item = W.partitionBy("item").orderBy("cf", "term")
     rare = (
-        ranked.groupBy("item", "term").agg(F.min("cf").alias("cf")).withColumn("k", F.row_number().over(by_item))
-        .where(F.col("k") <= terms).withColumn("least", F.min("cf").over(W.partitionBy("item")))
-        .withColumn("have", F.max("k").over(W.partitionBy("item")))
-        .where((F.col("least") > 0) & (F.col("have") == terms)).select("item", "term", "k")
+        ranked.where("cf > 0").groupBy("item", "term").agg(F.min("cf").alias("cf")).withColumn("k", F.row_number().over(by_item))
+        .where(F.col("k") <= terms).withColumn("have", F.max("k").over(W.partitionBy("item")))
+        .where(F.col("have") == terms).select("item", "term", "k")
     )
     hits = index.join(small(rare), "term")
     before = W.partitionBy("row", "item").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -178,11 +178,12 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text", proximity: bool = True,
 ) -> DataFrame:
-    """``doc_id, row, n_words, n_hit, item_ids`` (sorted, as text), ``near_items, contaminated``: one row per row of ``docs``.
+    """``doc_id, row, n_words, n_hit, item_ids`` (sorted, as text), ``near_items, near_spans, contaminated``: one row per row of ``docs``.
 
     A word is hit inside any occurrence of a window of 13 words of an item, or of a whole
     shorter item. A text is contaminated when a word is hit and hits are a twentieth of
-    its words or more. ``near_items`` counts the items with a proximity match. Null and
+    its words or more. ``near_items`` counts the items with a proximity match and
+    ``near_spans`` says where: ``item_id`` (as text), the ``first`` and ``last`` word. Null and
     wordless texts have no words and no hits; null or wordless items occur nowhere; rows
     that repeat an id or a text each get their own result; a null item id is not listed.
     Without documents the result is empty, without items nothing is hit. Other columns
@@ -204,15 +205,21 @@ def contamination(
         .groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     )
     out = read.join(hit, "row", "left").join(named, "row", "left")
-    near = F.lit(0)
+    near, no_spans = F.lit(0), F.array().cast("array<struct<item_id:string,first:int,last:int>>")
+    spans = no_spans
     if proximity:
-        close = proximity_matches(index, ranked).select("row", "item").distinct()
-        out = out.join(close.groupBy("row").agg(F.count("*").alias("near")), "row", "left")
-        near = F.coalesce("near", F.lit(0))
+        close = proximity_matches(index, ranked).join(small(items.select("item", "item_id")), "item")
+        place = F.struct(F.col("item_id").cast("string").alias("item_id"), "first", "last")
+        per_item = close.groupBy("row", "item").agg(F.collect_set(place).alias("places"))
+        per_row = per_item.groupBy("row").agg(
+            F.count("*").alias("near"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("near_spans")
+        )
+        out = out.join(per_row, "row", "left")
+        near, spans = F.coalesce("near", F.lit(0)), F.coalesce("near_spans", no_spans)
     n_hit = F.coalesce("n_hit", F.lit(0))
     return out.select(
         "doc_id", "row", "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-        near.alias("near_items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        near.alias("near_items"), spans.alias("near_spans"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
 
@@ -224,6 +231,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decontamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op10_decontamination`` with the proximity matches, which its SQL, and so its columns, do not have."""
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+        F.col("near_items").cast("bigint").alias("near_items"), "near_spans",
+    )
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

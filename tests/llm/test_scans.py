@@ -2,6 +2,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 import edge
 from crestline.llm import decontamination, licenses, quality_rules
 
@@ -107,6 +108,22 @@ def test_proximity_takes_any_order_within_the_span(spark):
     assert got == {1: (1, 0), 2: (0, 0), 3: (0, 0)}
 
 
+def test_proximity_leaves_out_terms_that_no_text_holds(spark):
+    bench = spark.createDataFrame([(1, "alpha absent beta gamma"), (2, "alpha absent beta")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "gamma x alpha y beta"), (2, "alpha beta")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.near_items, r.near_spans, r.contaminated) for r in decontamination.contamination(docs, bench).collect()}
+    assert got == {1: (1, [("1", 0, 4)], False), 2: (0, [], False)}
+
+
+def test_a_registered_query_returns_proximity_matches(spark, tmp_path):
+    spark.createDataFrame([(1, "alpha beta gamma")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "gamma x alpha y beta"), (2, "alpha")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    near = contract.queries()["decontamination_near"](spark, str(tmp_path))
+    exact = contract.queries()["op10_decontamination"](spark, str(tmp_path))
+    assert {r.doc_id: (r.near_items, r.near_spans) for r in near.collect()} == {1: (1, [("1", 0, 4)]), 2: (0, [])}
+    assert sorted(near.select(*exact.columns).collect()) == sorted(exact.collect())
+
+
 def test_ablations_count_by_masks(spark):
     entries = spark.createDataFrame([(0,), (1,), (1,), (3,), (4,), (12,)], "failed bigint")
     got = {(r.policy, r.rule): (r.failing, r.only, r.dropped) for r in quality_rules.ablations(entries).collect()}
