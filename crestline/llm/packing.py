@@ -31,7 +31,7 @@ from crestline.llm.common import table, written
 CAPACITY, END_ID = 2048, 0
 SLACK, FAN, MAX_UP = 8, 16, 4096
 
-PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint, node bigint, bin bigint, offset bigint, done boolean"
+PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint, node bigint, bin bigint, offset bigint, done boolean, at bigint"
 
 
 @functools.cache
@@ -121,11 +121,11 @@ def _first_level(path, capacity, end_id, slack, max_up, with_ids):
         cols = [
             pa.concat_arrays(keys), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
             pa.array(crc, pa.int64()), pa.array(np.full(len(piece), node, np.int64)), pa.array(bins), pa.array(offsets),
-            pa.array(done),
+            pa.array(done), pa.array(np.arange(len(piece), dtype=np.int64) + (node << 32)),
         ]
         if with_ids:
             cols.append(pa.array(ids_out, pa.list_(pa.int32())))
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", "node", "bin", "offset", "done", *["ids"] * with_ids]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "node", "bin", "offset", "done", "at", *["ids"] * with_ids]
         whole = pa.Table.from_arrays(cols, names)
         yield from whole.to_batches(max_chunksize=10_000)
 
@@ -170,13 +170,15 @@ def pack(
     spark = docs.sparkSession
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, {PIECES}" + ", ids array<int>" * with_ids
+    schema = f"doc_id {kind}, {PIECES}"
     level = written(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-            _first_level(path, capacity, end_id, slack, max_up, with_ids), schema
+            _first_level(path, capacity, end_id, slack, max_up, with_ids),
+            schema + ", ids array<int>" * with_ids,
         ),
         "packing",
     )
+    tokens = level
     nodes = (level.agg(F.max("node")).first()[0] or 0) + 1
     out, number, root = [], 0, False
     while True:
@@ -191,11 +193,15 @@ def pack(
         root = nodes == 1
         level = written(
             level.where("not done")
+            .drop("ids")
             .withColumn("parent", F.floor(F.col("node") / fan))
             .groupBy("parent")
             .applyInPandas(_merge(capacity, slack, max_up, root), schema),
             "packing",
         )
+    if with_ids:  # ids stay where they were made; pieces that went up the tree get theirs back
+        ids = tokens.where("not done").select("at", "ids")
+        out = [out[0], *[level.join(ids, "at").select(*out[0].columns) for level in out[1:]]]
     packed = functools.reduce(DataFrame.union, out)
     return packed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * with_ids

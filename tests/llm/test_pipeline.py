@@ -75,3 +75,10 @@ def test_run_covers_every_document_it_keeps(spark):
     kept = {r.doc_id for r in out.select("doc_id").distinct().collect()}
     assert 0.8 * docs.count() < len(kept) <= docs.count()
     assert hashlib.md5(str(plain(out)).encode()).hexdigest() == hashlib.md5(str(plain(pipeline.run(spark, "/root/testdata/sf0.001"))).encode()).hexdigest()
+
+
+def test_the_last_stage_holds_the_sequences(spark, tmp_path):
+    rows = edge.rows()
+    packed = pipeline.STAGES[-1][1](spark, edge.frame(spark).select(*COLUMNS), str(tmp_path))
+    assert packed.where("size(ids) = length").count() == packed.count()
+    checked(rows, packed.collect(), 2048)
