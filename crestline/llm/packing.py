@@ -38,10 +38,11 @@ PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint, node bigint,
 def encoder(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` file; its ids are its merge ranks, which makes this the same mapping, faster.
 
-    Strings that spell a special token are ordinary text.
+    Strings that spell one of the file's added tokens are that token, as the library reads them.
     """
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        file = json.load(f)
+    vocab = file["model"]["vocab"]
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
     byte_of = {chr(b): b for b in shown}
     byte_of |= {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in set(shown))}
@@ -50,7 +51,8 @@ def encoder(path: str) -> tiktoken.Encoding:
     }
     special = max(ranks.values()) if b"<|endoftext|>" in ranks else None
     ranks = {w: i for w, i in ranks.items() if i != special}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = {t["content"]: t["id"] for t in file["added_tokens"]}
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -102,7 +104,7 @@ def _first_level(path, capacity, end_id, slack, max_up, with_ids):
         for batch in batches:
             which = []
             for i, text in enumerate(batch.column(1)):
-                ids = np.array(enc.encode_ordinary(text.as_py() or "") + [end_id], "<u4")
+                ids = np.array(enc.encode(text.as_py() or "", allowed_special="all") + [end_id], "<u4")
                 for n, (s, size) in enumerate(cuts(len(ids), capacity)):
                     part = ids[s : s + size]
                     which.append(i)

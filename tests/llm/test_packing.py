@@ -38,6 +38,14 @@ def test_ids_are_those_of_the_tokenizer_file(text):
     assert packing.encoder(PATH).encode_ordinary(text) == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_read_as_the_library_does(spark):
+    reference = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "a<|endoftext|>", "<|endoftext |>", "a\n\n<|endoftext|>\n b", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.ids for r in packing.pack(df, with_ids=True).collect()}
+    assert got == {i: reference.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+
+
 def test_cuts():
     assert packing.cuts(1) == [(0, 1)] and packing.cuts(2048) == [(0, 2048)]
     assert packing.cuts(4100) == [(0, 4), (4, 2048), (2052, 2048)]
