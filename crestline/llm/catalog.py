@@ -8,6 +8,7 @@ from crestline.llm.decontamination import OP10_SQL, decontamination_near, op10_d
 from crestline.llm.language_id import op4_language_id
 from crestline.llm.licenses import OP9_SQL, op9_license_scan
 from crestline.llm.line_dedup import op5_line_dedup
+from crestline.llm.merkle import OP13_SQL, op13_merkle_manifest
 from crestline.llm.packing import op8_best_fit_packing
 from crestline.llm.quality_model import op3_quality_classifier
 from crestline.llm.quality_rules import OP7_SQL, op7_quality_rules
@@ -19,9 +20,10 @@ QUERIES = {
     for f in (
         op1_simhash_near_dedup, op2_toxicity, op3_quality_classifier, op4_language_id, op5_line_dedup,
         op6_chat_formatting, op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_decontamination,
-        decontamination_near,
+        op13_merkle_manifest, decontamination_near,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = {
     "op7_quality_rules": OP7_SQL, "op9_license_scan": OP9_SQL, "op10_decontamination": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
