@@ -292,6 +292,7 @@ _TREND = (
     f" {r6('avg_like_view_ratio')} AS avg_like_view_ratio, poster_url FROM top"
 )
 ORACLES["trending"] = q(_TREND, _trending(7, 20))
+ORACLES["trending_maintained"] = ORACLES["trending"]
 ORACLES["trending_country"] = q(
     _TREND, _trending(14, 20, "content_kind = 'movie' AND list_contains(countries, 'US')")
 )

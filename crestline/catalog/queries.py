@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,14 @@ from pyspark.sql import types as T
 from crestline.functions import scalars as fn
 from crestline.functions.lexicon import hype_points
 from crestline.operators.ordering import latest
-from crestline.operators.upsert import merge_partitions, missing_ids, patch, upsert
+from crestline.operators.upsert import missing_ids, patch, upsert
 from crestline.plans import (
     findings, ingest, metrics, predictions, reads, reports, scores, scoring, series, training, trends,
 )
 from crestline.schemas import TABLES, violations
 from crestline.session import pin, scratch_path
 from crestline.sources import payloads as raw
-from crestline.sources import sinks, tables
+from crestline.sources import seeds, sinks, tables
 from crestline.sources.testbed import AS_OF, NOW, Testbed
 from crestline.streaming import counters as stream
 
@@ -73,6 +74,19 @@ def trending(t):
     return reads.trending(t.snapshots, t.items, t.movies, t.shows, t.seasons, AS_OF)
 
 
+@query
+def trending_maintained(t):
+    """The same over a maintained counter table that was merged out of order, read through its seeds."""
+    path = scratch_path(t.spark, "counters")
+    counters = tables.day_table(t.spark, path, "counter_snapshots")
+    keys = TABLES["counter_snapshots"].keys
+    snapshots = pin(t.snapshots)
+    for part in ("day(collected_date) between 6 and 25", "day(collected_date) > 25", "day(collected_date) < 6"):
+        seeds.merge_counters(counters, snapshots.filter(part), keys)
+    start = date.fromisoformat(AS_OF) - timedelta(days=reads.TRENDING_DAYS)
+    return reads.trending(seeds.recent(counters, start), t.items, t.movies, t.shows, t.seasons, AS_OF)
+
+
 @query
 def trending_country(t):
     return reads.trending(
@@ -359,7 +373,7 @@ def table_merge(t):
     staged = pin(raw.counter_rows(t.video_documents, AS_OF, now()))
     staged = staged.unionByName(staged.withColumn("view_count", F.lit(-1).cast("bigint")))  # older readings of the same day
     spec = TABLES["counter_snapshots"]
-    merge_partitions(path, staged, spec.keys, spec.partition, cluster=spec.cluster)
+    tables.day_table(t.spark, path, "counter_snapshots").merge(staged, spec.keys)
     return tables.scan(t.spark, path, "counter_snapshots", since=tables.floor_for("counter_snapshots", AS_OF)).drop(
         "collected_at"
     )
@@ -781,9 +795,7 @@ def daily_counters_stream(t):
     stream.ingest_events(
         t.spark, f"{t.root}/event[s].parquet", f"{base}/table", f"{base}/state"
     ).awaitTermination()
-    return t.spark.read.schema("item_id string, views bigint, likes bigint, comments bigint, day date").parquet(
-        f"{base}/table"
-    )
+    return stream.counts_table(t.spark, f"{base}/table").read()
 
 
 @query
@@ -796,9 +808,7 @@ def daily_counters_out_of_order(t):
     for part in slices:
         events.filter(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream.ingest_events(t.spark, f"{base}/in", f"{base}/table", f"{base}/state", files_per_batch=1).awaitTermination()
-    return t.spark.read.schema("item_id string, views bigint, likes bigint, comments bigint, day date").parquet(
-        f"{base}/table"
-    )
+    return stream.counts_table(t.spark, f"{base}/table").read()
 
 
 @query
@@ -818,6 +828,5 @@ def snapshots_stream(t):
         stream.ingest_snapshots(
             t.spark, f"{base}/in", f"{base}/table", f"{base}/{state}"
         ).awaitTermination()
-    return t.spark.read.schema(
-        "item_id string, view_count bigint, like_count bigint, comment_count bigint, collected_date date"
-    ).parquet(f"{base}/table")
+    stored = tables.day_table(t.spark, f"{base}/table", "counter_snapshots").read()
+    return stored.select("item_id", "view_count", "like_count", "comment_count", "collected_date")

@@ -123,51 +123,3 @@ def keep_old_if_empty(col: str) -> PatchExpr:
 def missing_ids(requested: DataFrame, returned: DataFrame, key: str) -> DataFrame:
     """Ids asked for that did not come back."""
     return requested.select(key).distinct().join(returned.select(key), key, "left_anti")
-
-
-def merge_partitions(
-    path: str,
-    staged: DataFrame,
-    keys: Sequence[str],
-    partition: str,
-    update_cols: Sequence[str] | None = None,
-    seq: str | None = None,
-    cluster: str | None = None,
-) -> None:
-    """Merge ``staged`` into the partitioned parquet table at ``path``, in place.
-
-    Only partitions named by staged rows are read and rewritten, and the key is
-    matched within them. The staged rows are read more than once: hand in
-    something stable (a table, or a pinned frame).
-    """
-    spark = staged.sparkSession
-    staged = last_wins(staged, keys, seq)
-    if _exists(spark, path):
-        # one value per touched calendar day; as literals they prune the scan to those folders
-        touched = [r[0] for r in staged.select(partition).distinct().collect()]
-        target = spark.read.schema(staged.schema).parquet(path)
-        target = target.select(*staged.columns).filter(F.col(partition).isin(touched))
-        result = upsert(target, staged, keys, update_cols).select(*staged.columns)
-    else:
-        result = staged
-    write_partitioned(result, path, partition, cluster or keys[0])
-
-
-def write_partitioned(
-    df: DataFrame, path: str, partition: str, cluster: str, files: int = 32
-) -> None:
-    """Overwrite the partitions present in ``df``: up to ``files`` files each, rows by ``cluster``."""
-    (
-        df.repartition(partition, F.pmod(F.xxhash64(cluster), F.lit(files)))
-        .sortWithinPartitions(partition, cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)

@@ -15,7 +15,7 @@ from crestline.sources.tables import COMMENT_FLOOR_DAYS, COUNTER_FLOOR_DAYS
 
 MAX_ROWS = 100
 MAX_COMMENTS = 30
-CAROUSEL_DAYS, CAROUSEL_SIZE = 30, 10
+TRENDING_DAYS, CAROUSEL_DAYS, CAROUSEL_SIZE = 7, 30, 10
 # Languages whose items the regional report looks at.
 REGIONAL_LANGUAGES = ("hi", "ta", "te", "ml", "kn", "pa", "bn", "mr")
 
@@ -166,7 +166,7 @@ def trending(
     shows: DataFrame,
     seasons: DataFrame,
     as_of: date | str,
-    period_days: int = 7,
+    period_days: int = TRENDING_DAYS,
     content_kind: str | None = None,
     country: str | None = None,
     limit: int = 20,

@@ -8,14 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crestline.functions.scalars import days_before
-from crestline.operators.upsert import write_partitioned
 from crestline.schemas import TABLES
+from crestline.sources.daytable import DayTable
 
 # How far back a partitioned table is ever read, in days.
 COUNTER_FLOOR_DAYS = 730
 COMMENT_FLOOR_DAYS = 1000
 
 
+def day_table(spark: SparkSession, path: str, table: str) -> DayTable:
+    spec = TABLES[table]
+    return DayTable(spark, path, spec.ddl, spec.partition, spec.cluster or spec.keys[0])
+
+
 def scan(
     spark: SparkSession,
     path: str,
@@ -29,14 +34,11 @@ def scan(
     folders of the asked days.
     """
     spec = TABLES[table]
-    df = spark.read.schema(spec.ddl).parquet(path)
-    if spec.partition:
-        if since is None:
-            raise ValueError(f"{table} is partitioned by {spec.partition}: give a lower bound")
-        df = df.filter(F.col(spec.partition) >= since)
-        if until is not None:
-            df = df.filter(F.col(spec.partition) <= until)
-    return df
+    if not spec.partition:
+        return spark.read.schema(spec.ddl).parquet(path)
+    if since is None:
+        raise ValueError(f"{table} is partitioned by {spec.partition}: give a lower bound")
+    return day_table(spark, path, table).read(since, until)
 
 
 def floor_for(table: str, as_of: date | str) -> Column:
@@ -46,9 +48,8 @@ def floor_for(table: str, as_of: date | str) -> Column:
 
 def save(df: DataFrame, path: str, table: str) -> None:
     """Write in the table's layout: one folder per day, rows ordered by id inside."""
-    spec = TABLES[table]
-    if spec.partition:
-        write_partitioned(df, path, spec.partition, spec.cluster or spec.keys[0])
+    if TABLES[table].partition:
+        day_table(df.sparkSession, path, table).save(df)
     else:
         df.write.mode("overwrite").parquet(path)
 

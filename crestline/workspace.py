@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crestline.operators.upsert import merge_partitions, upsert
+from crestline.operators.upsert import upsert
 from crestline.plans import findings, ingest, metrics, predictions, reads, scores, scoring, series, trends
 from crestline.schemas import TABLES
 from crestline.session import pin
-from crestline.sources import sinks
-from crestline.sources.tables import floor_for, read_current, scan, write_current
+from crestline.sources import seeds, sinks
+from crestline.sources.daytable import DayTable
+from crestline.sources.tables import day_table, floor_for, read_current, write_current
 
 
 @dataclass
 class Workspace:
     """Tables below ``root``, seen as of one day.
 
-    Day-partitioned tables are read down to their floor and merged in place, one
-    day at a time; the others are replaced version by version.
+    Day-partitioned tables are read down to their floor; a merge rewrites the days it
+    touches and switches to them in one step. The others are replaced version by version.
     """
 
     spark: SparkSession
@@ -34,19 +35,24 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         if TABLES[name].partition is None:
             return read_current(self.spark, self.path(name), name)
-        try:
-            return scan(self.spark, self.path(name), name, since=floor_for(name, self.as_of))
-        except Exception as exc:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(exc):
-                raise
-            return self.spark.createDataFrame([], TABLES[name].ddl)
+        return self.days(name).read(since=floor_for(name, self.as_of))
+
+    def days(self, name: str) -> DayTable:
+        return day_table(self.spark, self.path(name), name)
 
     def replace(self, name: str, df: DataFrame) -> None:
         write_current(df.select(*TABLES[name].columns), self.path(name))
 
+    def counters(self, days: int) -> DataFrame:
+        """Snapshots that settle any question about the last ``days`` days: those days and a seed row per item."""
+        name = "counter_snapshots"
+        return seeds.recent(self.days(name), self.as_of - timedelta(days=days), floor_for(name, self.as_of))
+
     def merge(self, name: str, staged: DataFrame, seq: str | None = None) -> None:
-        spec = TABLES[name]
-        merge_partitions(self.path(name), staged, spec.keys, spec.partition, seq=seq, cluster=spec.cluster)
+        if name == "counter_snapshots":
+            seeds.merge_counters(self.days(name), staged, TABLES[name].keys, seq)
+            return
+        self.days(name).merge(staged, TABLES[name].keys, seq=seq)
 
     # --- reads --------------------------------------------------------------------
 
@@ -60,16 +66,16 @@ class Workspace:
         return reads.search_items(self.titled(), **filters)
 
     def item_metrics(self, item_id: str, days: int = 30) -> DataFrame:
-        return reads.item_metrics(self.table("counter_snapshots"), self.table("items"), self.as_of, item_id, days)
+        return reads.item_metrics(self.counters(days), self.table("items"), self.as_of, item_id, days)
 
     def top_comments(self, item_id: str | None = None, snapshot_kind: str | None = None, limit: int = 30) -> DataFrame:
         return reads.top_comments(self.table("comments"), self.as_of, item_id, snapshot_kind, limit)
 
-    def trending(self, **options) -> DataFrame:
-        return reads.trending(*self._for_trending(), self.as_of, **options)
+    def trending(self, period_days: int = reads.TRENDING_DAYS, **options) -> DataFrame:
+        return reads.trending(*self._for_trending(period_days), self.as_of, period_days, **options)
 
-    def _for_trending(self) -> list[DataFrame]:
-        return [self.table(t) for t in ("counter_snapshots", "items", "movies", "shows", "seasons")]
+    def _for_trending(self, days: int) -> list[DataFrame]:
+        return [self.counters(days), *(self.table(t) for t in ("items", "movies", "shows", "seasons"))]
 
     def movie_engagement_trend(self, movie_id: int | None = None, days: int = 30) -> DataFrame:
         """All movies, or one: the filter goes below the joins and windows."""
@@ -77,11 +83,11 @@ class Workspace:
         if movie_id is not None:
             items = items.filter(F.col("movie_id") == movie_id)
         return trends.engagement_trend(
-            self.table("counter_snapshots"), items, self.as_of, days, selective=movie_id is not None
+            self.counters(days), items, self.as_of, days, selective=movie_id is not None
         )
 
     def engagement_decay(self, days: int = 45, unit: str = "movie") -> DataFrame:
-        return trends.engagement_decay(self.table("counter_snapshots"), self.table("items"), self.as_of, days, unit)
+        return trends.engagement_decay(self.counters(days), self.table("items"), self.as_of, days, unit)
 
     def comment_excitement_decay(self, model_version: str | None = None) -> DataFrame:
         return scores.score_decay(self.sequence(model_version))
@@ -95,7 +101,7 @@ class Workspace:
 
     def interesting_findings(self, days: int = 30, top: int | None = 6) -> DataFrame:
         return findings.detect_findings(
-            self.table("counter_snapshots"), self.table("items"), self.table("movies"), self.as_of,
+            self.counters(max(days, findings.FATIGUE_PEAK_DAYS)), self.table("items"), self.table("movies"), self.as_of,
             self.sequence(), days, top,
         )
 
@@ -115,7 +121,7 @@ class Workspace:
         stats, items, movies = (self.table(t) for t in ("counter_snapshots", "items", "movies"))
         version = metrics.latest_version(self.table("scores"), self.as_of).first()
         builders = {
-            "carousel": lambda: reads.carousel(*self._for_trending(), self.as_of),
+            "carousel": lambda: reads.carousel(*self._for_trending(reads.CAROUSEL_DAYS), self.as_of),
             "excitement_decay": self.comment_excitement_decay,
             "excitement_examples": lambda: scores.score_examples(self.table("scores"), items, movies, self.as_of),
             "views_timeseries": lambda: series.view_timeseries(stats, items, movies, self.as_of),

@@ -11,7 +11,7 @@ from crestline.operators.medians import exact_median
 from crestline.operators.ordering import average_rank, group_ordinal, latest, top_n
 from crestline.operators.rollup import banded_rollup, size_bucket
 from crestline.operators.upsert import (
-    keep_old_if_empty, keep_old_if_null, merge_partitions, missing_ids, patch, upsert,
+    keep_old_if_empty, keep_old_if_null, missing_ids, patch, upsert,
 )
 
 
@@ -134,20 +134,3 @@ def test_patch_keeps_old_array_when_new_is_empty(spark, rows):
 def test_missing_ids(spark, rows):
     asked = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
     assert rows(missing_ids(asked, spark.createDataFrame([("a",)], "id string"), "id")) == [("b",)]
-
-
-def test_merge_partitions_touches_named_days_only(spark, rows, tmp_path):
-    path = str(tmp_path / "t")
-    ddl = "id string, v int, d date"
-
-    def day(*data):
-        return spark.createDataFrame(list(data), "id string, v int, d string").selectExpr("id", "v", "cast(d as date) d")
-
-    merge_partitions(path, day(("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")), ["id", "d"], "d")
-    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t" / "d=2024-01-01").iterdir()}
-    late = day(("b", 3, "2024-01-02"), ("c", 4, "2024-01-02"))
-    for _ in range(2):
-        merge_partitions(path, late, ["id", "d"], "d")
-    got = spark.read.schema(ddl).parquet(path)
-    assert [(r[0], r[1]) for r in rows(got)] == [("a", 1), ("b", 3), ("c", 4)]
-    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "t" / "d=2024-01-01").iterdir()} == before

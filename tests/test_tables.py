@@ -118,7 +118,7 @@ def test_snapshot_stream_is_idempotent_and_takes_late_days(spark, frame, rows, t
     def arrive(*data):
         frame(ddl, *data).coalesce(1).write.mode("append").parquet(src)
         stream.ingest_snapshots(spark, src, out, state).awaitTermination()
-        return rows(spark.read.schema(ddl).parquet(out), "item_id", "collected_date", "view_count")
+        return rows(tables.day_table(spark, out, "counter_snapshots").read(), "item_id", "collected_date", "view_count")
 
     d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
     arrive(("a", "2024-01-02", 5, 0, 0, 0, "2024-01-02 01:00:00"), ("a", "2024-01-02", 7, 0, 0, 0, "2024-01-02 02:00:00"))
@@ -126,7 +126,7 @@ def test_snapshot_stream_is_idempotent_and_takes_late_days(spark, frame, rows, t
     assert got == [("a", d1, 3), ("a", d2, 7), ("b", d2, 1)]
     # the same files again through a fresh state
     stream.ingest_snapshots(spark, src, out, str(tmp_path / "state2")).awaitTermination()
-    assert rows(spark.read.schema(ddl).parquet(out), "item_id", "collected_date", "view_count") == got
+    assert rows(tables.day_table(spark, out, "counter_snapshots").read(), "item_id", "collected_date", "view_count") == got
 
 
 def test_event_stream_updates_counts_across_batches(spark, rows, tmp_path):
@@ -135,7 +135,7 @@ def test_event_stream_updates_counts_across_batches(spark, rows, tmp_path):
     for part in ("ts < '2024-01-10 12:00:00'", "ts >= '2024-01-10 12:00:00'"):
         events.filter(part).coalesce(1).write.mode("append").parquet(src)
         stream.ingest_events(spark, src, out, state).awaitTermination()
-    got = spark.read.schema("item_id string, views bigint, likes bigint, comments bigint, day date").parquet(out)
+    got = stream.counts_table(spark, out).read()
     want = events.groupBy(F.concat(F.lit("v"), "user_id").alias("item_id"), F.to_date("ts").alias("day")).agg(
         F.count("*").alias("views"), F.count_if(F.col("event_type") == "click").alias("likes")
     )
@@ -150,8 +150,7 @@ def test_events_are_counted_in_any_order_of_arrival(spark, rows, tmp_path):
                                    "event_id long, ts string, user_id long, event_type string, value double, props string")
         df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(src)
         stream.ingest_events(spark, src, out, state, files_per_batch=1).awaitTermination()
-        stored = spark.read.schema("item_id string, views bigint, likes bigint, comments bigint, day date").parquet(out)
-        return rows(stored, "day", "views")
+        return rows(stream.counts_table(spark, out).read(), "day", "views")
 
     d1, d8, d9 = date(2024, 1, 1), date(2024, 1, 8), date(2024, 1, 9)
     assert arrive((2, "2024-01-09 10:00:00")) == [(d9, 1)]
