@@ -902,6 +902,28 @@ ORACLES["fit_quality"] = q(
   FROM (SELECT round(a.excitement) AS y, round(b.excitement) AS p FROM scores a JOIN scores b USING (item_id)
     WHERE a.model_version = 'm1' AND b.model_version = 'm2' AND a.excitement IS NOT NULL))"""
 )
+ORACLES["ridge_small"] = f"""WITH raw AS (
+  SELECT vec_id, vec_id % 97 % 5 AS fold, CAST(embedding[1] AS DOUBLE) AS x1, CAST(embedding[2] AS DOUBLE) AS x2,
+    50 + 100 * CAST(embedding[1] AS DOUBLE) - 60 * CAST(embedding[2] AS DOUBLE) + label AS y FROM embeddings),
+d AS (SELECT vec_id, fold, y, (x1 - avg(x1) OVER ()) / stddev_pop(x1) OVER () AS z1,
+  (x2 - avg(x2) OVER ()) / stddev_pop(x2) OVER () AS z2 FROM raw),
+fits AS (SELECT DISTINCT fold AS f FROM d UNION ALL SELECT -1),
+mom AS (SELECT f, count(*) AS n, avg(z1) AS c1, avg(z2) AS c2, avg(y) AS my, count(*) * var_pop(z1) AS s11,
+  count(*) * var_pop(z2) AS s22, count(*) * covar_pop(z1, z2) AS s12, count(*) * covar_pop(z1, y) AS t1,
+  count(*) * covar_pop(z2, y) AS t2 FROM fits JOIN d ON fold <> f GROUP BY f),
+grid AS (SELECT i, pow(10, -1 + 5 * i / 23) AS a FROM (SELECT unnest(range(24)) AS i)),
+sol AS (SELECT *, (s11 + a) * (s22 + a) - s12 * s12 AS det FROM mom, grid),
+coef AS (SELECT *, ((s22 + a) * t1 - s12 * t2) / det AS b1, ((s11 + a) * t2 - s12 * t1) / det AS b2 FROM sol),
+loo AS (SELECT f, i, any_value(b1) AS b1, any_value(b2) AS b2, any_value(c1) AS c1, any_value(c2) AS c2, any_value(my) AS my,
+  sum(pow((y - my - b1 * (z1 - c1) - b2 * (z2 - c2)) / (1 - 1 / n
+    - ((s22 + a) * (z1 - c1) * (z1 - c1) - 2 * s12 * (z1 - c1) * (z2 - c2) + (s11 + a) * (z2 - c2) * (z2 - c2)) / det), 2)) AS e
+  FROM coef JOIN d ON fold <> f GROUP BY f, i),
+best AS (SELECT * FROM loo QUALIFY row_number() OVER (PARTITION BY f ORDER BY e, i) = 1),
+o AS (SELECT y, greatest(0, least(100, my + b1 * (z1 - c1) + b2 * (z2 - c2))) AS p FROM d JOIN best ON f = fold)
+SELECT count(*) AS n, {r6('avg(abs(p - y))')} AS mae, {r6('sqrt(avg((p - y) * (p - y)))')} AS rmse,
+  {r6('avg(abs(y - m))')} AS baseline_mae, {r6('corr(ry, rp)')} AS spearman FROM (
+  SELECT *, avg(y) OVER () AS m, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2 AS ry,
+    rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS rp FROM o)"""
 _GATE = f"""lex AS (
   SELECT item_id, avg({_hype_points('text')}) AS h FROM (
     SELECT * FROM comments WHERE snapshot_kind = 'at_discovery'

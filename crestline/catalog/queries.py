@@ -711,6 +711,18 @@ def ridge_train(t):
     return training.fit_quality(oof)
 
 
+@query
+def ridge_small(t):
+    """Ridge on two features: small enough for SQL to solve in closed form."""
+    rows = t.raw("embeddings").selectExpr(
+        "concat('v', vec_id) as item_id", "vec_id % 97 as movie_id", "cast(vec_id % 97 % 5 as int) as fold",
+        "array(cast(embedding[0] as double), cast(embedding[1] as double)) as features",
+        "50D + 100 * cast(embedding[0] as double) - 60 * cast(embedding[1] as double) + label as y",
+    )
+    _, oof = training.train(rows, "r2", "two features")
+    return training.fit_quality(oof)
+
+
 @query
 def fit_quality(t):
     s = t.scores.filter("excitement is not null")

@@ -2,21 +2,18 @@
 
 Row numbers under a hard upper bound (``latest``, ``top_n``) are cut per input
 partition before the shuffle, so a hot key costs at most n rows per task.
-Ordinals over whole groups have no such bound; groups measured as hot are
-ordered by a range shuffle that spreads one group over many tasks.
+Ordinals and ranks over whole groups have no such bound: they are counted per slice of
+the order first, and a task orders one slice of one group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crestline.session import pin
-
-# A group of this many rows still sorts comfortably inside one task.
-HOT_ROWS = 2_000_000
 
 
 def top_n(
@@ -36,102 +33,77 @@ def group_ordinal(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
+    slice_by: Column,
     name: str = "ordinal",
     size: str = "group_size",
-    hot_rows: int = HOT_ROWS,
-    bound: DataFrame | None = None,
 ) -> DataFrame:
     """1-based position of each row in its group and the group's size, for groups of any size.
 
-    ``order`` must be a total order within a group. Group sizes are counted
-    first; only groups above ``hot_rows`` take the spread-out path. ``bound`` may
-    give an upper bound on group sizes (some of the keys and ``_n``) where that is
-    cheaper to count than ``df`` itself.
+    ``order`` must be a total order within a group, and ``slice_by`` a coarse function of it that
+    never falls along the order (the hour of a leading timestamp, say). Rows are counted per
+    group and slice with map-side sums; a row's position is its place in its slice plus the
+    rows of earlier slices. A task holds a slice of a group, never a whole group. Null keys
+    are a group, a null slice is the first one.
     """
-    sizes = bound if bound is not None else df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    by = [c for c in sizes.columns if c != "_n"]
-    # at most (counted rows / hot_rows) keys, so the key list stays small enough to broadcast
-    hot = sizes.filter(F.col("_n") > hot_rows).select(*by)
-    group = Window.partitionBy(*keys)
-
-    def placed(rows: DataFrame) -> DataFrame:  # every group fits one task
-        return rows.select(
-            "*",
-            F.row_number().over(group.orderBy(*order)).cast("bigint").alias(name),
-            F.count("*").over(group).alias(size),
-        )
-
-    if hot.isEmpty():
-        return placed(df)
-    cold = placed(df.join(F.broadcast(hot), by, "left_anti"))
-    spread = _spread_ordinal(df.join(F.broadcast(hot), by, "left_semi"), keys, order, name, size)
-    return cold.unionByName(spread)
-
-
-def _spread_ordinal(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, size: str
-) -> DataFrame:
-    """Range-sort everything, then add up the sizes of the preceding ranges.
+    rows = df.withColumns({"_g": F.struct(*keys), "_s": F.struct(slice_by.alias("s"))})
+    group = Window.partitionBy("_g")
+    before = group.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy("_g", "_s").agg(F.count("*").alias("_n")).select(
+        "_g", "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(group).alias(size),
+    )
+    place = F.row_number().over(Window.partitionBy("_g", "_s").orderBy(*order))
+    return rows.join(slices, ["_g", "_s"]).withColumn(name, place + F.col("_before")).select(*df.columns, name, size)
+
+
+#: slices that ``squashed`` tells apart
+SLICES = 10_000
+
+
+def squashed(value: Column, middle: float = 50.0, spread: float = 50.0, slices: int = SLICES) -> Column:
+    """A slice number that grows with any number and stays below ``slices``; finest around ``middle``."""
+    share = F.atan((value - middle) / spread) / math.pi + 0.5
+    return F.least(F.floor(share * slices), F.lit(slices - 1)).cast("int")
+
+
+def average_ranks(counts: DataFrame, value: str, count: str, name: str) -> DataFrame:
+    """``counts`` (one row per distinct ``value`` and its number of rows) with the rank that equal rows share.
 
-    Positions come from the physical layout, so the sorted rows are pinned
-    before they are read a second time.
+    Distinct values are summed by slice first: at most ``SLICES`` rows meet in one task, and
+    every slice adds up its own values.
     """
-    sorted_rows = pin(
-        df.repartitionByRange(*keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_pos", 33))
-    )
-    part_keys = [*keys, "_part"]
-    chunks = sorted_rows.groupBy(*part_keys).agg(
-        F.min("_pos").alias("_first"), F.count("*").alias("_n")
-    )
-    # one row per (group, range): a group spans at most the number of ranges
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunks.select(
-        *part_keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias(size),
+    sliced = counts.withColumn("_s", squashed(F.col(value)))
+    upto = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced.groupBy("_s").agg(F.sum(count).alias("_n")).select(
+        "_s", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before")
     )
+    inner = Window.partitionBy("_s").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sorted_rows.join(offsets, part_keys)
-        .withColumn(name, F.col("_pos") - F.col("_first") + 1 + F.col("_offset"))
-        .select(*df.columns, name, size)
+        sliced.join(F.broadcast(offsets), "_s")  # at most SLICES rows
+        .withColumn(name, F.coalesce(F.sum(count).over(inner), F.lit(0)) + F.col("_before") + (F.col(count) + 1) / 2)
+        .drop("_s", "_before")
     )
 
 
-def average_rank(
-    df: DataFrame, value: str, name: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rank of ``value`` over the whole frame, ties sharing their mean rank.
+def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
+    """One row ``spearman``: the correlation of the ranks of two numbers, ties sharing their mean rank.
 
-    Ties are folded into one row with a count first, so repeated values never
-    pile up; the running count then works on distinct values only.
+    Rows are folded to counts of distinct pairs; ranks come from the counts of each side. The pairs of
+    one x are summed map-side before they meet its rank, so a frequent value reaches no task as rows.
+    Rows with a missing number are left out; without spread the result is null.
     """
-    counts = df.groupBy(value).agg(F.count("*").alias("_c"))
-    placed = _running_count(counts, value, hot_rows).select(
-        value, (F.col("_before") + (F.col("_c") + 1) / 2).alias(name)
-    )
-    return df.join(placed, value)
-
-
-def _running_count(counts: DataFrame, value: str, hot_rows: int) -> DataFrame:
-    """``_before``: the sum of ``_c`` over all smaller values."""
-    before = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    if counts.limit(hot_rows + 1).count() <= hot_rows:  # checked: one task is enough
-        return counts.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    ranged = pin(
-        counts.repartitionByRange(value).withColumn("_part", F.spark_partition_id())
+    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter("x is not null and y is not null").groupBy("x", "y").agg(
+        F.count("*").alias("c")
     )
-    inner = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range: bounded by the number of shuffle partitions
-    offsets = (
-        ranged.groupBy("_part")
-        .agg(F.sum("_c").alias("_total"))
-        .select("_part", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_offset"))
-    )
-    return (
-        ranged.join(F.broadcast(offsets), "_part")
-        .withColumn("_before", F.coalesce(F.sum("_c").over(inner), F.lit(0)) + F.col("_offset"))
-        .drop("_part", "_offset")
+    side = {
+        v: average_ranks(pairs.groupBy(v).agg(F.sum("c").alias(f"n{v}")), v, f"n{v}", f"r{v}") for v in ("x", "y")
+    }
+    per_x = pairs.join(side["y"], "y").groupBy("x").agg(F.sum(F.col("c") * F.col("ry")).alias("sy"))
+    crossed = side["x"].join(per_x, "x").agg(
+        F.sum("nx").alias("n"), F.sum(F.col("rx") * F.col("sy")).alias("xy"), F.sum(F.col("nx") * F.col("rx") * F.col("rx")).alias("xx")
     )
+    own = side["y"].agg(F.sum(F.col("ny") * F.col("ry") * F.col("ry")).alias("yy"))
+    # ranks average (n + 1) / 2 on either side
+    level = F.col("n") * (F.col("n") + 1.0) * (F.col("n") + 1.0) / 4
+    spread = F.sqrt((F.col("xx") - level) * (F.col("yy") - level))
+    return crossed.withColumn("yy", own.scalar()).select(F.try_divide(F.col("xy") - level, spread).alias("spearman"))

@@ -112,9 +112,7 @@ def score_sequence(scores: DataFrame, items: DataFrame, as_of: date | str) -> Da
     links = movie_links(items).select("item_id", "movie_id", "published_at")
     placed = group_ordinal(
         kept.join(links, "item_id"), ["movie_id", "model_version"], ["published_at", "item_id"],
-        "item_ordinal", "n_items",
-        # an item has one score per version, so a movie's items bound its sequences
-        bound=links.groupBy("movie_id").agg(F.count("*").alias("_n")),
+        F.date_trunc("hour", "published_at"), "item_ordinal", "n_items",
     )
     return placed.select(
         "movie_id", "item_id", "excitement", "model_version", "scored_date", "published_at",

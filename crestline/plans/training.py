@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crestline.operators.medians import exact_median
-from crestline.operators.ordering import average_rank, group_ordinal
+from crestline.operators.ordering import group_ordinal, spearman
 from crestline.operators.rollup import ALL, banded_rollup
 from crestline.plans.scores import SCORE_BUCKETS, score_units
 from crestline.plans.scoring import LinearHead, pooled_features
@@ -44,10 +45,28 @@ def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     return np.vstack(pdf["features"].to_numpy()).astype("float64")
 
 
+def _packed(m: np.ndarray) -> bytes:
+    """The upper triangle, row by row."""
+    return m[np.triu_indices(len(m))].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    v = np.frombuffer(raw)
+    k = int((np.sqrt(8 * v.size + 1) - 1) / 2)
+    m = np.zeros((k, k))
+    m[np.triu_indices(k)] = v
+    return m + np.triu(m, 1).T
+
+
+#: triangles added up by one task of a level
+FAN = 16
+
+
 def fold_moments(table: DataFrame) -> dict[int, np.ndarray]:
     """Per fold the moment matrix of (1, features, y): one row per fold reaches the driver.
 
-    Each task sums its own rows; the partial matrices are then added per cell.
+    Each task sums its own rows to one packed triangle per fold. Triangles are added ``FAN`` at a
+    time, level by level, so neither a task nor the driver ever holds more than that many.
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,21 +76,21 @@ def fold_moments(table: DataFrame) -> dict[int, np.ndarray]:
                 x = _matrix(part)
                 z = np.column_stack([np.ones(len(x)), x, part["y"].to_numpy(dtype="float64")])
                 sums[int(fold)] = sums.get(int(fold), 0) + z.T @ z
+        at = TaskContext.get().partitionId()
         for fold, m in sums.items():
-            yield pd.DataFrame({"fold": fold, "cell": np.arange(m.size), "v": m.ravel()})
+            yield pd.DataFrame({"fold": [fold], "node": [at], "v": [_packed(m)]})
 
-    cells = (
-        table.select("fold", "features", "y")
-        .mapInPandas(partial, "fold int, cell int, v double")
-        .groupBy("fold", "cell")
-        .agg(F.sum("v").alias("v"))
-    )
-    out: dict[int, np.ndarray] = {}
-    for fold, part in cells.toPandas().groupby("fold"):  # folds x (features + 2)^2 numbers
-        v = part.sort_values("cell")["v"].to_numpy()
-        k = int(round(np.sqrt(v.size)))
-        out[int(fold)] = v.reshape(k, k)
-    return out
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(v) for v in pdf["v"]], axis=0)
+        return pd.DataFrame({"fold": pdf["fold"][:1], "node": pdf["node"][:1] // FAN, "v": [total.tobytes()]})
+
+    schema = "fold int, node bigint, v binary"
+    level = table.select("fold", "features", "y").mapInPandas(partial, schema)
+    nodes = table.rdd.getNumPartitions()
+    while nodes > 1:
+        level = level.groupBy("fold", F.expr(f"node div {FAN}")).applyInPandas(added, schema)
+        nodes = -(-nodes // FAN)
+    return {r.fold: _unpacked(bytes(r.v)) for r in level.select("fold", "v").collect()}
 
 
 class Fit:
@@ -177,15 +196,14 @@ def fit_quality(predictions: DataFrame, y: str = "y", predicted: str = "oof") ->
     """MAE, RMSE, MAE of always predicting the mean, and Spearman's rank correlation."""
     rows = predictions.select(F.col(y).alias("y"), F.col(predicted).alias("p"))
     err = F.col("p") - F.col("y")
-    ranked = average_rank(average_rank(rows, "y", "_ry"), "p", "_rp")
     mean = rows.agg(F.avg("y")).scalar()
-    return ranked.withColumn("_mean", mean).agg(
+    both = rows.filter(F.col("y").isNotNull() & F.col("p").isNotNull())
+    return both.withColumn("_mean", mean).agg(
         F.count("*").alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(F.col("y") - F.col("_mean"))).alias("baseline_mae"),
-        F.corr("_ry", "_rp").alias("spearman"),
-    )
+    ).withColumn("spearman", spearman(both, "y", "p").scalar())
 
 
 def gate_sequence(scored: DataFrame) -> DataFrame:
@@ -194,7 +212,8 @@ def gate_sequence(scored: DataFrame) -> DataFrame:
     ``scored``: item_id, movie_id, published_at, excitement, lexicon.
     """
     rows = scored.filter(F.col("excitement").isNotNull() & F.col("published_at").isNotNull())
-    seq = group_ordinal(rows, ["movie_id"], ["published_at", "item_id"], "item_ordinal", "in_movie")
+    hour = F.date_trunc("hour", "published_at")
+    seq = group_ordinal(rows, ["movie_id"], ["published_at", "item_id"], hour, "item_ordinal", "in_movie")
     return seq.select("movie_id", "item_ordinal", "excitement", "lexicon")
 
 

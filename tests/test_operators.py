@@ -1,6 +1,7 @@
 import random
 import statistics
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,22 +9,38 @@ from pyspark.sql import functions as F
 
 from crestline.operators.asof import next_event
 from crestline.operators.medians import exact_median
-from crestline.operators.ordering import average_rank, group_ordinal, latest, top_n
+from crestline.operators.ordering import SLICES, average_ranks, group_ordinal, latest, spearman, squashed, top_n
 from crestline.operators.rollup import banded_rollup, size_bucket
 from crestline.operators.upsert import (
     keep_old_if_empty, keep_old_if_null, missing_ids, patch, upsert,
 )
 
 
-def test_hot_groups_get_the_same_ordinals(spark, rows):
+def test_ordinals_of_sliced_groups(spark, rows):
     rnd = random.Random(3)
-    data = [("hot" if rnd.random() < 0.6 else f"g{rnd.randrange(5)}", rnd.randrange(4), i) for i in range(600)]
+    data = [(None if rnd.random() < 0.1 else "hot" if rnd.random() < 0.6 else f"g{rnd.randrange(5)}",
+             None if rnd.random() < 0.1 else rnd.randrange(40), i) for i in range(600)]
     df = spark.createDataFrame(data, "g string, at int, id int")
-    plain = group_ordinal(df, ["g"], ["at", "id"], "n", "size")
-    spread = group_ordinal(df, ["g"], ["at", "id"], "n", "size", hot_rows=100)
-    assert rows(plain) == rows(spread)
-    assert rows(plain) == rows(group_ordinal(df, ["g"], ["at", "id"], "n", "size", hot_rows=0))
-    assert max(r.n for r in plain.filter("g = 'hot'").collect()) == sum(d[0] == "hot" for d in data)
+    want = []
+    for g in {d[0] for d in data}:
+        own = sorted((d for d in data if d[0] == g), key=lambda d: (d[1] is not None, d[1] or 0, d[2]))
+        want += [(*d, i, len(own)) for i, d in enumerate(own, 1)]
+    for step in (F.floor(F.col("at") / 10), F.col("at"), F.lit(0)):
+        got = [tuple(r) for r in group_ordinal(df, ["g"], ["at", "id"], step, "n", "size").collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_hot_group_is_in_no_single_task(spark):
+    """A group with a third of all rows: no window sees more than one slice of it, and planning runs no job."""
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 0, id) as g", "id as at")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    ranked = group_ordinal(df, ["g"], ["at"], F.floor(F.col("at") / 300), "n", "size")
+    assert tracker.getJobIdsForGroup("plan-only") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = ranked._jdf.queryExecution().toString()
+    assert "row_number() windowspecdefinition(_g" in plan and "_s" in plan
+    assert ranked.filter("g = 0 and n <> at / 3 + 1").count() == 0
 
 
 def test_bounded_ranking_is_cut_before_the_shuffle(spark):
@@ -33,12 +50,34 @@ def test_bounded_ranking_is_cut_before_the_shuffle(spark):
     assert {r.v for r in latest(df, ["k"], [F.desc("v")]).collect()} == {97, 98, 99}
 
 
-@pytest.mark.parametrize("hot_rows", [1000, 3])
-def test_average_rank(spark, hot_rows):
-    vals = [5.0, 1.0, 5.0, 3.0, 5.0, 1.0, 9.0]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = {r.v: r.rk for r in average_rank(df, "v", "rk", hot_rows).collect()}
-    assert got == {1.0: 1.5, 3.0: 3.0, 5.0: 5.0, 9.0: 7.0}
+def test_average_ranks(spark):
+    vals = [5.0, 1.0, 5.0, 3.0, 5.0, 1.0, 9.0, -1e300, 1e300]
+    counts = spark.createDataFrame([(v,) for v in vals], "v double").groupBy("v").agg(F.count("*").alias("c"))
+    got = {r.v: r.rk for r in average_ranks(counts, "v", "c", "rk").collect()}
+    assert got == {-1e300: 1.0, 1.0: 2.5, 3.0: 4.0, 5.0: 6.0, 9.0: 8.0, 1e300: 9.0}
+
+
+def test_squashed_never_falls(spark):
+    vals = sorted([-1e308, -1.0, 0.0, 49.99, 50.0, 50.001, 77.0, 100.0, 1e9, 1e308, float("inf"), float("-inf")])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    got = [r[0] for r in df.orderBy("i").select(squashed(F.col("v"))).collect()]
+    assert got == sorted(got) and 0 <= got[0] and got[-1] < SLICES
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.floats(0, 100)), min_size=1, max_size=60))
+def test_spearman_equals_the_correlation_of_ranks(spark, pairs):
+    df = spark.createDataFrame([(None if x is None else float(x), y) for x, y in pairs], "x double, y double")
+    got = spearman(df, "x", "y").first().spearman
+    known = pd.DataFrame([p for p in pairs if p[0] is not None], columns=["x", "y"], dtype=float)
+    flat = known["x"].nunique() < 2 or known["y"].nunique() < 2
+    assert (got is None) if flat else got == pytest.approx(known["x"].rank().corr(known["y"].rank()), abs=1e-9)
+
+
+def test_a_median_inside_one_bucket_of_distinct_values(spark):
+    """All values of one key: the largest step holds a small part of the bracket."""
+    df = spark.range(1_000_001).selectExpr("'k' as k", "cast(id as double) * 1.5 as v")
+    assert exact_median(df, ["k"], "v").first().median == 750_000.0
 
 
 @settings(max_examples=8, deadline=None)
