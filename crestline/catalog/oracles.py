@@ -744,6 +744,20 @@ FROM snaps s FULL JOIN (
   ON s.item_id = n.item_id AND s.collected_date = n.collected_date""",
     _ACTIVE,
 )
+_REJECT = (
+    "CASE WHEN c_custkey % 13 = 0 OR c_custkey % 17 = 0 THEN 'unreadable' WHEN c_custkey % 19 = 0 THEN 'other_id' END"
+)
+_ASKED = "'v' || c_custkey IN (SELECT item_id FROM active)"
+ORACLES["flatten_rejects"] = q(
+    f"SELECT 'stats' AS phase, 'v' || c_custkey AS item_id, {_REJECT} AS reason, {AS_OF} AS rejected_date"
+    f" {_BACK} AND {_ASKED} AND {_REJECT} IS NOT NULL",
+    _ACTIVE,
+)
+ORACLES["counter_run_faulty"] = q(
+    f"SELECT 'v' || c_custkey AS item_id, c_custkey * 13 AS view_count, {_LIKES} AS like_count, {_REPLIES} AS comment_count"
+    f" {_BACK} AND {_ASKED} AND {_REJECT} IS NULL",
+    _ACTIVE,
+)
 _DUE = f"due_items AS (SELECT *, coalesce({_DISC}, false) AS disc, coalesce({_PRE}, false) AS pre FROM items)"
 ORACLES["comment_run_items"] = q(
     f"""SELECT item_id, comments_disabled OR ((disc OR pre) AND c % 10 = 4) AS comments_disabled,
@@ -924,6 +938,35 @@ SELECT count(*) AS n, {r6('avg(abs(p - y))')} AS mae, {r6('sqrt(avg((p - y) * (p
   {r6('avg(abs(y - m))')} AS baseline_mae, {r6('corr(ry, rp)')} AS spearman FROM (
   SELECT *, avg(y) OVER () AS m, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2 AS ry,
     rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS rp FROM o)"""
+ORACLES["run_log"] = q(
+    f"""SELECT phase, max(n) FILTER (WHERE k = 1) OVER (PARTITION BY phase) AS items_processed, CAST(0 AS BIGINT) AS errors, outcome, n
+FROM (
+  SELECT 'stats' AS phase, unnest([1, 2, 3]) AS k, unnest(['counted', 'rejected', 'unavailable']) AS outcome,
+    unnest([count(*) FILTER (WHERE c_custkey % 29 <> 0 AND {_REJECT} IS NULL),
+      count(*) FILTER (WHERE c_custkey % 29 <> 0 AND {_REJECT} IS NOT NULL), count(*) FILTER (WHERE c_custkey % 29 = 0)]) AS n
+  FROM customer WHERE {_ASKED}
+  UNION ALL
+  SELECT 'comments', unnest([1, 2, 3, 4, 5]), unnest(['comments', 'at_discovery', 'pre_release', 'disabled', 'failed']),
+    unnest([CAST(coalesce(sum(CASE WHEN c % 10 NOT IN (4, 5) THEN (CAST(disc AS INT) + CAST(pre AS INT)) * (c % 4 + 1) END), 0) AS BIGINT),
+      count(*) FILTER (WHERE disc AND c % 10 NOT IN (4, 5)), count(*) FILTER (WHERE pre AND c % 10 NOT IN (4, 5)),
+      count(*) FILTER (WHERE disc AND c % 10 = 4) + count(*) FILTER (WHERE pre AND c % 10 = 4),
+      count(*) FILTER (WHERE disc AND c % 10 = 5) + count(*) FILTER (WHERE pre AND c % 10 = 5)])
+  FROM (SELECT * FROM due_items WHERE {{after_stats}})
+  UNION ALL
+  SELECT 'excitement', unnest([1, 2]), unnest(['scored', 'skipped']),
+    unnest([count(*) FILTER (WHERE CAST(substr(item_id, 2) AS BIGINT) % 5 <> 0), count(*) FILTER (WHERE CAST(substr(item_id, 2) AS BIGINT) % 5 = 0)])
+  FROM (SELECT DISTINCT item_id FROM comments WHERE snapshot_kind = 'at_discovery')
+  UNION ALL
+  SELECT 'transcripts', unnest([1, 2, 3, 4]), unnest(['attempted', 'yta', 'whisper', 'failed']),
+    unnest([count(*), count(*) FILTER (WHERE a = 'yta'), count(*) FILTER (WHERE a = 'whisper'), count(*) FILTER (WHERE a = 'failed')])
+  FROM (SELECT {_ATT} AS a FROM documents WHERE 'v' || doc_id IN (SELECT item_id FROM items WHERE transcript_at IS NULL
+    AND tracking_status = 'active' AND {{after_stats}})))""".replace(
+        "{after_stats}",
+        # the counter job has ended or lost these before the other jobs look
+        f"NOT (item_id IN (SELECT item_id FROM active) AND c % 29 = 0) AND NOT coalesce({AS_OF} > tracking_end_date + 30, false)",
+    ),
+    f"{_ACTIVE}, {_DUE}",
+)
 _GATE = f"""lex AS (
   SELECT item_id, avg({_hype_points('text')}) AS h FROM (
     SELECT * FROM comments WHERE snapshot_kind = 'at_discovery'

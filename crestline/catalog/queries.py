@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ from crestline.sources import payloads as raw
 from crestline.sources import seeds, sinks, tables
 from crestline.sources.testbed import AS_OF, NOW, Testbed
 from crestline.streaming import counters as stream
+from crestline.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +59,14 @@ def now():
     return F.lit(NOW).cast("timestamp")
 
 
+def shaped(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a table's contract; those the frame lacks are null."""
+    schema = T.StructType.fromDDL(TABLES[table].ddl)
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ])
+
+
 def titled(t: Testbed) -> DataFrame:
     return reads.titled_items(t.items, t.movies, t.shows, t.seasons)
 
@@ -542,6 +551,55 @@ def counter_run_snapshots(t):
     return run.snapshots.drop("collected_at")
 
 
+def _faulty(t):
+    """The documents with some cut short, some with text after them, and some about another item."""
+    n = F.expr("cast(substring(item_id, 2) as bigint)")
+    payload = F.col("payload")
+    return t.video_documents.select(
+        "item_id",
+        F.when(n % 13 == 0, F.concat(payload, F.lit(" {}")))
+        .when(n % 17 == 0, F.substring(payload, 1, 40))
+        .when(n % 19 == 0, F.regexp_replace(payload, '"id":"v', '"id":"w'))
+        .otherwise(payload).alias("payload"),
+    )
+
+
+@query
+def flatten_rejects(t):
+    """Documents that are not booked, with the reason, as they lie in the rejects table after two equal runs."""
+    path = scratch_path(t.spark, "rejects")
+    table = tables.day_table(t.spark, path, "rejects")
+    for _ in range(2):
+        run = ingest.counter_run(t.items, t.snapshots, _faulty(t), AS_OF, now())
+        table.merge(pin(run.rejects), TABLES["rejects"].keys)
+    return table.read().select("phase", "item_id", "reason", "rejected_date")
+
+
+@query
+def counter_run_faulty(t):
+    """Counters of the same run: an item whose document is about another item has none."""
+    run = ingest.counter_run(t.items, t.snapshots, _faulty(t), AS_OF, now())
+    return run.counters.select("item_id", "view_count", "like_count", "comment_count")
+
+
+@query
+def run_log(t):
+    """A day of jobs over a workspace: the log's rows, with the outcome counts of every phase."""
+    ws = Workspace(t.spark, scratch_path(t.spark, "day"), date.fromisoformat(AS_OF))
+    for name in ("items", "predictions"):
+        ws.replace(name, shaped(getattr(t, name), name))
+    for name, df in (("comments", t.comments), ("scores", t.scores)):
+        ws.days(name).save(shaped(df, name))
+    blank = t.embedded_comments.withColumn("text", F.expr("if(substr(item_id, 2) % 5 = 0, ' ', text)"))
+    log = ws.run_day(
+        datetime.fromisoformat(NOW), documents=_faulty(t), threads=t.item_threads, embedded=blank, head=demo_head(),
+        dim=64, attempts=t.transcript_attempts, predict=False, run_id="r1",
+    )
+    stored = ws.table("run_log").join(log.select("run_id", "phase"), ["run_id", "phase"])
+    counts = F.explode(F.from_json("notes", "map<string, bigint>")).alias("outcome", "n")
+    return stored.select("phase", "items_processed", "errors", counts)
+
+
 @query
 def comment_run_items(t):
     run = ingest.comment_run(t.items, t.comments, t.item_threads, AS_OF, now())

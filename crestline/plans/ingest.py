@@ -6,6 +6,7 @@ returns the new state of the tables it maintains.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -113,13 +114,20 @@ def patch_registry(items: DataFrame, updates: DataFrame) -> DataFrame:
 # --- counters -------------------------------------------------------------------
 
 
+Hold = Callable[[str, DataFrame], DataFrame]
+
+
+def _passing(_name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 @dataclass
 class CounterRun:
     counters: DataFrame  # today's counter rows
     snapshots: DataFrame  # snapshot table after the merge
     items: DataFrame  # item registry after all updates
     unavailable: DataFrame  # requested ids that did not come back
-    rejected: DataFrame  # item_id, payload of documents that could not be read
+    rejects: DataFrame  # rows for the rejects table
 
 
 def counter_run(
@@ -128,26 +136,28 @@ def counter_run(
     documents: DataFrame,
     today: date | str,
     now: Column,
+    hold: Hold = _passing,
 ) -> CounterRun:
     """Today's counters from raw documents (columns item_id, payload).
 
     Every document of an active item is used; of several for one item the one
-    with the greatest payload. Documents that cannot be read are returned as
-    rejected: their items are neither counted nor taken for unavailable. Today's
-    rows are merged into the snapshots of the same day; other days are untouched.
+    with the greatest payload. Documents that cannot be read, or that name another id than
+    the one asked for, become rejects: their items are neither counted nor taken for
+    unavailable. Today's rows are merged into the snapshots of the same day; other days are
+    untouched. ``hold`` may store what several outputs read: ``documents`` (parsed once) and ``unavailable``.
     """
     targets = active_targets(items, today).select("item_id")
     returned = documents.join(targets, "item_id", "left_semi").select("item_id", "payload")
-    readable = raw.readable(F.col("payload"))
-    good = last_wins(returned.filter(readable), ["item_id"], None)
-    counters = raw.counter_rows(good, today, now)
+    rows = hold("documents", raw.video_rows(returned, today, now))
+    good = rows.filter(F.col("reason").isNull())
     spec = TABLES["counter_snapshots"]
+    counters = good.select(*spec.columns)
     merged = upsert(snapshots, counters, spec.keys, within=F.col(spec.partition) == day(today))
-    gone = missing_ids(targets, returned, "item_id")
-    patched = patch_registry(items, raw.registry_patch(good, now))
+    gone = hold("unavailable", missing_ids(targets, rows, "item_id"))
+    patched = patch_registry(items, good.select("item_id", *raw.REGISTRY))
+    rejects = raw.reject_rows(rows.filter(F.col("reason").isNotNull()), "stats", today, now)
     return CounterRun(
-        counters, merged, mark_ended(mark_unavailable(patched, gone, now), today), gone,
-        returned.filter(~readable),
+        counters, merged, mark_ended(mark_unavailable(patched, gone, now), today), gone, rejects
     )
 
 
@@ -159,6 +169,7 @@ class CommentRun:
     captured: DataFrame  # today's comment rows
     comments: DataFrame
     items: DataFrame
+    outcomes: DataFrame  # item_id, snapshot_kind, state of what was due and came back
 
 
 def comment_run(
@@ -200,7 +211,7 @@ def comment_run(
             "last_collected_at": lambda s, t: F.coalesce(s("off"), t("last_collected_at")),
         },
     )
-    return CommentRun(captured, merged, stamped)
+    return CommentRun(captured, merged, stamped, returned.select("item_id", "snapshot_kind", "state"))
 
 
 # --- discovery ------------------------------------------------------------------
@@ -337,11 +348,11 @@ def transcript_rows(attempts: DataFrame, now: Column) -> DataFrame:
 
 def transcript_run(
     items: DataFrame, transcripts: DataFrame, attempts: DataFrame, now: Column,
-    limit: int | None = None,
+    limit: int | None = None, hold: Hold = _passing,
 ) -> tuple[DataFrame, DataFrame]:
     """(transcripts, items) after the run; success and failure both set the guard."""
     targets = transcript_targets(items, limit).select("item_id")
-    rows = transcript_rows(attempts.join(targets, "item_id", "left_semi"), now)
+    rows = hold("transcripts", transcript_rows(attempts.join(targets, "item_id", "left_semi"), now))
     merged = upsert(transcripts, rows, TABLES["transcripts"].keys)
     stamped = patch(
         items, rows.select("item_id", "captured_at"), ["item_id"],

@@ -83,12 +83,27 @@ def resolve_predictions(log: DataFrame, items: DataFrame, today: date | str, now
     )
 
 
+def daily_changes(
+    log: DataFrame, items: DataFrame, findings: DataFrame, today: date | str, now: Column
+) -> DataFrame:
+    """Whole rows of the log that today changes or adds: what is settled, then what is opened.
+
+    Only open predictions are looked at; a movie settled today may be called again today.
+    """
+    done = ("status", "resolved_at", "resolved_item_id", "resolved_lag_days")
+    settled = pin(resolutions(log, items, today).filter(F.col("status") != "open").select("prediction_id", *done))
+    waiting = open_predictions(log)
+    kept = [c for c in log.columns if c not in {*done, "updated_at"}]
+    closed = waiting.select(*kept).join(settled, "prediction_id").withColumn("updated_at", now)
+    still_open = waiting.join(settled, "prediction_id", "left_anti")
+    return closed.select(*log.columns).unionByName(new_predictions(still_open, findings, today, now).select(*log.columns))
+
+
 def daily_update(
     log: DataFrame, items: DataFrame, findings: DataFrame, today: date | str, now: Column
 ) -> DataFrame:
-    """Resolve first, then record: a movie settled today may be called again today."""
-    settled = pin(resolve_predictions(log, items, today, now))  # read by the check and by the merge
-    return record_predictions(settled, findings, today, now)
+    """The log after the day: settled and opened in one merge."""
+    return upsert(log, daily_changes(log, items, findings, today, now), ["prediction_id"])
 
 
 def track_record(log: DataFrame) -> DataFrame:

@@ -152,7 +152,7 @@ def linear_scores(features: DataFrame, head: LinearHead, out: str = "excitement"
     return features.withColumn(out, F.when(F.col("features").isNotNull(), clipped))
 
 
-def score_run(
+def candidate_scores(
     comments: DataFrame,
     scores: DataFrame,
     head: LinearHead,
@@ -160,8 +160,8 @@ def score_run(
     now: Column,
     dim: int,
     limit: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(new score rows, score table after the merge) for items this version has not scored."""
+) -> DataFrame:
+    """Rows for items this version has not scored; without usable text the score is null and the item is skipped."""
     head.check(feature_layout(dim))
     targets = unscored_items(comments, scores, head.version, today)
     if limit:
@@ -173,10 +173,24 @@ def score_run(
         F.avg("like_count").alias("mean_like_count"),
         F.max("snapshot_date").alias("source_snapshot_date"),
     )
-    scored = linear_scores(pooled_features(own), head).join(totals, "item_id").select(
+    found = linear_scores(pooled_features(own), head).select("item_id", "excitement")
+    return totals.join(found, "item_id", "left").select(
         "item_id", F.lit(head.version).alias("model_version"), day(today).alias("scored_date"),
         F.round("excitement", 2).alias("excitement"), F.lit("at_discovery").alias("snapshot_kind"),
         "n_comments", "mean_like_count", "source_snapshot_date", now.alias("created_at"),
     )
+
+
+def score_run(
+    comments: DataFrame,
+    scores: DataFrame,
+    head: LinearHead,
+    today: date | str,
+    now: Column,
+    dim: int,
+    limit: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(new score rows, score table after the merge) for items this version has not scored."""
+    scored = candidate_scores(comments, scores, head, today, now, dim, limit).filter(F.col("excitement").isNotNull())
     spec = TABLES["scores"]
     return scored, upsert(scores, scored, spec.keys, within=F.col(spec.partition) == day(today))

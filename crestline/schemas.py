@@ -21,6 +21,7 @@ PROVIDER_KINDS = ("flatrate", "rent", "buy", "free", "ads")
 CREDIT_KINDS = ("cast", "crew")
 TRANSCRIPT_SOURCES = ("yta", "whisper", "failed")
 PREDICTION_STATES = ("open", "hit", "miss")
+REJECT_REASONS = ("unreadable", "other_id")
 RUN_PHASES = (
     "discover_movies", "discover_tv", "stats", "comments", "transcripts", "box_office",
     "predictions", "excitement",
@@ -133,6 +134,14 @@ TABLES: dict[str, Table] = {
         ("run_id", "phase"),
         domains={"phase": RUN_PHASES},
     ),
+    "rejects": Table(
+        "phase string, item_id string, reason string, content_key string, payload string,"
+        " rejected_date date, rejected_at timestamp",
+        ("phase", "item_id", "content_key"),
+        partition="rejected_date",
+        cluster="item_id",
+        domains={"phase": RUN_PHASES, "reason": REJECT_REASONS},
+    ),
     "predictions": Table(
         "prediction_id string, kind string, movie_id bigint, title string, predicted_at date,"
         " horizon_days bigint, days_to_release_at_prediction bigint,"
@@ -153,11 +162,11 @@ TABLES: dict[str, Table] = {
     ),
 }
 
-# Columns a discovery run may overwrite on a known item; the rest belongs to other jobs.
+# Columns a discovery run may overwrite on a known item; the rest belongs to other jobs.
 DISCOVERY_UPDATE_COLUMNS = (
     "video_type", "name", "published_at", "official", "tracking_end_date", "last_collected_at",
 )
-# Columns a discovery run writes for a new item.
+# Columns a discovery run writes for a new item.
 DISCOVERY_INSERT_COLUMNS = (
     "item_id", "content_kind", "movie_id", "tv_id", "season_number", "video_type", "name",
     "published_at", "channel_id", "channel_title", "official", "tracking_end_date",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crestline.functions import scalars as fn
@@ -70,48 +70,86 @@ def parse(df: DataFrame, col: str, schema: str, out: str) -> DataFrame:
 # --- counter payloads ---------------------------------------------------------
 
 
-def readable(payload: Column) -> Column:
-    """Whether a raw video document can be parsed and names its video."""
-    return F.coalesce(F.get_json_object(payload, "$.id"), F.lit("")) != ""
+#: attributes of an item that its statistics document carries
+REGISTRY = (
+    "channel_id", "channel_title", "thumbnail_url", "description", "duration_seconds", "definition",
+    "embeddable", "region_blocked", "last_collected_at",
+)
 
 
-def counter_rows(payloads: DataFrame, collected_date: date | str, now: Column) -> DataFrame:
-    """Counter snapshots from raw video documents (columns ``item_id, payload``); counters arrive as text."""
-    v = parse(payloads, "payload", VIDEO_STATS, "v")
+def _video(payload: Column) -> Column:
+    """The document as a struct; null unless the whole text is one object."""
+    one = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), f"array<{VIDEO_STATS}>")
+    return F.when(F.size(one) == 1, F.get(one, F.lit(0)))
 
-    def counter(name: str) -> Column:
-        return fn.safe_int(F.col(f"v.statistics.{name}"))
 
-    return v.select(
-        "item_id",
+def reject_reason(item_id: Column, video: Column) -> Column:
+    """Why a video document is not booked under the item it was asked for; null if it is."""
+    named = F.coalesce(video["id"], F.lit(""))
+    return F.when(named == "", "unreadable").when(named != item_id, "other_id")
+
+
+def _counters(v: str, collected_date: date | str, now: Column) -> list[Column]:
+    """Counters arrive as text."""
+    return [
         fn.day(collected_date).alias("collected_date"),
-        counter("viewCount").alias("view_count"),
-        counter("likeCount").alias("like_count"),
-        counter("commentCount").alias("comment_count"),
-        counter("favoriteCount").alias("favorite_count"),
+        *[
+            fn.safe_int(F.col(f"{v}.statistics.{kind}Count")).alias(f"{kind}_count")
+            for kind in ("view", "like", "comment", "favorite")
+        ],
         now.alias("collected_at"),
-    )
+    ]
+
+
+def _registry(v: str, now: Column) -> list[Column]:
+    return [
+        F.col(f"{v}.snippet.channelId").alias("channel_id"),
+        F.col(f"{v}.snippet.channelTitle").alias("channel_title"),
+        fn.pick_thumbnail(f"{v}.snippet.thumbnails").alias("thumbnail_url"),
+        F.col(f"{v}.snippet.description").alias("description"),
+        fn.duration_seconds(F.col(f"{v}.contentDetails.duration")).alias("duration_seconds"),
+        F.col(f"{v}.contentDetails.definition").alias("definition"),
+        F.col(f"{v}.status.embeddable").alias("embeddable"),
+        F.coalesce(f"{v}.contentDetails.regionRestriction.blocked", F.array().cast("array<string>")).alias("region_blocked"),
+        now.alias("last_collected_at"),
+    ]
+
+
+def counter_rows(payloads: DataFrame, collected_date: date | str, now: Column) -> DataFrame:
+    """Counter snapshots from raw video documents (columns ``item_id, payload``)."""
+    v = payloads.withColumn("v", _video(F.col("payload")))
+    return v.select("item_id", *_counters("v", collected_date, now))
 
 
 def registry_patch(payloads: DataFrame, now: Column) -> DataFrame:
     """Item attributes carried by the same documents."""
-    v = parse(payloads, "payload", VIDEO_STATS, "v")
-    return v.select(
-        "item_id",
-        F.col("v.snippet.channelId").alias("channel_id"),
-        F.col("v.snippet.channelTitle").alias("channel_title"),
-        fn.pick_thumbnail("v.snippet.thumbnails").alias("thumbnail_url"),
-        F.col("v.snippet.description").alias("description"),
-        fn.duration_seconds(F.col("v.contentDetails.duration")).alias("duration_seconds"),
-        F.col("v.contentDetails.definition").alias("definition"),
-        F.col("v.status.embeddable").alias("embeddable"),
-        F.coalesce(
-            "v.contentDetails.regionRestriction.blocked", F.array().cast("array<string>")
-        ).alias("region_blocked"),
-        now.alias("last_collected_at"),
+    v = payloads.withColumn("v", _video(F.col("payload")))
+    return v.select("item_id", *_registry("v", now))
+
+
+def video_rows(payloads: DataFrame, collected_date: date | str, now: Column) -> DataFrame:
+    """All that the documents (columns ``item_id, payload``) say, each parsed once: a row per item, and one per reject.
+
+    ``reason`` is null on rows with counters and attributes, of several documents for one
+    item from the one with the greatest payload. Rejects carry their reason and payload.
+    """
+    judged = payloads.withColumn("v", _video(F.col("payload"))).withColumn("reason", reject_reason(F.col("item_id"), F.col("v")))
+    good = F.col("reason").isNull()
+    best = F.row_number().over(Window.partitionBy("item_id", good).orderBy(F.desc("payload")))
+    return judged.withColumn("_place", best).filter(~good | (F.col("_place") == 1)).select(
+        "item_id", "reason", F.when(~good, F.coalesce("payload", F.lit(""))).alias("payload"),
+        *_counters("v", collected_date, now), *_registry("v", now),
     )
 
 
+def reject_rows(rejected: DataFrame, phase: str, today: date | str, now: Column) -> DataFrame:
+    """Rows of the rejects table from frames with ``item_id, reason, payload``; equal documents are one row."""
+    return rejected.select(
+        F.lit(phase).alias("phase"), "item_id", "reason", F.sha2("payload", 256).alias("content_key"), "payload",
+        fn.day(today).alias("rejected_date"), now.alias("rejected_at"),
+    ).dropDuplicates(["phase", "item_id", "content_key"])
+
+
 def comment_rows(threads: DataFrame, snapshot_date: date | str, now: Column) -> DataFrame:
     """Ranked comments from thread documents (columns item_id, snapshot_kind, payload).
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from crestline.functions.scalars import preview, preview_list
 from crestline.operators.upsert import upsert
 from crestline.schemas import TABLES
+from crestline.session import pin
 
 JSON_OPTIONS = {"dateFormat": "yyyy-MM-dd", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX", "ignoreNullFields": "false"}
 
@@ -134,3 +135,17 @@ def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Ob
     """``df`` that reports metrics while it is written, without a second pass."""
     watch = Observation(name)
     return df.observe(watch, *[c.alias(k) for k, c in metrics.items()]), watch
+
+
+class Tally:
+    """Counts of what a job writes, taken while it is written."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, int] = {}
+
+    def hold(self, df: DataFrame, **metrics: Column) -> DataFrame:
+        """``df`` stored once in the shared folder; its metrics join the counts. Missing sums count as zero."""
+        watched, watch = observed(df, uuid.uuid4().hex, **metrics)
+        stored = pin(watched)
+        self.counts |= {k: v or 0 for k, v in watch.get.items()}
+        return stored

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from crestline.operators.upsert import upsert
 from crestline.plans import findings, ingest, metrics, predictions, reads, scores, scoring, series, trends
-from crestline.schemas import TABLES
+from crestline.schemas import SNAPSHOT_KINDS, TABLES, TRANSCRIPT_SOURCES
 from crestline.session import pin
 from crestline.sources import seeds, sinks
 from crestline.sources.daytable import DayTable
@@ -133,54 +134,82 @@ class Workspace:
         return sinks.write_site(self.spark, out, builders, generated_at, meta)
 
     # --- daily jobs -----------------------------------------------------------------
-
-    def collect_counters(self, documents: DataFrame, now: Column) -> int:
-        """Merge today's counters; returns how many rows came in."""
-        run = ingest.counter_run(self.table("items"), self.table("counter_snapshots"), documents, self.as_of, now)
-        counters = pin(run.counters)
-        self.merge("counter_snapshots", counters)
+    # Every job returns the counts of what it did, taken while its rows were stored; a job's first
+    # count is its number of processed items.
+
+    def collect_counters(self, documents: DataFrame, now: Column) -> dict[str, int]:
+        """Merge today's counters; documents that cannot be booked go to the rejects table."""
+        tally, good = sinks.Tally(), F.col("reason").isNull()
+        metrics = {
+            "documents": {"counted": F.count_if(good), "rejected": F.count_if(~good)},
+            "unavailable": {"unavailable": F.count("*")},
+        }
+        run = ingest.counter_run(
+            self.table("items"), self.table("counter_snapshots"), documents, self.as_of, now,
+            hold=lambda name, df: tally.hold(df, **metrics[name]),
+        )
+        self.merge("counter_snapshots", run.counters)
+        self.merge("rejects", run.rejects)
         self.replace("items", run.items)
-        return counters.count()
+        return tally.counts
 
-    def collect_comments(self, threads: DataFrame, now: Column) -> int:
+    def collect_comments(self, threads: DataFrame, now: Column) -> dict[str, int]:
         run = ingest.comment_run(self.table("items"), self.table("comments"), threads, self.as_of, now)
-        captured = pin(run.captured)
+        tally, state, kind = sinks.Tally(), F.col("state"), F.col("snapshot_kind")
+        captured = tally.hold(run.captured, comments=F.count("*"))
+        tally.hold(
+            run.outcomes,
+            **{k: F.count_if((state == "ok") & (kind == k)) for k in SNAPSHOT_KINDS},
+            disabled=F.count_if(state == "disabled"), failed=F.count_if(state == "failed"),
+        )
         self.merge("comments", captured.withColumn("_seq", F.col("rank")), seq="_seq")
         self.replace("items", run.items)
-        return captured.count()
+        return tally.counts
 
-    def discover(self, found: ingest.Discovery, kind: str) -> int:
-        """Bring titles, items, providers and credits up to date; returns how many items were found."""
-        items = pin(found.items)
+    def discover(self, found: ingest.Discovery, kind: str) -> dict[str, int]:
+        """Bring titles, items, providers and credits up to date."""
+        tally = sinks.Tally()
+        items = tally.hold(found.items, items=F.count("*"))
         self.replace("items", ingest.merge_discovered_items(self.table("items"), items))
         parts = {"movies" if kind == "movie" else "shows": found.titles, "providers": found.providers,
                  "credits": found.credits}
         if found.seasons is not None:
             parts["seasons"] = found.seasons
         for name, rows in parts.items():
-            self.replace(name, upsert(self.table(name), rows, TABLES[name].keys))
-        return items.count()
+            held = tally.hold(rows, **{name: F.count("*")})
+            self.replace(name, upsert(self.table(name), held, TABLES[name].keys))
+        return tally.counts
 
-    def score_comments(self, embedded: DataFrame, head: scoring.LinearHead, now: Column, dim: int) -> int:
-        rows, _ = scoring.score_run(embedded, self.table("scores"), head, self.as_of, now, dim)
-        rows = pin(rows)
-        self.merge("scores", rows)
-        return rows.count()
+    def score_comments(self, embedded: DataFrame, head: scoring.LinearHead, now: Column, dim: int) -> dict[str, int]:
+        rows = scoring.candidate_scores(embedded, self.table("scores"), head, self.as_of, now, dim)
+        tally, has = sinks.Tally(), F.col("excitement").isNotNull()
+        held = tally.hold(rows, scored=F.count_if(has), skipped=F.count_if(~has))
+        self.merge("scores", held.filter(has))
+        return tally.counts
 
     def capture_transcripts(
         self, attempts: DataFrame, now: Column, limit: int | None = None
-    ) -> int:
-        before = self.table("transcripts").count()
-        merged, items = ingest.transcript_run(self.table("items"), self.table("transcripts"), attempts, now, limit)
+    ) -> dict[str, int]:
+        tally, source = sinks.Tally(), F.col("source")
+        merged, items = ingest.transcript_run(
+            self.table("items"), self.table("transcripts"), attempts, now, limit,
+            hold=lambda _, df: tally.hold(
+                df, attempted=F.count("*"), **{s: F.count_if(source == s) for s in TRANSCRIPT_SOURCES}
+            ),
+        )
         self.replace("transcripts", merged)
         self.replace("items", items)
-        return self.table("transcripts").count() - before
+        return tally.counts
 
-    def update_predictions(self, now: Column, top: int | None = None) -> int:
+    def update_predictions(self, now: Column, top: int | None = None) -> dict[str, int]:
         found = pin(self.interesting_findings(top=top))
-        log = predictions.daily_update(self.table("predictions"), self.table("items"), found, self.as_of, now)
-        self.replace("predictions", log)
-        return self.table("predictions").filter(F.col("predicted_at") == F.lit(self.as_of)).count()
+        log, tally, status = self.table("predictions"), sinks.Tally(), F.col("status")
+        changes = tally.hold(
+            predictions.daily_changes(log, self.table("items"), found, self.as_of, now),
+            opened=F.count_if(status == "open"), hits=F.count_if(status == "hit"), misses=F.count_if(status == "miss"),
+        )
+        self.replace("predictions", upsert(log, changes, TABLES["predictions"].keys))
+        return tally.counts
 
     def append_run_log(self, log: sinks.RunLog) -> None:
         self.replace("run_log", log.merged_into(self.table("run_log")))
@@ -220,7 +249,8 @@ class Workspace:
             for name, given, job in phases:
                 if given is not None:
                     with log.phase(name) as ctx:
-                        ctx["items_processed"] = job()
+                        counts = job()
+                        ctx["items_processed"], ctx["notes"] = next(iter(counts.values())), json.dumps(counts)
         finally:
             self.append_run_log(log)
         return log.rows()

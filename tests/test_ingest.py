@@ -234,12 +234,18 @@ def test_counters_of_repeated_and_broken_documents(spark):
         spark, doc("a", statistics={"viewCount": "3"}), doc("a", statistics={"viewCount": "5"}), ("b", "{broken"), ("b", None),
         doc("other", statistics={"viewCount": "1"}),
     )
+    other = docs(spark, ("b", doc("zz", statistics={"viewCount": "9"})[1]), ("a", doc("a")[1] + " junk"))
+    run = ingest.counter_run(items, stats, documents.unionByName(other), TODAY, now())
+    got = sorted((r.item_id, r.reason) for r in run.rejects.collect())
+    assert got == [("a", "unreadable"), ("b", "other_id"), ("b", "unreadable"), ("b", "unreadable")]
+    assert violations(run.rejects, "rejects").count() == 0
+    assert [(r.item_id, r.view_count) for r in run.counters.collect()] == [("a", 5)]
     for _ in range(2):
         run = ingest.counter_run(items, stats, documents, TODAY, now())
         stats, items = run.snapshots, run.items
         assert [(r.item_id, r.view_count) for r in stats.collect()] == [("a", 5)]
         assert sorted(r.item_id for r in items.collect()) == ["a", "b", "c"]
-    assert run.rejected.count() == 2
+    assert run.rejects.count() == 2
     # b came back, though unreadable; c did not come back and ends as unavailable in the first run
     assert {r.item_id: r.tracking_status for r in items.collect()} == {"a": "active", "b": "active", "c": "unavailable"}
 

@@ -199,17 +199,22 @@ def test_reads_over_a_workspace(workspace, rows):
 def test_daily_jobs_and_documents(spark, workspace, tmp_path):
     ws, bed = workspace
     before = ws.table("counter_snapshots").count()
-    n = ws.collect_counters(bed.video_documents, now())
+    counts = ws.collect_counters(bed.video_documents, now())
+    n = counts["counted"]
+    assert counts["rejected"] == 0 and counts["unavailable"] > 0
     again = ws.table("counter_snapshots").count()
     assert 0 < n and before <= again <= before + n
     ws.collect_counters(bed.video_documents, now())
     assert ws.table("counter_snapshots").count() == again
-    assert ws.collect_comments(bed.item_threads, now()) > 0
+    counts = ws.collect_comments(bed.item_threads, now())
+    assert counts["comments"] > 0 and counts["disabled"] > 0 and counts["failed"] > 0
     assert ws.table("items").filter("comments_disabled").count() > bed.items.filter("comments_disabled").count()
     open_before = ws.open_predictions().count()
-    ws.update_predictions(now())
+    counts = ws.update_predictions(now())
+    assert counts["hits"] > 0 and counts["misses"] > 0
     assert ws.open_predictions().count() < open_before
-    ws.capture_transcripts(bed.transcript_attempts, now())
+    counts = ws.capture_transcripts(bed.transcript_attempts, now())
+    assert counts["attempted"] == counts["yta"] + counts["whisper"] + counts["failed"] == ws.table("transcripts").count()
     assert ws.table("transcripts").count() > 0
 
     out = str(tmp_path / "site")
