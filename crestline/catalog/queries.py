@@ -122,7 +122,9 @@ def item_metrics_one(t):
 
 @query
 def search_items(t):
-    rows = reads.search_items(titled(t), content_kind="movie", country="US", query_text="i_g")
+    rows = reads.find_items(
+        t.items, t.movies, t.shows, t.seasons, content_kind="movie", country="US", query_text="i_g"
+    )
     return rows.drop("thumbnail_url")
 
 
@@ -647,10 +649,7 @@ def word_counts(t):
 
 @query
 def jaccard_pairs(t):
-    docs = t.raw("documents")
-    a = docs.select("doc_id", F.col("text").alias("text"))
-    b = docs.select((F.col("doc_id") - 1).alias("doc_id"), "text")
-    return reports.transcript_similarity(a, b, "doc_id")
+    return reports.neighbour_similarity(t.raw("documents"), "doc_id")
 
 
 @query

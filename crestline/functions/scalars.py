@@ -11,8 +11,8 @@ IMAGE_BASE = "https://image.tmdb.org/t/p"  # fixed value: public image CDN prefi
 
 # One Unicode whitespace character / run, as a Java regex.
 WS = r"[\p{Z}\t-\r\x{1c}-\x{1f}\x{85}]"
-# Anything that is not a word character, whitespace or an apostrophe.
-_NOT_TOKEN = r"[^\p{L}\p{N}_'\p{Z}\t-\r\x{1c}-\x{1f}\x{85}]"
+# What stands between tokens: anything but word characters and apostrophes.
+_BETWEEN = r"[^\p{L}\p{N}_']+"
 
 
 def day(value: date | str | Column) -> Column:
@@ -59,10 +59,13 @@ def image_url(path: Column, size: str = "w500") -> Column:
     return F.when(path != "", F.concat(F.lit(f"{IMAGE_BASE}/{size}"), path))
 
 
+# Thumbnail sizes, best first.
+THUMBNAILS = ("maxres", "standard", "high", "medium", "default")
+
+
 def pick_thumbnail(thumbs: str) -> Column:
     """Best available size; an empty url counts as missing."""
-    order = ("maxres", "standard", "high", "medium", "default")
-    return F.coalesce(*[blank_to_null(F.col(f"{thumbs}.{size}.url")) for size in order])
+    return F.coalesce(*[blank_to_null(F.col(f"{thumbs}.{size}.url")) for size in THUMBNAILS])
 
 
 def or_unknown(countries: Column) -> Column:
@@ -141,7 +144,7 @@ def short_error(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    return words(F.regexp_replace(F.lower(c), _NOT_TOKEN, " "))
+    return F.array_remove(F.split(F.lower(c), _BETWEEN), "")
 
 
 def jaccard(a: Column, b: Column) -> Column:

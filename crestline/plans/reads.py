@@ -20,6 +20,13 @@ TRENDING_DAYS, CAROUSEL_DAYS, CAROUSEL_SIZE = 7, 30, 10
 REGIONAL_LANGUAGES = ("hi", "ta", "te", "ml", "kn", "pa", "bn", "mr")
 
 
+#: what ``titled_items`` reads of an item
+TITLED = (
+    "item_id", "content_kind", "movie_id", "tv_id", "season_number", "name", "video_type", "tracking_status",
+    "published_at", "tracking_end_date", "thumbnail_url",
+)
+
+
 def titled_items(
     items: DataFrame, movies: DataFrame, shows: DataFrame, seasons: DataFrame
 ) -> DataFrame:
@@ -82,6 +89,30 @@ def _title_filter(kind: str | None, country: str | None) -> Column:
     return keep
 
 
+def titled_where(
+    items: DataFrame, movies: DataFrame, shows: DataFrame, seasons: DataFrame,
+    content_kind: str | None = None, country: str | None = None, text: str | None = None,
+) -> DataFrame:
+    """``titled_items`` of the titles from one country or with a text in their name.
+
+    The title tables are cut first, and items to the titles that are left, before any item is joined.
+    """
+    kept = items.filter(_title_filter(content_kind, None))
+    if not (country or text):
+        return titled_items(kept, movies, shows, seasons)
+    pattern = f"%{text.lower()}%" if text else None
+
+    def cut(titles: DataFrame, name: str) -> DataFrame:
+        if country:
+            titles = titles.filter(F.array_contains("origin_countries", country))
+        return titles.filter(F.lower(name).like(pattern)) if text else titles
+
+    m, s = cut(movies, "title"), cut(shows, "name")
+    of_movies = kept.join(m.select("movie_id"), "movie_id", "left_semi")
+    of_shows = kept.filter(F.col("movie_id").isNull()).join(s.select("tv_id"), "tv_id", "left_semi")
+    return titled_items(of_movies.unionByName(of_shows), m, s, seasons)
+
+
 def search_items(
     titled: DataFrame,
     content_kind: str | None = None,
@@ -90,7 +121,7 @@ def search_items(
     query_text: str | None = None,
     limit: int = 25,
 ) -> DataFrame:
-    """Items by kind, country, state and title text, newest first.
+    """Titled items by kind, country, state and title text, newest first.
 
     ``%`` and ``_`` in the text act as wildcards.
     """
@@ -107,6 +138,18 @@ def search_items(
     )
 
 
+def find_items(
+    items: DataFrame, movies: DataFrame, shows: DataFrame, seasons: DataFrame,
+    content_kind: str | None = None, country: str | None = None, tracking_status: str | None = "active",
+    query_text: str | None = None, limit: int = 25,
+) -> DataFrame:
+    """``search_items`` over the tables themselves: every filter is applied below the joins."""
+    if tracking_status:
+        items = items.filter(F.col("tracking_status") == tracking_status)
+    titled = titled_where(items, movies, shows, seasons, content_kind, country, query_text)
+    return search_items(titled, tracking_status=None, limit=limit)
+
+
 def item_metrics(
     stats: DataFrame, items: DataFrame, as_of: date | str, item_id: str | Column, days: int = 30
 ) -> DataFrame:
@@ -180,13 +223,13 @@ def trending(
     by_gain = [F.desc("views_gained"), F.col("item_id")]
     n = min(limit, MAX_ROWS)
     if country:
-        titled = titled_items(items, movies, shows, seasons).filter(_title_filter(content_kind, country))
+        titled = titled_where(items, movies, shows, seasons, content_kind, country)
         winners = gains.join(titled, "item_id").orderBy(*by_gain).limit(n)
     else:
-        kept = items.filter(_title_filter(content_kind, None))
-        top = pin(gains.join(kept.select("item_id"), "item_id").orderBy(*by_gain).limit(n))
-        few = pin(kept.join(F.broadcast(top.select("item_id")), "item_id", "left_semi"))
-        winners = F.broadcast(top).join(title_few(few, movies, shows, seasons), "item_id")
+        kept = items.filter(_title_filter(content_kind, None)).select(*TITLED)
+        top = pin(gains.join(kept, "item_id").orderBy(*by_gain).limit(n))  # at most MAX_ROWS rows
+        titled = title_few(top.select(*TITLED), movies, shows, seasons)
+        winners = F.broadcast(top.select(*gains.columns)).join(titled, "item_id")
     return winners.select(
         "item_id", "content_kind", "title", "item_name", "tracking_status", "release_date",
         "origin_countries", "poster_path", "views_gained", "likes_gained", "view_count",

@@ -11,19 +11,40 @@ from crestline.functions.scalars import jaccard, tokens, window_starts
 WINDOW_SECONDS, TAIL_SECONDS = 15, 5
 
 
+def token_sets(texts: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``tokens``, the distinct tokens of ``text`` as 64-bit hashes."""
+    hashed = F.transform(tokens(F.col("text")), lambda t: F.xxhash64(t))
+    return texts.select(*keep, F.array_distinct(hashed).alias("tokens"))
+
+
+def pair_similarity(sides: DataFrame, key: str) -> DataFrame:
+    """Token-set similarity of the two sides of each key that has both, three decimals.
+
+    ``sides``: key, side (0 or 1), tokens; one row per key and side.
+    """
+    one = [F.max(F.when(F.col("side") == i, F.col("tokens"))).alias(f"_{i}") for i in (0, 1)]
+    both = sides.groupBy(key).agg(*one).filter("_0 is not null and _1 is not null")
+    return both.select(key, F.round(jaccard(F.col("_0"), F.col("_1")), 3).alias("similarity"))
+
+
 def transcript_similarity(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Token-set similarity of the two texts of each key, three decimals.
+    """Similarity of the two texts of each key, one text per key and frame.
 
-    Texts become distinct tokens before the join, so each is tokenised once and
+    Texts become distinct tokens before the shuffle, so each is tokenised once and
     repeated words do not travel.
     """
+    sides = [token_sets(df, key).withColumn("side", F.lit(i)) for i, df in enumerate((one, other))]
+    return pair_similarity(sides[0].unionByName(sides[1]), key)
 
-    def token_sets(df: DataFrame, name: str) -> DataFrame:
-        return df.select(key, F.array_distinct(tokens(F.col("text"))).alias(name))
 
-    return token_sets(one, "_a").join(token_sets(other, "_b"), key).select(
-        key, F.round(jaccard(F.col("_a"), F.col("_b")), 3).alias("similarity")
+def neighbour_similarity(texts: DataFrame, key: str) -> DataFrame:
+    """Similarity of each text with that of the next key: every text is read and tokenised once."""
+    places = F.array(
+        F.struct(F.col(key).alias("at"), F.lit(0).alias("side")),
+        F.struct((F.col(key) - 1).alias("at"), F.lit(1).alias("side")),
     )
+    sides = token_sets(texts, key).select(F.inline(places), "tokens")
+    return pair_similarity(sides.withColumnRenamed("at", key), key)
 
 
 def method_summary(attempts: DataFrame) -> DataFrame:

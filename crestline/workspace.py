@@ -64,7 +64,7 @@ class Workspace:
         return metrics.current_sequence(self.table("scores"), self.table("items"), self.as_of, model_version)
 
     def search_items(self, **filters) -> DataFrame:
-        return reads.search_items(self.titled(), **filters)
+        return reads.find_items(*(self.table(t) for t in ("items", "movies", "shows", "seasons")), **filters)
 
     def item_metrics(self, item_id: str, days: int = 30) -> DataFrame:
         return reads.item_metrics(self.counters(days), self.table("items"), self.as_of, item_id, days)
