@@ -238,6 +238,28 @@ def first_listings(listings: DataFrame, key: str) -> DataFrame:
     return latest(listings, [key], [F.col("region_order"), F.col("position")])
 
 
+def first_documents(listings: DataFrame, key: str) -> DataFrame:
+    """The same for a job that stores the documents: sightings are chosen on their narrow columns alone.
+
+    Documents are then spread by title against the hashed choice and never sorted.
+    A listing that stands twice at one place comes out twice.
+    """
+    place = ["region_order", "position"]
+    first = listings.groupBy(key).agg(F.min(F.struct(*place)).alias("_at")).select(key, "_at.*")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (key, *place)]
+    return listings.alias("l").join(first.hint("shuffle_hash").alias("f"), same, "left_semi")
+
+
+def _parsed(listings: DataFrame, key: str, columns: dict[str, tuple[str, str]], hold: Hold | None) -> DataFrame:
+    """First listings with their documents parsed, each into its own column; stored once if ``hold`` is given."""
+    first = first_documents(listings, key) if hold else first_listings(listings, key)
+    parsed = first.filter(F.col("details").isNotNull())
+    for name, (column, schema) in columns.items():
+        parsed = raw.parse(parsed, column, schema, name)
+    parsed = parsed.drop(*[column for column, _ in columns.values()])
+    return hold("documents", parsed) if hold else parsed
+
+
 def _title_docs(parsed: DataFrame, key: str, kind: str) -> DataFrame:
     return parsed.select(F.col(key).alias("title_id"), F.lit(kind).alias("content_kind"), "d")
 
@@ -246,17 +268,24 @@ def _one_per_key(rows: DataFrame, table: str) -> DataFrame:
     return last_wins(rows, TABLES[table].keys, "seq")
 
 
-def discover_movies(listings: DataFrame, now: Column) -> Discovery:
+def _one_row(rows: DataFrame, keys: list[str], hold: Hold | None) -> DataFrame:
+    """Stored documents may repeat a title."""
+    return last_wins(rows, keys, None) if hold else rows
+
+
+def discover_movies(listings: DataFrame, now: Column, hold: Hold | None = None) -> Discovery:
     """Movies, items, providers and credits from discovery listings.
 
     ``listings``: region_order, position, movie_id, listed_release_date, details
-    (JSON, null when the fetch failed), videos (JSON array, null when failed).
+    (JSON, null when the fetch failed), videos (JSON array, null when failed). With ``hold`` the
+    parsed ``documents`` are stored: they are read and parsed once, and every output reads its columns of
+    them; without it a single output is planned on its own.
     """
-    first = first_listings(listings, "movie_id").filter(F.col("details").isNotNull())
-    parsed = raw.parse(first, "details", raw.MOVIE_DETAILS, "d")
-    movies = raw.movie_rows(parsed, now)
+    columns = {"d": ("details", raw.MOVIE_DETAILS), "vs": ("videos", raw.VIDEOS)}
+    parsed = _parsed(listings, "movie_id", columns, hold)
+    movies = _one_row(raw.movie_rows(parsed, now), ["movie_id"], hold)
     released = F.coalesce(fn.blank_to_null(F.col("d.release_date")), F.col("listed_release_date"))
-    videos = raw.parse(parsed, "videos", raw.VIDEOS, "vs").select(
+    videos = parsed.select(
         "movie_id", fn.iso_date(released).alias("tracking_end_date"),
         "region_order", "position", F.posexplode("vs").alias("vpos", "v"),
     ).withColumn("seq", F.struct("region_order", "position", "vpos"))
@@ -266,29 +295,31 @@ def discover_movies(listings: DataFrame, now: Column) -> Discovery:
     return Discovery(movies, found, _one_per_key(raw.provider_rows(docs, now), "providers"), credit_rows)
 
 
-def discover_tv(listings: DataFrame, today: date | str, now: Column) -> Discovery:
+def discover_tv(listings: DataFrame, today: date | str, now: Column, hold: Hold | None = None) -> Discovery:
     """Shows, upcoming seasons and their items.
 
     ``listings``: region_order, position, tv_id, listed_first_air_date, details,
     season_videos (JSON array of season_number and videos), series_videos.
-    Series-level videos go to the season that airs first.
+    Series-level videos go to the season that airs first. ``hold`` as in ``discover_movies``.
     """
-    first = first_listings(listings, "tv_id").filter(F.col("details").isNotNull())
-    parsed = raw.parse(first, "details", raw.SHOW_DETAILS, "d")
-    shows = raw.show_rows(parsed, now)
+    columns = {
+        "d": ("details", raw.SHOW_DETAILS), "sv": ("season_videos", raw.SEASON_VIDEOS),
+        "vs": ("series_videos", raw.VIDEOS),
+    }
+    parsed = _parsed(listings, "tv_id", columns, hold)
+    shows = _one_row(raw.show_rows(parsed, now), ["tv_id"], hold)
     ahead = (
         parsed.withColumn("upcoming", raw.upcoming_seasons(F.col("d.seasons"), today))
         .filter(F.size("upcoming") > 0)
         .withColumn("anchor", raw.anchor_season(F.col("upcoming")))
     )
-    seasons = raw.season_rows(ahead, now)
+    seasons = _one_row(raw.season_rows(ahead, now), ["tv_id", "season_number"], hold)
     order = ["region_order", "position"]
     dates = F.map_from_entries(
         F.transform("upcoming", lambda s: F.struct(s["season_number"], s["air_date"]))
     )
     per_season = (
-        raw.parse(ahead, "season_videos", raw.SEASON_VIDEOS, "sv")
-        .withColumn("dates", dates)
+        ahead.withColumn("dates", dates)
         .select("tv_id", *order, "dates", F.posexplode("sv").alias("spos", "s"))
         .filter(F.map_contains_key("dates", F.col("s.season_number")))
         .select(
@@ -299,8 +330,7 @@ def discover_tv(listings: DataFrame, today: date | str, now: Column) -> Discover
         .withColumn("seq", F.struct(*order, F.lit(0).alias("level"), "spos", "vpos"))
     )
     per_series = (
-        raw.parse(ahead, "series_videos", raw.VIDEOS, "vs")
-        .select(
+        ahead.select(
             "tv_id", *order, F.col("anchor.season_number").alias("season_number"),
             fn.iso_date(F.col("anchor.air_date")).alias("tracking_end_date"),
             F.posexplode("vs").alias("vpos", "v"),

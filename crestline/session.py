@@ -60,3 +60,10 @@ def pin(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, read by column."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from crestline.functions.scalars import preview, preview_list
 from crestline.operators.upsert import upsert
 from crestline.schemas import TABLES
-from crestline.session import pin
+from crestline.session import stored
 
 JSON_OPTIONS = {"dateFormat": "yyyy-MM-dd", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX", "ignoreNullFields": "false"}
 
@@ -146,6 +146,6 @@ class Tally:
     def hold(self, df: DataFrame, **metrics: Column) -> DataFrame:
         """``df`` stored once in the shared folder; its metrics join the counts. Missing sums count as zero."""
         watched, watch = observed(df, uuid.uuid4().hex, **metrics)
-        stored = pin(watched)
+        held = stored(watched, "held")
         self.counts |= {k: v or 0 for k, v in watch.get.items()}
-        return stored
+        return held

@@ -166,9 +166,17 @@ class Workspace:
         self.replace("items", run.items)
         return tally.counts
 
-    def discover(self, found: ingest.Discovery, kind: str) -> dict[str, int]:
-        """Bring titles, items, providers and credits up to date."""
+    def discover(self, listings: DataFrame, kind: str, now: Column) -> dict[str, int]:
+        """Bring titles, items, providers and credits up to date; each document is read and parsed once."""
         tally = sinks.Tally()
+
+        def hold(_: str, df: DataFrame) -> DataFrame:
+            return tally.hold(df, documents=F.count("*"))
+
+        if kind == "movie":
+            found = ingest.discover_movies(listings, now, hold)
+        else:
+            found = ingest.discover_tv(listings, self.as_of, now, hold)
         items = tally.hold(found.items, items=F.count("*"))
         self.replace("items", ingest.merge_discovered_items(self.table("items"), items))
         parts = {"movies" if kind == "movie" else "shows": found.titles, "providers": found.providers,
@@ -178,7 +186,7 @@ class Workspace:
         for name, rows in parts.items():
             held = tally.hold(rows, **{name: F.count("*")})
             self.replace(name, upsert(self.table(name), held, TABLES[name].keys))
-        return tally.counts
+        return {"items": tally.counts["items"], **tally.counts}
 
     def score_comments(self, embedded: DataFrame, head: scoring.LinearHead, now: Column, dim: int) -> dict[str, int]:
         rows = scoring.candidate_scores(embedded, self.table("scores"), head, self.as_of, now, dim)
@@ -236,9 +244,9 @@ class Workspace:
         log = sinks.RunLog(self.spark, run_id)
         phases = [
             ("discover_movies", movie_listings,
-             lambda: self.discover(ingest.discover_movies(movie_listings, now), "movie")),
+             lambda: self.discover(movie_listings, "movie", now)),
             ("discover_tv", tv_listings,
-             lambda: self.discover(ingest.discover_tv(tv_listings, self.as_of, now), "tv")),
+             lambda: self.discover(tv_listings, "tv", now)),
             ("stats", documents, lambda: self.collect_counters(documents, now)),
             ("comments", threads, lambda: self.collect_comments(threads, now)),
             ("excitement", embedded, lambda: self.score_comments(embedded, head, now, dim)),

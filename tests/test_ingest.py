@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from crestline.plans import ingest
 from crestline.schemas import TABLES, violations
+from crestline.session import stored
 from crestline.sources import payloads as raw
+from crestline.sources.testbed import Testbed
 
 TODAY = "2024-01-30"
 NOW = "2024-01-30 06:00:00"
@@ -107,7 +109,12 @@ def video(key, name="Cut", kind="Trailer", site="YouTube"):
     return {"key": key, "site": site, "type": kind, "name": name, "published_at": "2024-01-02T00:00:00.000Z", "official": True}
 
 
-def test_movie_discovery(spark):
+@pytest.fixture(params=["planned on its own", "documents stored"])
+def hold(request):
+    return None if request.param == "planned on its own" else lambda name, df: stored(df, name)
+
+
+def test_movie_discovery(spark, hold):
     ddl = "region_order int, position int, movie_id bigint, listed_release_date string, details string, videos string"
     details = json.dumps({"title": "A", "genres": [{"id": 1}], "production_countries": [{"iso_3166_1": "US"}]})
     listings = spark.createDataFrame(
@@ -117,7 +124,7 @@ def test_movie_discovery(spark):
          (0, 5, 8, "", details, None)],
         ddl,
     )
-    found = ingest.discover_movies(listings, now())
+    found = ingest.discover_movies(listings, now(), hold)
     movies = {r.movie_id: r for r in found.titles.collect()}
     assert set(movies) == {5, 8}
     assert (movies[5].title, str(movies[5].release_date), movies[5].origin_countries) == ("A", "2024-05-01", ["US"])
@@ -128,7 +135,7 @@ def test_movie_discovery(spark):
     assert violations(found.items, "items").count() == 0
 
 
-def test_a_season_listed_twice_counts_as_last_listed(spark):
+def test_a_season_listed_twice_counts_as_last_listed(spark, hold):
     details = json.dumps({"name": "S", "seasons": [
         {"season_number": 2, "air_date": "2024-03-01", "name": "first"}, {"season_number": 2, "air_date": "2024-05-01", "name": "last"},
         {"season_number": 3, "air_date": "2024-06-01"}, {"season_number": 3, "air_date": "2020-01-01"}]})
@@ -137,12 +144,12 @@ def test_a_season_listed_twice_counts_as_last_listed(spark):
         "region_order int, position int, tv_id bigint, listed_first_air_date string, details string,"
         " season_videos string, series_videos string",
     )
-    found = ingest.discover_tv(listings, TODAY, now())
+    found = ingest.discover_tv(listings, TODAY, now(), hold)
     assert [(r.season_number, r.name) for r in found.seasons.collect()] == [(2, "last")]
     assert [(r.item_id, str(r.tracking_end_date)) for r in found.items.collect()] == [("k", "2024-05-01")]
 
 
-def test_tv_discovery_anchors_series_videos(spark):
+def test_tv_discovery_anchors_series_videos(spark, hold):
     details = json.dumps({
         "name": "S", "origin_country": ["KR", ""],
         "seasons": [{"season_number": 0, "air_date": "2030-01-01"}, {"season_number": 1, "air_date": "2023-01-01"},
@@ -156,13 +163,27 @@ def test_tv_discovery_anchors_series_videos(spark):
         "region_order int, position int, tv_id bigint, listed_first_air_date string, details string,"
         " season_videos string, series_videos string",
     )
-    found = ingest.discover_tv(listings, TODAY, now())
+    found = ingest.discover_tv(listings, TODAY, now(), hold)
     assert {r.tv_id for r in found.titles.collect()} == {9, 10}
     assert sorted(r.season_number for r in found.seasons.collect()) == [2, 3, 5]
     got = {r.item_id: (r.season_number, str(r.tracking_end_date)) for r in found.items.collect()}
     assert got == {"two": (2, "None"), "both": (3, "2024-06-01"), "series": (3, "2024-06-01")}
 
 
+def test_stored_documents_are_read_once(spark, tmp_path):
+    """The job's listings may vanish once its documents are stored; repeated listings change nothing."""
+    bed = Testbed(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "listings")
+    bed.movie_listings.unionByName(bed.movie_listings.limit(50)).write.parquet(path)
+    want = ingest.discover_movies(bed.movie_listings, now())
+    found = ingest.discover_movies(spark.read.parquet(path), now(), lambda name, df: stored(df, name))
+    for file in (tmp_path / "listings").glob("*.parquet"):
+        file.write_bytes(b"gone")
+    for name in ("titles", "items", "providers", "credits"):
+        got = [sorted(map(str, getattr(f, name).collect())) for f in (found, want)]
+        assert got[0] == got[1] and got[0], name
+
+
 def test_rediscovery_leaves_managed_columns_alone(spark):
     known = items_table(spark, {"item_id": "v1", "tracking_status": "ended", "name": "old", "comments_disabled": True})
     listings = spark.createDataFrame(
