@@ -404,7 +404,7 @@ def sql_read(t):
     """A parametrised SQL read over named frames."""
     return tables.query(
         t.spark,
-        "SELECT tracking_status, count(*) AS n, max(duration_seconds) AS longest FROM catalog_items"
+        "SELECT tracking_status, count(*) AS n, max(duration_seconds) AS longest FROM {catalog_items}"
         " WHERE duration_seconds >= :shortest AND content_kind = :kind GROUP BY tracking_status",
         {"catalog_items": t.items}, shortest=45, kind="movie",
     )

@@ -11,25 +11,20 @@ second one fails with ``WriteConflict`` and leaves nothing behind but the folder
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crestline.operators.upsert import last_wins, upsert
+from crestline.sources.manifest import Manifest, WriteConflict
 
 _NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
-class WriteConflict(RuntimeError):
-    """Another writer committed since the state was read."""
-
-
 @dataclass(frozen=True)
 class State:
     """One version of a table: the data folders of each day, and notes its writers left."""
@@ -50,31 +45,21 @@ class DayTable:
 
     # --- state ----------------------------------------------------------------------
 
-    def _jvm_path(self, name: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, f"{self.path}/manifest")
 
-    def _fs(self):
-        return self._jvm_path("").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        fs, root = self._fs(), self._jvm_path(folder)
-        return sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
+    @property
+    def data(self) -> Manifest:
+        return Manifest(self.spark, f"{self.path}/data")
 
     def versions(self) -> list[int]:
-        return [int(n[1:-5]) for n in self._names("manifest") if n.startswith("v") and n.endswith(".json")]
+        return self.manifest.versions()
 
     def state(self, version: int | None = None) -> State:
         """The newest version, or an older one that is still kept; an absent table is empty."""
-        found = self.versions()
-        if not found:
-            return State()
-        version = found[-1] if version is None else version
-        stream = self._fs().open(self._jvm_path(f"manifest/v{version:010d}.json"))
-        try:
-            doc = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-        return State(version, doc["parts"], doc["marks"])
+        version, doc = self.manifest.load(version)
+        return State(version, doc["parts"], doc["marks"]) if doc else State()
 
     # --- reading --------------------------------------------------------------------
 
@@ -125,7 +110,7 @@ class DayTable:
             .write.partitionBy(self.partition).parquet(target)
         )
         prefix = f"{self.partition}="
-        names = self._names(f"data/commit={commit}")
+        names = self.data.names(f"commit={commit}")
         return {n.removeprefix(prefix): [commit] for n in names if n.startswith(prefix)}
 
     def commit(self, seen: State, parts: Mapping[str, Sequence[str]], marks: Mapping[str, str] | None = None) -> State:
@@ -133,33 +118,14 @@ class DayTable:
         merged = {d: list(f) for d, f in {**seen.parts, **parts}.items() if f}
         after = State(seen.version + 1, dict(sorted(merged.items())), {**seen.marks, **(marks or {})})
         try:
-            self._publish(after)
+            self.manifest.publish(after.version, {"parts": after.parts, "marks": after.marks})
         except WriteConflict:
             for day, commits in parts.items():
                 for c in set(commits) - set(seen.parts.get(day, ())):
-                    self._fs().delete(self._jvm_path(f"data/commit={c}"), True)
+                    self.data.fs().delete(self.data.at(f"commit={c}"), True)
             raise
         return after
 
-    def _publish(self, state: State) -> None:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        draft, final = self._jvm_path(f"manifest/.{uuid.uuid4().hex}"), self._jvm_path(f"manifest/v{state.version:010d}.json")
-        out = self._fs().create(draft, True)
-        out.write(bytearray(json.dumps({"parts": state.parts, "marks": state.marks}), "utf-8"))
-        out.close()
-        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), conf)
-        never = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            files.rename(self._qualified(draft), self._qualified(final), never)
-        except Py4JJavaError as exc:
-            self._fs().delete(draft, False)
-            if "FileAlreadyExistsException" not in str(exc.java_exception):
-                raise
-            raise WriteConflict(f"version {state.version} of {self.path} was written by another job") from None
-
-    def _qualified(self, path):
-        return self._fs().makeQualified(path)
-
     def save(self, df: DataFrame) -> State:
         """Replace the days present in ``df``."""
         seen = self.state()
@@ -203,16 +169,16 @@ class DayTable:
         if not kept:
             return 0
         named = {(c, d) for v in kept for d, commits in self.state(v).parts.items() for c in commits}
-        fs = self._fs()
-        oldest = fs.getFileStatus(self._jvm_path(f"manifest/v{kept[0]:010d}.json")).getModificationTime()
-        removed = 0
+        data, removed = self.data, 0
+        oldest = self.manifest.published_at(kept[0])
         for version in self.versions()[:-keep]:
-            fs.delete(self._jvm_path(f"manifest/v{version:010d}.json"), False)
-        for folder in self._names("data"):
-            for name in self._names(f"data/{folder}"):
+            self.manifest.drop(version)
+        for folder in data.names():
+            for name in data.names(folder):
                 key = folder.removeprefix("commit="), name.removeprefix(f"{self.partition}=")
-                path = self._jvm_path(f"data/{folder}/{name}")
-                if name.startswith(f"{self.partition}=") and key not in named and fs.getFileStatus(path).getModificationTime() < oldest:
-                    fs.delete(path, True)
+                path = data.at(f"{folder}/{name}")
+                old = data.fs().getFileStatus(path).getModificationTime() < oldest
+                if name.startswith(f"{self.partition}=") and key not in named and old:
+                    data.fs().delete(path, True)
                     removed += 1
         return removed

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from crestline.functions.scalars import days_before
 from crestline.schemas import TABLES
 from crestline.sources.daytable import DayTable
+from crestline.sources.manifest import Manifest, WriteConflict
 
 # How far back a partitioned table is ever read, in days.
 COUNTER_FLOOR_DAYS = 730
@@ -55,10 +57,11 @@ def save(df: DataFrame, path: str, table: str) -> None:
 
 
 def query(spark: SparkSession, sql: str, views: dict[str, DataFrame], **args) -> DataFrame:
-    """A parametrised SQL read over named frames: ``query(s, "... :n", {"items": df}, n=5)``."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args)
+    """A parametrised SQL read over named frames: ``query(s, "... FROM {items} ... :n", {"items": df}, n=5)``.
+
+    Frames are passed to the statement itself; no view outlives it.
+    """
+    return spark.sql(sql, args=args, **views)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -67,39 +70,38 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.col("item_id").isNotNull() & F.col("excitement").isNotNull())
 
 
-# --- whole-table snapshots --------------------------------------------------------
+# --- whole-table versions -----------------------------------------------------------
 
+#: versions of a table whose files are kept
+KEPT = 10
 
-def _hadoop_path(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+def read_current(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The newest version, or an empty table."""
+    _, doc = Manifest(spark, f"{base}/manifest").load()
+    ddl = TABLES[table].ddl
+    return spark.read.schema(ddl).parquet(f"{base}/{doc['folder']}") if doc else spark.createDataFrame([], ddl)
 
-def snapshots(spark: SparkSession, base: str) -> list[str]:
-    """Complete versions of an unpartitioned table, oldest first."""
-    root, fs = _hadoop_path(spark, base)
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        done, _ = _hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")
-        if status.getPath().getName().startswith("v") and fs.exists(done):
-            found.append(status.getPath().toString())
-    return sorted(found)
 
+def write_current(df: DataFrame, base: str, keep: int = KEPT) -> int:
+    """Write the next version beside the current one and switch to it; returns its number.
 
-def read_current(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """The newest complete version, or an empty table."""
-    ddl, versions = TABLES[table].ddl, snapshots(spark, base)
-    if not versions:
-        return spark.createDataFrame([], ddl)
-    return spark.read.schema(ddl).parquet(versions[-1])
-
-
-def write_current(df: DataFrame, base: str) -> str:
-    """Write the next version beside the current one, which stays readable until this is complete."""
-    versions = snapshots(df.sparkSession, base)
-    last = int(versions[-1].rsplit("/v", 1)[1]) if versions else 0
-    path = f"{base.rstrip('/')}/v{last + 1:010d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    The current one stays readable until then. If another writer switched meanwhile this
+    one fails with ``WriteConflict``. Files of versions before the last ``keep`` are removed.
+    """
+    spark, base = df.sparkSession, base.rstrip("/")
+    manifest = Manifest(spark, f"{base}/manifest")
+    seen, _ = manifest.load()
+    folder = f"data/{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{folder}")
+    root = Manifest(spark, base)
+    try:
+        manifest.publish(seen + 1, {"folder": folder})
+    except WriteConflict:
+        root.fs().delete(root.at(folder), True)
+        raise
+    for old in manifest.versions()[:-keep]:
+        _, doc = manifest.load(old)
+        root.fs().delete(root.at(doc["folder"]), True)
+        manifest.drop(old)
+    return seen + 1

@@ -8,7 +8,8 @@ from crestline.plans.metrics import counter_deltas
 from crestline.plans import reads
 from crestline.schemas import TABLES
 from crestline.sources import seeds, tables
-from crestline.sources.daytable import DayTable, State, WriteConflict
+from crestline.sources.daytable import DayTable, State
+from crestline.sources.manifest import Manifest, WriteConflict
 from crestline.sources.testbed import AS_OF, Testbed
 from crestline.streaming import counters as stream
 
@@ -62,7 +63,7 @@ def test_a_merge_that_dies_before_the_switch_leaves_the_old_day(spark, table, mo
         raise OSError("gone")
 
     with monkeypatch.context() as m, pytest.raises(OSError):
-        m.setattr(DayTable, "_publish", dies)
+        m.setattr(Manifest, "publish", dies)
         table.merge(day(spark, ("a", 2, "2024-01-01")), KEYS)
     assert content(table) == [("a", 1, "2024-01-01")]
     table.merge(day(spark, ("a", 3, "2024-01-01")), KEYS)
@@ -77,7 +78,7 @@ def test_the_second_of_two_writers_fails_and_changes_nothing(spark, table):
     with pytest.raises(WriteConflict):
         table.commit(seen, slow)
     assert content(table) == [("a", 2, "2024-01-01"), ("b", 2, "2024-01-02")] and table.state().version == 2
-    assert table._names("data") == sorted({f"commit={c}" for v in (1, 2) for fs in table.state(v).parts.values() for c in fs})
+    assert table.data.names() == sorted({f"commit={c}" for v in (1, 2) for fs in table.state(v).parts.values() for c in fs})
 
 
 def test_readers_of_an_older_state_are_not_disturbed(spark, table):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from crestline.plans import scoring
 from crestline.schemas import TABLES
 from crestline.sources import sinks, tables
+from crestline.sources.manifest import Manifest, WriteConflict
 from crestline.sources.testbed import AS_OF, NOW, Testbed
 from crestline.streaming import counters as stream
 from crestline.workspace import Workspace
@@ -38,7 +39,7 @@ def test_partitioned_scan_needs_and_prunes_by_a_bound(spark, tmp_path):
 
 def test_parametrised_sql(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
-    got = tables.query(spark, "select s from t where id >= :low", {"t": df}, low=2).collect()
+    got = tables.query(spark, "select s from {t} where id >= :low", {"t": df}, low=2).collect()
     assert [r.s for r in got] == ["b"]
 
 
@@ -66,10 +67,22 @@ def test_versions_are_replaced_only_when_complete(spark, tmp_path):
     with log.phase("stats") as ctx:
         ctx["items_processed"] = 3
     tables.write_current(log.rows(), base)
-    (tmp_path / "run_log" / "v0000000002").mkdir()  # a write that died
+    log.rows().limit(0).write.parquet(f"{base}/data/died")  # a write that never switched
     assert [r.items_processed for r in tables.read_current(spark, base, "run_log").collect()] == [3]
 
 
+def test_old_versions_go_and_a_second_writer_fails(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "run_log")
+    rows = sinks.RunLog(spark, "r1").rows()
+    assert [tables.write_current(rows, base, keep=2) for _ in range(4)] == [1, 2, 3, 4]
+    assert len(list((tmp_path / "run_log" / "data").iterdir())) == 2
+    with monkeypatch.context() as m, pytest.raises(WriteConflict):
+        m.setattr(Manifest, "load", lambda self, version=None: (3, None))  # read before the fourth write
+        tables.write_current(rows, base)
+    assert len(list((tmp_path / "run_log" / "data").iterdir())) == 2
+    assert tables.read_current(spark, base, "run_log").count() == 0
+
+
 def test_run_log_keeps_failed_phases(spark):
     log = sinks.RunLog(spark, "r1")
     with pytest.raises(KeyError), log.phase("comments"):
