@@ -1032,3 +1032,32 @@ ORACLES["merge_repeated_keys"] = (
     "SELECT user_id AS k, max(event_id) AS at, arg_max(event_type, event_id) AS kind FROM events GROUP BY user_id"
 )
 ORACLES["snapshots_stream"] = q("SELECT item_id, view_count, like_count, comment_count, collected_date FROM snaps")
+ORACLES["labels_join"] = q(
+    "SELECT item_id, CAST(label * 10 AS DOUBLE) AS excitement, content_kind, movie_id FROM embeddings"
+    " JOIN items ON item_id = 'v' || vec_id WHERE vec_id % 11 <> 4 AND vec_id % 13 <> 5"
+)
+
+
+def _entries(document: str, source: str, where: str, **values: str) -> str:
+    names = ", ".join(f"'{k}'" for k in values)
+    numbers = ", ".join(f"CAST({v} AS DOUBLE)" for v in values.values())
+    return (
+        f"SELECT '{document}' AS document, unnest([{names}]) AS entry, unnest([{numbers}]) AS value"
+        f" FROM ({ORACLES[source]}) WHERE {where}"
+    )
+
+
+ORACLES["site_documents"] = " UNION ALL ".join(
+    [
+        _entries(
+            "coverage", "coverage", "true", unique_items="unique_items", countries_covered="countries_covered",
+            total_attributions="total_attributions", active_items="active_items",
+        ),
+        f"SELECT 'coverage', country, CAST(total_items AS DOUBLE) FROM ({ORACLES['top_countries']})",
+        _entries("engagement_decay", "engagement_decay_group", "bucket = 'all'", days="45", units="units", losing="losing"),
+        f"SELECT 'engagement_decay', '4+ units', CAST(units AS DOUBLE) FROM ({ORACLES['engagement_decay_group']}) WHERE bucket = '4+'",
+        _entries("excitement_decay", "score_decay", "bucket = 'all'", movies="movies", declining="declining", m2="1"),
+        f"SELECT 'excitement_decay', '2 movies', CAST(movies AS DOUBLE) FROM ({ORACLES['score_decay']}) WHERE bucket = '2'",
+        f"SELECT 'excitement_examples', 'm2', CAST(count(*) AS DOUBLE) FROM ({ORACLES['score_examples']})",
+    ]
+)

@@ -810,6 +810,66 @@ def acceptance_summary(t):
     return both[0].unionByName(both[1])
 
 
+def _labels_file(t) -> str:
+    """Labels as lines of JSON, some of them broken or without a score."""
+    path = scratch_path(t.spark, "labels")
+    line = F.when(F.expr("substr(item_id, 2) % 11 = 4"), F.lit("{broken")).when(
+        F.expr("substr(item_id, 2) % 13 = 5"), F.to_json(F.struct("item_id"))
+    ).otherwise(F.to_json(F.struct("item_id", "excitement")))
+    _labels(t).select(line.alias("value")).write.text(path)
+    return path
+
+
+@query
+def labels_join(t):
+    """Labels read back from their file, beside the items they belong to."""
+    labels = tables.read_labels(t.spark, _labels_file(t))
+    return labels.join(t.items.select("item_id", "content_kind", "movie_id"), "item_id")
+
+
+@query
+def training_job(t):
+    """A head from the labels file through its gate into the registry; the gate's checks and what became current."""
+    ws = Workspace(t.spark, scratch_path(t.spark, "heads"), date.fromisoformat(AS_OF))
+    ws.replace("items", shaped(t.items, "items"))
+    ws.train_head(_labels_file(t), t.embedded_comments, "r1", now(), 64)
+    heads = ws.table("heads")
+    return heads.select("version", "n", "passed", F.inline("checks").alias("check", "value", "check_passed"))
+
+
+@query
+def site_documents(t):
+    """Documents published by a workspace and read back from the current folder, one row per number."""
+    ws = Workspace(t.spark, scratch_path(t.spark, "site-tables"), date.fromisoformat(AS_OF))
+    for name in ("items", "movies", "shows", "seasons"):
+        ws.replace(name, shaped(getattr(t, name), name))
+    for name, df in (("counter_snapshots", t.snapshots), ("scores", t.scores), ("comments", t.comments)):
+        ws.days(name).save(shaped(df, name))
+    out = scratch_path(t.spark, "site")
+    ws.write_site(out, datetime.fromisoformat(NOW))
+
+    def document(name):
+        return t.spark.read.json(sinks.site_path(t.spark, out, name))
+
+    def numbers(name, *values):
+        pairs = F.array(*[F.struct(F.lit(k).alias("entry"), v.cast("double").alias("value")) for k, v in values])
+        return document(name).select(F.lit(name).alias("document"), F.inline(pairs))
+
+    many = F.col("by_movie_item_count")
+    coverage = [(c, F.col(c)) for c in ("unique_items", "countries_covered", "total_attributions", "active_items")]
+    parts = [
+        numbers("coverage", *coverage),
+        document("coverage").select(F.lit("coverage").alias("document"), F.inline("top_countries").alias("entry", "value")),
+        numbers("engagement_decay", ("days", F.col("days")), ("units", F.col("units")), ("losing", F.col("losing")),
+                ("4+ units", many["4+"]["units"])),
+        numbers("excitement_decay", ("movies", F.col("movies")), ("declining", F.col("declining")),
+                ("2 movies", many["2"]["movies"]), ("m2", (F.col("model_version") == "m2").cast("int"))),
+        document("excitement_examples").groupBy().agg(F.count("*").alias("value"), F.max("model_version").alias("entry"))
+        .select(F.lit("excitement_examples").alias("document"), "entry", F.col("value").cast("double")),
+    ]
+    return reduce(DataFrame.unionByName, [p.withColumn("value", F.col("value").cast("double")) for p in parts])
+
+
 # --- reports ----------------------------------------------------------------------
 
 

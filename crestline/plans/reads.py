@@ -319,6 +319,14 @@ def top_countries(countries: DataFrame, n: int = 8) -> DataFrame:
     )
 
 
+def coverage_document(countries: DataFrame, items: DataFrame, n: int = 8) -> DataFrame:
+    """The headline totals with the countries that have most items, first ones first."""
+    few = top_countries(countries, n)  # n rows
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("total_items")).alias("o"), "country", "total_items")))
+    listed = few.agg(F.transform(ranked, lambda c: F.struct(c["country"].alias("country"), c["total_items"].alias("total_items"))).alias("t"))
+    return coverage(countries, items).withColumn("top_countries", listed.scalar())
+
+
 def representative_item(comments: DataFrame, items: DataFrame, as_of: date | str) -> DataFrame:
     """The movie item with the most discovery comments (the lowest id on a tie)."""
     counts = (

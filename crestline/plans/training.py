@@ -20,7 +20,8 @@ from crestline.operators.medians import exact_median
 from crestline.operators.ordering import group_ordinal, spearman
 from crestline.operators.rollup import ALL, banded_rollup
 from crestline.plans.scores import SCORE_BUCKETS, score_units
-from crestline.plans.scoring import LinearHead, pooled_features
+from crestline.plans.scoring import LinearHead, lexicon_rates, linear_scores, pooled_features
+from crestline.schemas import TABLES
 from crestline.session import pin
 
 FOLDS = 5
@@ -265,3 +266,33 @@ def decline_summary(seq: DataFrame, value: str) -> DataFrame:
         F.avg("slope").alias("mean_slope"),
     )
     return sums.join(exact_median(units, ["bucket"], "delta", "median_delta"), "bucket").drop("bucket")
+
+
+def trained_head(
+    comments: DataFrame, labels: DataFrame, links: DataFrame, version: str, layout: str, now: Column
+) -> DataFrame:
+    """One row of the heads table: a head trained on the labelled items, its quality, and its gate over all items.
+
+    ``comments`` carry embeddings; ``links`` are movie items with movie_id and published_at.
+    """
+    head, oof = train(training_table(comments, labels, links), version, layout)
+    scored = linear_scores(pooled_features(comments), head).select("item_id", "excitement")
+    rows = scored.join(lexicon_rates(comments), "item_id").join(links.select("item_id", "movie_id", "published_at"), "item_id")
+    # a handful of checks
+    gate = acceptance_gate(rows).agg(
+        F.array_sort(F.collect_list(F.struct("check", "value", "passed"))).alias("checks"),
+        F.coalesce(F.every("passed"), F.lit(False)).alias("passed"),
+    )
+    spark = comments.sparkSession
+    fitted = spark.createDataFrame(
+        [(version, [float(x) for x in head.coef], float(head.intercept), [float(x) for x in head.mean],
+          [float(x) for x in head.scale], layout)],
+        "version string, coef array<double>, intercept double, mean array<double>, scale array<double>, layout string",
+    )
+    # three frames of one row
+    return (
+        fitted.withColumn("trained_at", now)
+        .join(F.broadcast(fit_quality(oof).withColumn("version", F.lit(version))), "version")
+        .join(F.broadcast(gate.withColumn("version", F.lit(version))), "version")
+        .select(*TABLES["heads"].columns)
+    )

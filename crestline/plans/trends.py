@@ -21,6 +21,7 @@ RECENT_DAYS = 7
 MIN_TAIL_POINTS = 4
 MIN_FIT_DAYS = 10
 ITEM_BUCKETS = (("1", 1, 1), ("2-3", 2, 3), ("4+", 4, None))
+DECAY_DAYS = 45
 
 
 def movie_series(
@@ -219,7 +220,7 @@ def decay_units(
 
 
 def engagement_decay(
-    stats: DataFrame, items: DataFrame, as_of: date | str, days: int = 45, unit: str = "movie"
+    stats: DataFrame, items: DataFrame, as_of: date | str, days: int = DECAY_DAYS, unit: str = "movie"
 ) -> DataFrame:
     """How the like/view ratio moves across units, overall and by the movie's item count."""
     units = decay_units(stats, items, as_of, days, unit).select("pct", "weight", "n_items")

@@ -134,6 +134,12 @@ TABLES: dict[str, Table] = {
         ("run_id", "phase"),
         domains={"phase": RUN_PHASES},
     ),
+    "heads": Table(
+        "version string, trained_at timestamp, coef array<double>, intercept double, mean array<double>,"
+        " scale array<double>, layout string, n bigint, mae double, rmse double, baseline_mae double, spearman double,"
+        " checks array<struct<check:string,value:double,passed:boolean>>, passed boolean",
+        ("version",),
+    ),
     "rejects": Table(
         "phase string, item_id string, reason string, content_key string, payload string,"
         " rejected_date date, rejected_at timestamp",

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crestline.functions.scalars import preview, preview_list
+from crestline.operators.rollup import ALL
 from crestline.operators.upsert import upsert
 from crestline.schemas import TABLES
 from crestline.session import stored
+from crestline.sources.manifest import Manifest
 
 JSON_OPTIONS = {"dateFormat": "yyyy-MM-dd", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX", "ignoreNullFields": "false"}
 
@@ -59,14 +61,17 @@ def write_site(
     generated_at: datetime,
     meta: Mapping[str, str | int | None],
 ) -> DataFrame:
-    """Write every site document plus ``meta`` below ``out``.
+    """Write every site document plus ``meta`` into a new folder below ``out`` and switch readers to it as a whole.
 
     A section that fails leaves its empty document and does not stop the rest.
     Returns one row per document: name, path, error.
     """
+    manifest = Manifest(spark, f"{out.rstrip('/')}/manifest")
+    seen, _ = manifest.load()
+    folder = f"documents/{uuid.uuid4().hex}"
     report = []
     for name, empty in SITE_DOCUMENTS.items():
-        path, error = f"{out.rstrip('/')}/{name}", None
+        path, error = f"{out.rstrip('/')}/{folder}/{name}", None
         try:
             if name not in builders:
                 raise KeyError(f"no builder for {name}")
@@ -75,14 +80,34 @@ def write_site(
             error = str(exc)[:200]
             spark.createDataFrame([(empty,)], "value string").coalesce(1).write.mode("overwrite").text(path)
         report.append((name, path, error))
-    path = f"{out.rstrip('/')}/meta"
+    path = f"{out.rstrip('/')}/{folder}/meta"
     stamp = {"generated_at": generated_at.isoformat(), **meta}
     row = [tuple(None if v is None else str(v) for v in stamp.values())]
     write_document(spark.createDataFrame(row, ", ".join(f"{k} string" for k in stamp)), path)
     report.append(("meta", path, None))
+    manifest.publish(seen + 1, {"folder": folder, "failed": [name for name, _, error in report if error]})
     return spark.createDataFrame(report, "name string, path string, error string")
 
 
+def site_path(spark: SparkSession, out: str, name: str) -> str:
+    """Where the current version of a site document lies."""
+    _, doc = Manifest(spark, f"{out.rstrip('/')}/manifest").load()
+    if doc is None:
+        raise FileNotFoundError(f"no site at {out}")
+    return f"{out.rstrip('/')}/{doc['folder']}/{name}"
+
+
+def by_bucket(rolled: DataFrame, inner: str, **head: Column) -> DataFrame:
+    """A roll-up of a handful of buckets as one nested document: the overall numbers beside ``head``, the rest under ``inner``."""
+    numbers = [c for c in rolled.columns if c != "bucket"]
+    whole = rolled.filter(F.col("bucket") == ALL).select(*[c.alias(k) for k, c in head.items()], *numbers)
+    # one row per fixed bucket label
+    parts = rolled.filter(F.col("bucket") != ALL).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("bucket", F.struct(*numbers).alias("v"))))).alias(inner)
+    )
+    return whole.withColumn(inner, parts.scalar())
+
+
 def training_set(
     comment_sets: DataFrame, items: DataFrame, movies: DataFrame, min_comments: int = 3
 ) -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crestline.operators.upsert import upsert
-from crestline.plans import findings, ingest, metrics, predictions, reads, scores, scoring, series, trends
+from crestline.plans import findings, ingest, metrics, predictions, reads, scores, scoring, series, training, trends
 from crestline.schemas import SNAPSHOT_KINDS, TABLES, TRANSCRIPT_SOURCES
-from crestline.session import pin
+from crestline.session import pin, stored
 from crestline.sources import seeds, sinks
 from crestline.sources.daytable import DayTable
-from crestline.sources.tables import day_table, floor_for, read_current, write_current
+from crestline.sources.tables import day_table, floor_for, read_current, read_labels, write_current
 
 
 @dataclass
@@ -87,7 +87,7 @@ class Workspace:
             self.counters(days), items, self.as_of, days, selective=movie_id is not None
         )
 
-    def engagement_decay(self, days: int = 45, unit: str = "movie") -> DataFrame:
+    def engagement_decay(self, days: int = trends.DECAY_DAYS, unit: str = "movie") -> DataFrame:
         return trends.engagement_decay(self.counters(days), self.table("items"), self.as_of, days, unit)
 
     def comment_excitement_decay(self, model_version: str | None = None) -> DataFrame:
@@ -117,20 +117,29 @@ class Workspace:
 
     # --- documents ------------------------------------------------------------------
 
-    def write_site(self, out: str, generated_at: datetime) -> DataFrame:
-        """Publish the read-only documents."""
+    def write_site(self, out: str, generated_at: datetime, days: int = trends.DECAY_DAYS, unit: str = "movie") -> DataFrame:
+        """Publish the read-only documents: a new folder, switched to as a whole."""
         stats, items, movies = (self.table(t) for t in ("counter_snapshots", "items", "movies"))
-        version = metrics.latest_version(self.table("scores"), self.as_of).first()
+        latest = metrics.latest_version(self.table("scores"), self.as_of).first()
+        version = F.lit(latest and latest[0]).alias("model_version")
         builders = {
             "carousel": lambda: reads.carousel(*self._for_trending(reads.CAROUSEL_DAYS), self.as_of),
-            "excitement_decay": self.comment_excitement_decay,
-            "excitement_examples": lambda: scores.score_examples(self.table("scores"), items, movies, self.as_of),
-            "views_timeseries": lambda: series.view_timeseries(stats, items, movies, self.as_of),
-            "engagement_decay": self.engagement_decay,
-            "coverage": lambda: reads.coverage(self.country_stats(), items),
+            "excitement_decay": lambda: sinks.by_bucket(
+                self.comment_excitement_decay(), "by_movie_item_count", model_version=version
+            ),
+            "excitement_examples": lambda: scores.score_examples(
+                self.table("scores"), items, movies, self.as_of
+            ).select(version, "*"),
+            "views_timeseries": lambda: series.view_timeseries(stats, items, movies, self.as_of).select(
+                F.lit(series.WINDOW_DAYS).alias("window_days"), "*"
+            ),
+            "engagement_decay": lambda: sinks.by_bucket(
+                self.engagement_decay(days, unit), "by_movie_item_count", unit=F.lit(unit), days=F.lit(days)
+            ),
+            "coverage": lambda: reads.coverage_document(self.country_stats(), items),
             "mcp_examples": lambda: sinks.trimmed(self.search_items(limit=5)),
         }
-        meta = {"model_version": version and version[0], "period_days": reads.CAROUSEL_DAYS, "dataset": self.root}
+        meta = {"model_version": latest and latest[0], "period_days": reads.CAROUSEL_DAYS, "dataset": self.root}
         return sinks.write_site(self.spark, out, builders, generated_at, meta)
 
     # --- daily jobs -----------------------------------------------------------------
@@ -219,6 +228,33 @@ class Workspace:
         self.replace("predictions", upsert(log, changes, TABLES["predictions"].keys))
         return tally.counts
 
+    # --- heads ----------------------------------------------------------------------
+
+    def train_head(self, labels: str, embedded: DataFrame, version: str, now: Column, dim: int) -> DataFrame:
+        """Labels file to features to head to gate; returns the head's registry row.
+
+        The head, its out-of-fold quality and every gate check are kept under its version. It becomes
+        the current one if all checks pass; otherwise the current one stays.
+        """
+        comments = scoring.discovery_comments(embedded, self.as_of)
+        links = metrics.movie_links(self.table("items"))
+        row = training.trained_head(
+            comments, read_labels(self.spark, labels), links, version, scoring.feature_layout(dim), now
+        )
+        row = stored(row, "head")
+        self.replace("heads", upsert(self.table("heads"), row, TABLES["heads"].keys))
+        return row
+
+    def current_head(self, dim: int) -> scoring.LinearHead:
+        """The newest head that passed its gate, for features of ``dim`` embedding dimensions."""
+        passed = self.table("heads").filter("passed").orderBy(F.desc("trained_at"), F.desc("version")).take(1)
+        if not passed:
+            raise LookupError("no trained head has passed its gate")
+        r = passed[0]
+        head = scoring.LinearHead(r.version, r.coef, r.intercept, r.mean, r.scale, r.layout)
+        head.check(scoring.feature_layout(dim))
+        return head
+
     def append_run_log(self, log: sinks.RunLog) -> None:
         self.replace("run_log", log.merged_into(self.table("run_log")))
 
@@ -238,7 +274,8 @@ class Workspace:
     ) -> DataFrame:
         """All phases that have input, in their fixed order; returns this run's log rows.
 
-        A failing phase ends the run; the log is kept either way.
+        Without ``head`` comments are scored by the current one. A failing phase ends the run; the
+        log is kept either way.
         """
         now = F.lit(at)
         log = sinks.RunLog(self.spark, run_id)
@@ -249,7 +286,7 @@ class Workspace:
              lambda: self.discover(tv_listings, "tv", now)),
             ("stats", documents, lambda: self.collect_counters(documents, now)),
             ("comments", threads, lambda: self.collect_comments(threads, now)),
-            ("excitement", embedded, lambda: self.score_comments(embedded, head, now, dim)),
+            ("excitement", embedded, lambda: self.score_comments(embedded, head or self.current_head(dim), now, dim)),
             ("transcripts", attempts, lambda: self.capture_transcripts(attempts, now)),
             ("predictions", predict or None, lambda: self.update_predictions(now)),
         ]

@@ -4,7 +4,8 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from crestline.plans import scoring
+from crestline.catalog.queries import shaped
+from crestline.plans import scoring, training
 from crestline.schemas import TABLES
 from crestline.sources import sinks, tables
 from crestline.sources.manifest import Manifest, WriteConflict
@@ -233,8 +234,19 @@ def test_daily_jobs_and_documents(spark, workspace, tmp_path):
     out = str(tmp_path / "site")
     report = {r.name: r.error for r in ws.write_site(out, datetime(2024, 1, 30, tzinfo=timezone.utc)).collect()}
     assert set(report) == {*sinks.SITE_DOCUMENTS, "meta"} and not any(report.values())
-    assert spark.read.json(f"{out}/coverage").first().unique_items == 150
-    assert spark.read.json(f"{out}/meta").first().model_version == "m2"
+    coverage = spark.read.json(sinks.site_path(spark, out, "coverage")).first()
+    assert coverage.unique_items == 150 and len(coverage.top_countries) == 8
+    totals = [c.total_items for c in coverage.top_countries]
+    assert totals == sorted(totals, reverse=True)
+    assert spark.read.json(sinks.site_path(spark, out, "meta")).first().model_version == "m2"
+    decay = spark.read.json(sinks.site_path(spark, out, "engagement_decay")).first()
+    assert (decay.unit, decay.days) == ("movie", 45) and decay.by_movie_item_count["4+"].units > 0
+    # a second version replaces the first as a whole
+    before = sinks.site_path(spark, out, "coverage")
+    ws.write_site(out, datetime(2024, 1, 31, tzinfo=timezone.utc), days=20, unit="item")
+    assert sinks.site_path(spark, out, "coverage") != before
+    decay = spark.read.json(sinks.site_path(spark, out, "engagement_decay")).first()
+    assert (decay.unit, decay.days) == ("item", 20)
 
 
 def test_a_whole_day_is_logged_in_order(spark, tmp_path):
@@ -247,7 +259,7 @@ def test_a_whole_day_is_logged_in_order(spark, tmp_path):
     assert got["discover_movies"][0] > 100 and got["stats"] == (0, 0)  # none of the documents is of these items
     assert ws.table("items").filter("content_kind = 'tv'").count() == got["discover_tv"][0]
     assert ws.table("credits").count() > 0 and ws.table("seasons").count() > 0
-    with pytest.raises(AttributeError):
+    with pytest.raises(LookupError):
         ws.run_day(at, embedded=bed.embedded_comments, head=None, run_id="r2")
     stored = {(r.run_id, r.phase): r.errors for r in ws.table("run_log").collect()}
     assert stored[("r2", "excitement")] == 1 and len(stored) == 5
@@ -261,5 +273,28 @@ def test_a_failing_section_leaves_its_empty_document(spark, tmp_path):
     builders = {"coverage": lambda: spark.sql("select 1 x"), "carousel": broken}
     report = {r.name: r.error for r in sinks.write_site(spark, out, builders, datetime(2024, 1, 30), {"period_days": 30}).collect()}
     assert report["coverage"] is None and report["carousel"] == "no scores" and report["meta"] is None
-    assert spark.read.text(f"{out}/carousel").first()[0] == "[]"
-    assert spark.read.text(f"{out}/excitement_examples").first()[0] == '{"examples":[]}'
+    assert spark.read.text(sinks.site_path(spark, out, "carousel")).first()[0] == "[]"
+    assert spark.read.text(sinks.site_path(spark, out, "excitement_examples")).first()[0] == '{"examples":[]}'
+    with pytest.raises(FileNotFoundError):
+        sinks.site_path(spark, str(tmp_path / "elsewhere"), "carousel")
+
+
+def test_a_trained_head_scores_once_it_has_passed(spark, tmp_path, monkeypatch):
+    bed = Testbed(spark, ROOT)
+    ws = Workspace(spark, str(tmp_path / "ws"), date.fromisoformat(AS_OF))
+    ws.replace("items", shaped(bed.items, "items"))
+    path = str(tmp_path / "labels")
+    bed.raw("embeddings").selectExpr("to_json(struct(concat('v', vec_id) as item_id, label * 10D as excitement))").write.text(path)
+    gate = "named_struct('check', 'any', 'value', 1D, 'passed', {0}) x"
+    for version, passes in (("h1", "true"), ("h2", "false")):
+        outcome = spark.range(1).selectExpr(gate.format(passes)).select("x.*")
+        monkeypatch.setattr(training, "acceptance_gate", lambda rows, outcome=outcome: outcome)
+        row = ws.train_head(path, bed.embedded_comments, version, now() + F.expr(f"interval {version[1]} hours"), 64).first()
+        assert row.passed == (passes == "true") and row.n > 10 and len(row.coef) == 67
+    assert ws.current_head(64).version == "h1"  # the later one failed
+    with pytest.raises(ValueError):
+        ws.current_head(32)
+    log = ws.run_day(datetime(2024, 1, 30, 6), embedded=bed.embedded_comments, dim=64, predict=False, run_id="r1").first()
+    counts = json.loads(log.notes)
+    assert counts["scored"] == log.items_processed > 0
+    assert {r.model_version for r in ws.table("scores").collect()} == {"h1"}
