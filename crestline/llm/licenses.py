@@ -79,7 +79,8 @@ def spans(
 
     ``row`` names the text (``row_key``); ``first`` and ``last`` are word positions from 0.
     ``coverage`` is the share of the template's runs inside the span, 1 for a phrase. Spans
-    below ``covered`` or longer than ``stretch`` times the template do not come out.
+    below ``covered`` or longer than ``stretch`` times the template do not come out. A notice may
+    come out as several overlapping spans: its best diagonal, that one with its neighbours, and their island.
     """
     spark = docs.sparkSession
     known = spark.createDataFrame(
@@ -116,10 +117,21 @@ def spans(
             F.size(F.array_distinct(F.flatten(F.collect_list("voted")))).alias("votes"),
         )
     )
+    # far-off repeats of a few words can chain an island out of shape: each diagonal also stands alone, and with
+    # the neighbours within drift
+    same = ["row", "template", "island", "label", "base", "runs", "size"]
+    own = votes.where("not base").withColumn("island", F.lit(None).cast("bigint"))
+    near = W.partitionBy("row", "template").orderBy("diagonal").rangeBetween(-drift, drift)
+    alone = own.select(*same, "first", "last", F.size("voted").alias("votes"))
+    beside = own.select(
+        *same, F.min("first").over(near).alias("first"), F.max("last").over(near).alias("last"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("voted").over(near)))).alias("votes"),
+    )
+    merged = merged.select(*alone.columns).union(alone).union(beside)
     close = merged.withColumn("coverage", F.col("votes") / F.col("runs")).where(
         (F.col("coverage") >= covered) & (F.col("last") - F.col("first") + 1 <= stretch * F.col("size"))
     )
-    return exact.union(close.select("row", "label", "base", "first", "last", "coverage"))
+    return exact.union(close.select("row", "label", "base", "first", "last", "coverage").distinct())
 
 
 def license_report(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
@@ -172,7 +184,11 @@ isl AS (SELECT *, sum(jump) OVER (PARTITION BY doc_id, template ORDER BY dia) AS
       FROM v WHERE NOT base)),
 m AS (SELECT doc_id, label, base, min(first) AS first, max(last) AS last,
       len(list_distinct(flatten(list(voted)))) / any_value(runs) AS coverage, any_value(size) AS size
-      FROM isl GROUP BY doc_id, template, label, base, island),
+      FROM isl GROUP BY doc_id, template, label, base, island
+      UNION ALL SELECT doc_id, label, base, first, last, len(list_distinct(voted)) / runs, size FROM v WHERE NOT base
+      UNION ALL SELECT doc_id, label, base, min(first) OVER near, max(last) OVER near,
+             len(list_distinct(flatten(list(voted) OVER near))) / runs, size FROM v WHERE NOT base
+             WINDOW near AS (PARTITION BY doc_id, template ORDER BY dia RANGE BETWEEN {DRIFT} PRECEDING AND {DRIFT} FOLLOWING)),
 s AS (SELECT doc_id, label, base, first, last, 1.0::DOUBLE AS coverage FROM v WHERE base AND n = runs
       UNION SELECT doc_id, label, base, first, last, coverage FROM m
       WHERE coverage >= {COVERED} AND last - first + 1 <= {STRETCH} * size),

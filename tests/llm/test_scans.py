@@ -10,6 +10,7 @@ ITEMS = [
     (1, edge.texts()[3]), (2, edge.texts()[4].split(" ", 1)[1]), (3, "Word"), (4, None), (5, " .. "), (6, "same line of five words"),
     (6, "same line of five words"), (7, "not to be found anywhere at all"), (None, edge.texts()[5]), (8, "straße"),
 ]
+FREE = "This is free and unencumbered software released into the public domain."
 
 
 def plain(value):
@@ -31,6 +32,7 @@ def ids_only():
         "permission is hereby granted free of charge " * 40, "# * $ % & | < > !!", "A a a a a a a a", "a b c a b c a b c",
         f"before {edge.texts()[3]} between {edge.texts()[3]} after", " ".join(edge.texts()[3].split(" ")[5:]),
         " ".join(edge.texts()[3].split(" ")[:13]) + " tail", "ÀÉÎ STRASSE Straße",
+        "This is free " * 4 + FREE, "this is free x " * 9 + FREE.replace("software ", "software now "),
     ]
     return out + [(9000 + i, t, "en", "s", 1, 1, "w", 2, 0.5, "d", 3) for i, t in enumerate(extra)]
 
@@ -59,6 +61,8 @@ def test_license_scan_equals_sql(spark, tmp_path, ids_only):
     assert (got[9000].n_base, got[9000].first_word, got[9000].last_word, got[9000].base_labels) == (2, 0, 4, ["mit"])
     assert (got[9001].n_base, got[9001].labels) == (2, ["cc-by-nc"]) and got[9002].base_labels == ["apache-2"]
     assert got[9003].labels == ["gpl"] and got[9003].score == 1.0 and 0.6 <= got[9004].score < 1
+    # opening words that stand several times before a notice do not hide it
+    assert got[9013].labels == got[9014].labels == ["unlicense"] and got[9013].score == 1.0 and 0.6 <= got[9014].score < 1
     assert got[9005].labels == []  # a stretch of repeats covers too little of the template
     got = report.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
     compare(spark, tmp_path, ids_only, got, licenses.OP9_SQL)
