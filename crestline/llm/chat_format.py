@@ -9,7 +9,7 @@ put into an order that respects turns and dependencies. Every event becomes one
 canonical JSON: keys sorted, no blanks, nulls written out.
 
 Only DataFrame expressions are used. Lines stay rows; a conversation is never gathered
-into one value.
+into one value nor ordered in one task.
 """
 
 from __future__ import annotations
@@ -19,10 +19,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crestline.llm.common import table, written
+from crestline.operators.ordering import group_ordinal
 
 CALLS = "content string, tool_calls array<struct<id:string, name:string, arguments:string>>"
 RESULT = "tool_call_id string, content string"
 
+#: turns of a conversation that one task numbers
+SLICE = 64
+
 #: JSON types and the variant types that satisfy them
 TYPES = {
     "string": "STRING", "integer": "BIGINT", "number": "BIGINT|DOUBLE|FLOAT|DECIMAL.*", "boolean": "BOOLEAN",
@@ -75,9 +79,9 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> tuple[DataFra
     The first call of an identifier and its first result are a pair. Calls: ``ok``,
     ``no result``, ``no id``, ``duplicate`` or what ``problem`` says. Results: ``ok``, ``orphan``, ``duplicate``.
     """
-    by_id = W.partitionBy("conv_id", "id")
-    calls = calls.withColumn("rank", F.row_number().over(by_id.orderBy("turn", "place", "name", "arguments")))
-    results = results.withColumn("rank", F.row_number().over(by_id.orderBy("turn", "content")))
+    by_id, span = ["conv_id", "id"], F.floor(F.col("turn") / SLICE)
+    calls = group_ordinal(calls, by_id, ["turn", "place", "name", "arguments"], span, "rank", "n")
+    results = group_ordinal(results, by_id, ["turn", "content"], span, "rank", "n")
     first_call = calls.where("rank = 1 and id is not null").select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("turn").alias("asked_at"))
     first_result = results.where("rank = 1").select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("turn").alias("told_at"))
     same = lambda x: x["conv_id"].eqNullSafe(F.col("c")) & (x["id"] == F.col("i"))
@@ -94,47 +98,85 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> tuple[DataFra
     return asked, told
 
 
+def chased(calls: DataFrame, needs: DataFrame) -> DataFrame:
+    """``k, base, via, steps``: the call at the end of each call's chain of single needs, the latest end of those between, and how many
+    needs away it is. A call without needs, or with several, is its own base; ``base`` is null if the chain never ends.
+
+    Pointers are doubled: the number of rounds is the logarithm of the longest chain.
+    """
+    single = needs.groupBy("k").agg(F.count("*").alias("n"), F.first("need").alias("jump")).where("n = 1")
+    at = written(
+        calls.select("k", "own").join(single.select("k", "jump"), "k", "left")
+        .withColumns({"via": F.lit(None).cast("bigint"), "steps": F.when(F.col("jump").isNull(), 0).otherwise(1).cast("bigint")}),
+        "chat",
+    )
+    rounds, moving = at.where("jump is not null").count().bit_length() + 1, True
+    while moving and rounds:
+        ahead = at.where("jump is not null").select(
+            F.col("k").alias("jump"), F.col("jump").alias("next"), F.greatest("own", "via").alias("more"), F.col("steps").alias("far")
+        )
+        at = written(
+            at.join(ahead, "jump", "left").select(
+                "k", "own", F.coalesce("next", "jump").alias("jump"), F.greatest("via", "more").alias("via"),
+                (F.col("steps") + F.coalesce("far", F.lit(0))).alias("steps"), F.col("next").isNotNull().alias("moved"),
+            ),
+            "chat",
+        )
+        moving, rounds = at.where("moved").limit(1).count() > 0, rounds - 1
+        at, last = at.drop("moved"), at
+    endless = last.where("moved").select("k").withColumn("endless", F.lit(True)) if moving else None
+    out = at.select("k", F.coalesce("jump", "k").alias("base"), "via", "steps")
+    if endless is None:
+        return out
+    return out.join(endless, "k", "left").select("k", F.when(F.col("endless").isNull(), F.col("base")).alias("base"), "via", "steps")
+
+
 def ordered(asked: DataFrame) -> DataFrame:
     """Calls with ``at`` (the turn at which they can run at the earliest) and ``depth`` (calls before them on a
-    chain of dependencies); ``depth`` is null on a cycle, and ``at`` the call's own turn."""
+    chain of dependencies); ``depth`` is null on a cycle or behind one, and ``at`` the call's own turn.
+
+    Chains of single needs are settled by doubling. Calls with several needs are settled round by round, as many rounds as stand
+    behind one another.
+    """
+    key = F.struct("conv_id", "id").alias("k")
     named = asked.where("id is not null and status <> 'duplicate'")
+    calls = written(named.select(key, "turn", F.greatest("turn", F.coalesce("told_at", "turn")).alias("own")), "chat")
     asks = named.select(
-        "conv_id", "id", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(r'"\$([^"]+)"'), F.lit(1)))).alias("need")
-    ).alias("x")
-    known = named.select("conv_id", "id").alias("y")
-    needs = asks.join(known, F.col("x.conv_id").eqNullSafe(F.col("y.conv_id")) & (F.col("x.need") == F.col("y.id"))).select("x.*")
-    needs = written(needs, "chat")
-    has = needs.select("conv_id", "id").distinct().withColumn("waits", F.lit(True))
-    calls = named.select("conv_id", "id", "turn", F.greatest("turn", F.coalesce("told_at", "turn")).alias("end"))
-    c, h = calls.alias("c"), has.alias("h")
-    split = written(
-        c.join(h, F.col("c.conv_id").eqNullSafe(F.col("h.conv_id")) & (F.col("c.id") == F.col("h.id")), "left")
-        .select("c.*", F.coalesce("h.waits", F.lit(False)).alias("waits")),
-        "chat",
+        key, F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(r'"\$([^"]+)"'), F.lit(1)))).alias("id")
+    ).select("k", F.struct(F.col("k.conv_id").alias("conv_id"), "id").alias("need"))
+    needs = written(asks.join(calls.select(F.col("k").alias("need")), "need"), "chat")
+    chains = chased(calls, needs)
+    manifold = needs.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    waiting = written(calls.join(manifold, "k"), "chat")
+    done = calls.join(needs.select("k").distinct(), "k", "left_anti").select("k", F.col("turn").alias("at"), F.col("own").alias("end"), F.lit(0).cast("bigint").alias("depth"))
+    # what each need of a waiting call leads to: the base of its chain, the latest end on the way, the steps to it
+    own = calls.select(F.col("k").alias("need"), F.col("own").alias("o"))
+    to = chains.withColumnRenamed("k", "need").join(own, "need").select(
+        "need", "base", F.when(F.col("base") == F.col("need"), F.col("via")).otherwise(F.greatest("via", "o")).alias("via"), "steps"
     )
-    done = split.where("not waits").select("conv_id", "id", F.col("turn").alias("at"), "end", F.lit(0).alias("depth"))
-    waiting = split.where("waits").drop("waits")
+    edges = written(needs.join(manifold, "k").join(to, "need").select("k", "base", "via", "steps"), "chat")
     while waiting.limit(1).count():
-        w, n, d = waiting.alias("w"), needs.alias("n"), done.alias("d")
         ready = (
-            w.join(n, F.col("w.conv_id").eqNullSafe(F.col("n.conv_id")) & (F.col("w.id") == F.col("n.id")))
-            .join(d, F.col("n.conv_id").eqNullSafe(F.col("d.conv_id")) & (F.col("n.need") == F.col("d.id")), "left")
-            .groupBy("w.conv_id", "w.id")
-            .agg(
-                F.first("w.turn").alias("turn"), F.first("w.end").alias("told"), F.bool_and(F.col("d.id").isNotNull()).alias("all"),
-                F.max("d.end").alias("after"), F.max("d.depth").alias("below"),
+            edges.join(waiting, "k").join(done.select(F.col("k").alias("base"), F.col("end").alias("b_end"), F.col("depth").alias("b_depth")), "base", "left")
+            .groupBy("k").agg(
+                F.first("turn").alias("turn"), F.first("own").alias("own"), F.bool_and(F.col("b_depth").isNotNull()).alias("all"),
+                F.max(F.greatest("via", "b_end")).alias("after"), F.max(F.col("b_depth") + F.col("steps") + 1).alias("depth"),
             ).where("all")
-            .select("conv_id", "id", F.greatest("turn", "after").alias("at"), F.greatest("told", "turn", "after").alias("end"), (F.col("below") + 1).alias("depth"))
+            .select("k", F.greatest("turn", "after").alias("at"), F.greatest("own", "after").alias("end"), "depth")
         )
         ready = written(ready, "chat")
-        if not ready.limit(1).count():  # what is left stands on cycles
-            done = done.union(waiting.select("conv_id", "id", F.col("turn").alias("at"), "end", F.lit(None).cast("int")))
+        if not ready.limit(1).count():  # what is left stands on cycles or behind them
             break
-        r = ready.alias("r")
-        w = waiting.alias("w")
-        waiting = written(w.join(r, F.col("w.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("w.id") == F.col("r.id")), "left_anti"), "chat")
+        waiting = written(waiting.join(ready.select("k"), "k", "left_anti"), "chat")
         done = written(done.union(ready), "chat")
-    return done.drop("end")
+    bases = done.select(F.col("k").alias("base"), F.col("at").alias("b_at"), F.col("end").alias("b_end"), F.col("depth").alias("b_depth"))
+    found = calls.join(chains, "k").join(bases, "base", "left")
+    settled = F.col("b_depth").isNotNull()
+    return found.select(
+        "k.conv_id", "k.id",
+        F.when(settled & (F.col("steps") == 0), F.col("b_at")).when(settled, F.greatest("turn", "via", "b_end")).otherwise(F.col("turn")).alias("at"),
+        (F.col("b_depth") + F.col("steps")).cast("int").alias("depth"),
+    )
 
 
 def canonical(**fields) -> Column:
@@ -179,10 +221,12 @@ def format_chats(messages: DataFrame, schemas: dict) -> DataFrame:
         canonical(type=F.lit("message"), role=F.col("role"), content=F.col("text"), turn=F.col("turn")).alias("json"),
         F.col("turn").alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("step"), F.lit(0).alias("place"),
     )
-    order = W.partitionBy("conv_id").orderBy("at", "depth", "step", "turn", "place", "call_id", "json")
-    return lines.union(lines_of_calls).union(lines_of_results).select(
-        "conv_id", (F.row_number().over(order) - 1).cast("bigint").alias("seq"), "kind", "turn", "call_id", "status", "json"
-    )
+    order = ["at", "depth", "step", "turn", "place", "call_id", "json"]
+    # a long conversation is numbered in parts: by turns, and without any by what else orders its lines
+    timeless = F.when(F.col("at").isNull(), F.struct("depth", "step", "place", "call_id", F.substring("json", 1, 64).alias("json")))
+    part = F.struct(F.floor(F.col("at") / SLICE).alias("turns"), timeless.alias("rest"))
+    numbered = group_ordinal(lines.union(lines_of_calls).union(lines_of_results), ["conv_id"], order, part, "seq", "n")
+    return numbered.select("conv_id", (F.col("seq") - 1).alias("seq"), "kind", "turn", "call_id", "status", "json")
 
 
 #: tools of the derived test-bed
@@ -195,15 +239,25 @@ TOOLS = {
 def with_tools(conversations: DataFrame) -> DataFrame:
     """Conversations with tool traffic made from their own turns: every assistant turn asks a tool, with an argument
     that names the assistant's previous call; the turn after it is the tool's answer."""
-    turns = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    back = conversations.withColumn("before", F.lag("role").over(turns)).withColumn("came", F.lag("turn").over(turns)).withColumn(
-        "last", F.last(F.when(F.col("role") == "assistant", F.col("turn")), ignorenulls=True).over(turns.rowsBetween(W.unboundedPreceding, -1))
+    # neighbours are looked up within a part of the conversation; where it begins, in what the parts before it ended with
+    parts = conversations.withColumn("part", F.struct(F.floor(F.col("turn") / SLICE).alias("s"))).withColumn("c", F.struct("conv_id"))
+    assistant = F.when(F.col("role") == "assistant", F.col("turn"))
+    whole, row = W.partitionBy("c").orderBy("part"), F.struct("turn", "role", "text")
+    ends = parts.groupBy("c", "part").agg(F.max(row).alias("end"), F.max(assistant).alias("asked"))
+    ends = ends.select(
+        "c", "part", F.lag("end").over(whole).alias("end"),
+        F.max("asked").over(whole.rowsBetween(W.unboundedPreceding, -1)).alias("asked"),
     )
+    turns = W.partitionBy("c", "part").orderBy("turn", "role", "text")
+    back = parts.join(ends, ["c", "part"]).select(
+        "*", F.coalesce(F.lag(row).over(turns), F.col("end")).alias("prev"),
+        F.coalesce(F.max(assistant).over(turns.rowsBetween(W.unboundedPreceding, -1)), F.col("asked")).alias("last"),
+    ).withColumns({"before": F.col("prev.role"), "came": F.col("prev.turn")})
     name = lambda t: F.concat(F.lit("c"), t.cast("string"))
     words = F.size(F.split(F.coalesce("text", F.lit("")), " "))
     after = F.when(F.col("last").isNotNull(), F.concat(F.lit("$"), name(F.col("last"))))
-    lookup = F.to_json(F.struct(F.substring("text", 1, 24).alias("query"), words.alias("limit"), after.alias("after")))
-    count = F.to_json(F.struct(F.substring("text", 1, 24).alias("text"), (words % 2 == 0).alias("exact"), after.alias("after")))
+    lookup = F.to_json(F.struct(F.col("text").alias("query"), words.alias("limit"), after.alias("after")))
+    count = F.to_json(F.struct(F.col("text").alias("text"), (words % 2 == 0).alias("exact"), after.alias("after")))
     even = F.pmod("turn", F.lit(2)) == 0
     call = F.struct(
         name(F.col("turn")).alias("id"), F.when(even, F.lit("count")).otherwise(F.lit("lookup")).alias("name"),

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -84,3 +85,74 @@ def test_whole_table_keeps_every_turn_and_order(spark):
         if r.kind == "call" and "after" in parsed["arguments"]:
             earlier = [x for x in rows if x.conv_id == r.conv_id and x.call_id == parsed["arguments"]["after"][1:]]
             assert all(x.seq < r.seq for x in earlier)
+
+
+def settled(calls):
+    """Plain reference for ``ordered``: ``calls`` maps id to (turn, told, needs)."""
+    out = {}
+
+    def visit(i, path):
+        if i in path:
+            return None
+        if i not in out:
+            turn, told, needs = calls[i]
+            below = [visit(n, path | {i}) for n in needs if n in calls]
+            if any(b is None for b in below):
+                return None
+            after = max((b[1] for b in below), default=turn)
+            out[i] = (max(turn, after), max(turn, turn if told is None else told, after), 1 + max((b[2] for b in below), default=-1))
+        return out[i]
+
+    return {i: ((*visit(i, frozenset())[::2],) if visit(i, frozenset()) else (calls[i][0], None)) for i in calls}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_order_equals_a_plain_walk_over_random_graphs(spark, seed):
+    turn = random.Random(seed)
+    made = {}
+    for conv in (None, 1, 2, 3):
+        n = turn.randint(8, 40)
+        made[conv] = {}
+        for i in range(n):
+            # chains, several needs, unknown needs, sometimes a need of a later call
+            needs = {f"c{i - 1}"} if i and turn.random() < 0.6 else {f"c{turn.randrange(n)}" for _ in range(turn.randrange(3))}
+            needs = {x for x in needs if int(x[1:]) < i or turn.random() < 0.06} | ({"none"} if turn.random() < 0.1 else set())
+            at = turn.randrange(100)
+            made[conv][f"c{i}"] = (at, turn.choice([None, at + turn.randrange(9)]), sorted(needs))
+    rows = [
+        (c, at, 0, i, "t", json.dumps({"of": [f"${x}" for x in needs]}), told, "ok")
+        for c, calls in made.items() for i, (at, told, needs) in calls.items()
+    ]
+    asked = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, place int, id string, name string, arguments string, told_at bigint, status string"
+    ).repartition(3)
+    got = {(r.conv_id, r.id): (r["at"], r.depth) for r in chat_format.ordered(asked).collect()}
+    assert got == {(c, i): v for c, calls in made.items() for i, v in settled(calls).items()}
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    n, writes = 700, []
+    rows = [(1, i, 0, f"c{i}", "t", json.dumps({"of": [f"$c{i - 1}"]}), i, "ok") for i in range(n)]
+    asked = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, place int, id string, name string, arguments string, told_at bigint, status string"
+    )
+    written = chat_format.written
+    monkeypatch.setattr(chat_format, "written", lambda df, label: writes.append(label) or written(df, label))
+    assert {r.id: r.depth for r in chat_format.ordered(asked).collect()} == {f"c{i}": i for i in range(n)}
+    assert len(writes) < 20
+
+
+def test_a_conversation_of_many_parts_is_numbered_whole(spark):
+    rows = [(1, t, "user", f"m{t}") for t in range(300)] + [(1, None, "user", f"z{i}") for i in range(30)] + [(1, 5, "user", "m5")] * 3
+    got = [r for r in formatted(spark, *rows)]
+    assert [r.seq for r in got] == list(range(333))
+    assert [r.turn for r in got] == sorted((r[1] for r in rows), key=lambda t: (t is not None, t or 0))
+
+
+def test_derived_traffic_does_not_depend_on_parts(spark, monkeypatch):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    key = lambda df: sorted(map(str, df.collect()))
+    want = key(chat_format.with_tools(turns))
+    monkeypatch.setattr(chat_format, "SLICE", 2)
+    assert key(chat_format.with_tools(turns)) == want
+    assert any("after" in row for row in want)
