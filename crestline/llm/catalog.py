@@ -13,7 +13,7 @@ from crestline.llm.line_dedup import op5_line_dedup
 from crestline.llm.merkle import OP13_SQL, op13_merkle_manifest
 from crestline.llm.packing import op8_best_fit_packing
 from crestline.llm.quality_model import op3_quality_classifier
-from crestline.llm.quality_rules import OP7_SQL, op7_quality_rules
+from crestline.llm.quality_rules import ABLATIONS_SQL, OP7_SQL, op7_quality_rules, quality_ablations
 from crestline.llm.simhash_dedup import op1_simhash_near_dedup
 from crestline.llm.toxicity import op2_toxicity
 
@@ -22,10 +22,10 @@ QUERIES = {
     for f in (
         op1_simhash_near_dedup, op2_toxicity, op3_quality_classifier, op4_language_id, op5_line_dedup,
         op6_chat_formatting, op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_decontamination,
-        op11_curve_packing, op12_hard_negatives, op13_merkle_manifest, decontamination_near,
+        op11_curve_packing, op12_hard_negatives, op13_merkle_manifest, decontamination_near, quality_ablations,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = {
     "op7_quality_rules": OP7_SQL, "op9_license_scan": OP9_SQL, "op10_decontamination": OP10_SQL,
-    "op12_hard_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL,
+    "op12_hard_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL, "quality_ablations": ABLATIONS_SQL,
 }

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crestline.llm.common import remainder, table
-from crestline.llm.sampling import bounded_sample, class_counts, summed
+from crestline.llm.sampling import class_counts, first_rows, summed
 
 DIMS, TRAIN_ROWS, EPOCHS, CALIBRATION = 1 << 15, 600, 3, 0.2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-3, 1e-3
@@ -146,19 +146,21 @@ def _features(dims):
 
 
 def train(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = DIMS, rows: int = TRAIN_ROWS,
-    epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2,
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", dims: int = DIMS,
+    rows: int = TRAIN_ROWS, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2,
 ) -> Model:
     """A model of the languages named in ``lang_col``; rows with a null text or language teach nothing."""
-    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
+    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
+        "text is not null and lang is not null"
+    )
     sizes = class_counts(labelled, "lang")
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(dims), np.zeros((dims, 0)), np.zeros(0))
     df = summed(labelled.select("text").mapInArrow(_frequencies(dims), "v binary"), dims + 1)
     idf = np.log((1 + df[dims]) / (1 + df[:dims])) + 1
-    sample = bounded_sample(labelled, "lang", sizes, dict.fromkeys(languages, rows), "text")
-    got = sample.mapInArrow(_features(dims), "at array<int>, counts array<int>, lang string").toArrow()
+    sample = first_rows(labelled, "lang", sizes, rows, "id", "text")
+    got = sample.select("text", "lang").mapInArrow(_features(dims), "at array<int>, counts array<int>, lang string").toArrow()
     number = {name: i for i, name in enumerate(languages)}
     samples = sorted(
         (

@@ -144,7 +144,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
-def _sql() -> str:
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy does to the whole table, from the ledger's masks."""
+    return ablations(ledger(measure(table(spark, sf_dir, "documents"))))
+
+
+def _sql(report: str) -> str:
     failed = " + ".join(f"CASE WHEN {fails} THEN {1 << i} ELSE 0 END" for i, (_, fails) in enumerate(RULES))
     count = lambda chars: f"len(text) - len(regexp_replace(text, '[{chars}]', '', 'g'))"
     return rf"""
@@ -160,8 +165,15 @@ m AS (SELECT doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_char
              {count('A-Z')} AS n_upper, {count('!')} AS n_bangs, {count('|')} AS n_bars
       FROM d LEFT JOIN r USING (doc_id)),
 f AS (SELECT *, CAST({failed} AS BIGINT) AS failed FROM m)
-SELECT *, failed & {mask(BASE)} <> 0 AS base_failed, failed & {mask(BASE) | mask(POLICIES[POLICY])} = 0 AS kept FROM f
+{report}
 """
 
 
-OP7_SQL = _sql()
+OP7_SQL = _sql(
+    f"SELECT *, failed & {mask(BASE)} <> 0 AS base_failed, failed & {mask(BASE) | mask(POLICIES[POLICY])} = 0 AS kept FROM f"
+)
+_RULES_OF = ", ".join(f"('{p}', '{r}', {mask(names)}, {mask([r])})" for p, names in POLICIES.items() for r in names)
+ABLATIONS_SQL = _sql(
+    f"""SELECT policy, rule, count(*) FILTER (failed & bit <> 0) AS failing, count(*) FILTER (failed & own = bit) AS "only", count(*) AS dropped
+FROM f JOIN (VALUES {_RULES_OF}) AS p(policy, rule, own, bit) ON failed & own <> 0 GROUP BY policy, rule"""
+)

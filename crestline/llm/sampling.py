@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crestline.operators.ordering import top_n
+
 STEPS = 1 << 30
 
 
@@ -24,6 +26,16 @@ def bounded_sample(labelled: DataFrame, label: str, counts: dict, most: dict, *k
     return labelled.where(place < share)
 
 
+def first_rows(labelled: DataFrame, label: str, counts: dict, most: int, *key: str) -> DataFrame:
+    """At most ``most`` rows of each label: the first ones by a hash of ``key``, the same on every run and at any layout.
+
+    Twice as many are picked out by the hash before the first are taken; a row that stands many times may fill
+    them, but never exceeds them.
+    """
+    near = bounded_sample(labelled, label, counts, dict.fromkeys(counts, 2 * most), *key)
+    return top_n(near, [label], [F.xxhash64(*key), *[F.col(k) for k in key]], most).drop("_rn")
+
+
 def summed(vectors: DataFrame, size: int, tasks: int = 64) -> np.ndarray:
     """Sum of int64 vectors (binary column ``v``), one per task: added up in ``tasks`` tasks as they stream, then here."""
 

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import edge
-from crestline.llm import language_id, quality_model, toxicity
+from crestline.llm import language_id, quality_model, toxicity, sampling
 from crestline.llm.common import table
 
 DATA = "/root/testdata/sf0.01"
@@ -137,3 +137,12 @@ def test_signs_are_read_as_letters_and_quotation_lowers_the_score():
     assert hits("IDIOT!")[1] == 1 and not hits("idyllic riot")[0] and not hits(None).any() and not hits("").any()
     assert hits('he said "idiot" again')[5] > 0 and hits('he said "idiot" again')[4] < hits("you idiot")[4]
     assert hits("scum and idiot")[4] > hits("scum and nothing")[4]
+
+
+def test_samples_are_bounded_whatever_is_copied(spark):
+    rows = [(i, "the same text", "en") for i in range(400)] + [(7, "one row many times", "en")] * 300 + [(i, f"t{i}", "fr") for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, text string, lang string")
+    counts = sampling.class_counts(df, "lang")
+    for parts in (1, 6):
+        got = sampling.first_rows(df.repartition(parts), "lang", counts, 50, "id", "text").groupBy("lang").count().collect()
+        assert {r["lang"]: r["count"] for r in got} == {"en": 50, "fr": 30}

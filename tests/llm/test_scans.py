@@ -55,6 +55,11 @@ def test_quality_rules_equal_sql(spark, tmp_path, ids_only):
     compare(spark, tmp_path, ids_only, quality_rules.quality_report(edge.frame(spark, ids_only)), quality_rules.OP7_SQL)
 
 
+def test_ablations_equal_sql(spark, tmp_path, ids_only):
+    entries = quality_rules.ledger(quality_rules.measure(edge.frame(spark, ids_only)))
+    compare(spark, tmp_path, ids_only, quality_rules.ablations(entries), quality_rules.ABLATIONS_SQL)
+
+
 def test_license_scan_equals_sql(spark, tmp_path, ids_only):
     report = licenses.license_report(edge.frame(spark, ids_only))
     got = {r.doc_id: r for r in report.collect()}
