@@ -27,8 +27,9 @@ from crestline.llm.common import remainder, table, written
 from crestline.llm.sampling import bounded_sample, class_counts
 
 TOXIC_ROWS, CLEAN_ROWS = 4000, 12_000
-#: of the lexicon: terms at most, texts that hold a term at least, as a count and a share of toxic ones, ratio of shares
-TERMS, LEAST_TEXTS, LEAST_SHARE, LIFT = 300, 5, 0.003, 60.0
+#: of the lexicon: texts that hold a term at least, as a count and a share of toxic ones, ratio of shares. The share bounds it:
+#: a text of w words holds at most w terms, so there are at most w / LEAST_SHARE
+LEAST_TEXTS, LEAST_SHARE, LIFT = 5, 0.003, 60.0
 WINDOW, THRESHOLD, FEATURES = 12, 0.7, 6
 
 # Signs read as letters, words of address, words that report speech.
@@ -211,7 +212,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -35, 35))))
 
 
-def lexicon(sample: DataFrame, toxic: int, clean: int, terms: int = TERMS, lift: float = LIFT) -> list[str]:
+def lexicon(sample: DataFrame, toxic: int, clean: int, lift: float = LIFT) -> list[str]:
     """The terms: words of enough toxic texts, whose share there is ``lift`` times that in clean ones."""
     found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{4,}"), F.lit(0)))
     counts = sample.select("y", F.explode(found).alias("term")).groupBy("term").agg(
@@ -219,8 +220,8 @@ def lexicon(sample: DataFrame, toxic: int, clean: int, terms: int = TERMS, lift:
     )
     least = max(LEAST_TEXTS, LEAST_SHARE * toxic)
     ratio = ((F.col("bad") + 0.5) / (toxic + 1)) / ((F.col("good") + 0.5) / (clean + 1))
-    best = counts.where((F.col("bad") >= least) & (ratio >= min(lift, 0.5 * clean))).orderBy(F.desc("bad"), "term").limit(terms)
-    return [r[0] for r in best.select("term").collect()]
+    best = counts.where((F.col("bad") >= least) & (ratio >= min(lift, 0.5 * clean)))
+    return sorted(r[0] for r in best.select("term").collect())
 
 
 def regression(x: np.ndarray, y: np.ndarray, share: float, penalty: float = 0.05, rounds: int = 50) -> tuple[np.ndarray, float]:
