@@ -634,7 +634,10 @@ ORACLES["flatten_movies_json"] = (
     f"SELECT {_P} AS movie_id, p_name AS title, CASE WHEN {_P} % 5 = 0 THEN DATE '2024-06-01' ELSE"
     f" {_day('2024-02-01', f'{_P} % 100')} END AS release_date, CAST(90 + p_size AS BIGINT) AS runtime_minutes, 'Planned' AS status,"
     f" {r6('p_retailprice')} AS popularity, '/p' || {_P} || '.jpg' AS poster_path, 'C' || {_P} % 9 || '|ZZ' AS"
-    f" origin_countries, CAST(p_size AS BIGINT) AS genre_id, p_type AS genre FROM part WHERE {_SEEN}"
+    f" origin_countries, p_size || '/' || p_type || '|' || (p_size + 1) || '/' || CASE WHEN {_P} % 2 = 0 THEN 'second'"
+    f" ELSE '' END AS genres, CASE WHEN {_P} % 5 <> 0 THEN {_P} % 7 || '/co' || {_P} % 7 || '/-/US|100/' || p_brand ||"
+    f" '/-/-' ELSE '' END AS production_companies, CASE WHEN {_P} % 4 <> 0 THEN 'en/English/English|l' || {_P} % 3 ||"
+    f" '/-/other' ELSE '' END AS spoken_languages FROM part WHERE {_SEEN}"
 )
 
 

@@ -485,9 +485,16 @@ def _tv(t):
 
 @query
 def flatten_movies_json(t):
+    def listed(column: str, *fields: str):
+        """Every entry's fields, joined; a missing field is ``-``."""
+        one = lambda x: F.concat_ws("/", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])
+        return F.array_join(F.transform(column, one), "|").alias(column)
+
     return _movies(t).titles.select(
         "movie_id", "title", "release_date", "runtime_minutes", "status", "popularity", "poster_path",
-        "origin_countries", F.col("genres")[0]["id"].alias("genre_id"), F.col("genres")[0]["name"].alias("genre"),
+        "origin_countries", listed("genres", "id", "name"),
+        listed("production_companies", "id", "name", "logo_path", "origin_country"),
+        listed("spoken_languages", "iso_639_1", "english_name", "name"),
     )
 
 

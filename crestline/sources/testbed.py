@@ -315,7 +315,12 @@ class Testbed:
         )
         return (
             f"'status', 'Planned', 'popularity', p_retailprice, 'poster_path', concat('/p', {p}, '.jpg'),"
-            " 'genres', array(named_struct('id', p_size, 'name', p_type)),"
+            " 'genres', array(named_struct('id', p_size, 'name', p_type), named_struct('id', p_size + 1, 'name',"
+            f" case when {p} % 2 = 0 then 'second' end)), 'production_companies', case when {p} % 5 <> 0 then"
+            f" array(named_struct('id', {p} % 7, 'name', concat('co', {p} % 7), 'origin_country', 'US'),"
+            f" named_struct('id', 100, 'name', p_brand, 'origin_country', cast(null as string))) end,"
+            f" 'spoken_languages', case when {p} % 4 <> 0 then array(named_struct('iso_639_1', 'en', 'english_name',"
+            f" 'English', 'name', 'English'), named_struct('iso_639_1', concat('l', {p} % 3), 'english_name', cast(null as string), 'name', 'other')) end,"
             f" 'production_countries', array(named_struct('iso_3166_1', concat('C', {p} % 9)),"
             " named_struct('iso_3166_1', ''), named_struct('iso_3166_1', 'ZZ')),"
             f" 'watch/providers', {providers}, 'credits', named_struct('cast', {cast}, 'crew', {crew})"
