@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from crestline.llm.chat_format import op6_chat_formatting
 from crestline.llm.curve_packing import op11_curve_packing
-from crestline.llm.decontamination import OP10_SQL, decontamination_near, op10_decontamination
+from crestline.llm.decontamination import NEAR_SQL, OP10_SQL, decontamination_near, op10_decontamination
 from crestline.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from crestline.llm.language_id import op4_language_id
 from crestline.llm.licenses import OP9_SQL, op9_license_scan
@@ -27,5 +27,5 @@ QUERIES = {
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = {
     "op7_quality_rules": OP7_SQL, "op9_license_scan": OP9_SQL, "op10_decontamination": OP10_SQL,
-    "op12_hard_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL, "quality_ablations": ABLATIONS_SQL,
+    "op12_hard_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL, "quality_ablations": ABLATIONS_SQL, "decontamination_near": NEAR_SQL,
 }

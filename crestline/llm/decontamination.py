@@ -26,6 +26,8 @@ WINDOW, ANCHORS = 13, 2
 NEAR_TERMS, NEAR_SPAN = 3, 20
 #: rows of item-side tables up to which they are broadcast; larger ones are shuffled
 BROADCAST_ROWS = 200_000
+#: and with texts, if they hold at most this many words (some 40 MB)
+BROADCAST_WORDS = 2_000_000
 
 
 def plain(text: Column) -> Column:
@@ -63,10 +65,8 @@ def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def item_terms(items: DataFrame) -> DataFrame:
-    """``item, n, span, ip, term``: the positions of the items."""
-    return items.select("item", "n", "span", F.posexplode("words").alias("ip", "word")).select(
-        "item", "n", "span", "ip", F.xxhash64("word").alias("term")
-    )
+    """``item, n, span, ip, word, term``: the positions of the items."""
+    return items.select("item", "n", "span", F.posexplode("words").alias("ip", "word")).withColumn("term", F.xxhash64("word"))
 
 
 def build_index(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,9 +157,9 @@ def proximity_matches(index: DataFrame, ranked: DataFrame, terms: int = NEAR_TER
     Ranked are the terms that some text holds; items with fewer of them have none. One row per place where the
     last of the terms falls in.
     """
-    by_item = W.partitionBy("item").orderBy("cf", "term")
+    by_item = W.partitionBy("item").orderBy("cf", "word")
     rare = (
-        ranked.where("cf > 0").groupBy("item", "term").agg(F.min("cf").alias("cf")).withColumn("k", F.row_number().over(by_item))
+        ranked.where("cf > 0").groupBy("item", "term").agg(F.min("cf").alias("cf"), F.min("word").alias("word")).withColumn("k", F.row_number().over(by_item))
         .where(F.col("k") <= terms).withColumn("have", F.max("k").over(W.partitionBy("item")))
         .where(F.col("have") == terms).select("item", "term", "k")
     )
@@ -232,16 +232,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``op10_decontamination`` with the proximity matches, which its SQL, and so its columns, do not have."""
+    """``op10_decontamination`` with the proximity matches: how many items, and where, as ``item:first-last``."""
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    place = lambda s: F.concat(s["item_id"], F.lit(":"), s["first"].cast("string"), F.lit("-"), s["last"].cast("string"))
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
-        F.col("near_items").cast("bigint").alias("near_items"), "near_spans",
+        F.col("near_items").cast("bigint").alias("near_items"), F.array_join(F.transform("near_spans", place), ",").alias("near_spans"),
     )
 
 
-OP10_SQL = r"""
+_EXACT = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -257,9 +258,23 @@ spans AS (SELECT doc_id, k, i, array_to_string(w[i + 1:i + k], ' ') AS s
 occ AS (SELECT doc_id, item_id, i, spans.k FROM spans JOIN wins ON spans.k = wins.k AND spans.s = wins.s),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)"""
+_COLUMNS = """SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
-"""
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated"""
+_FROM = "FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"
+OP10_SQL = f"{_EXACT} {_COLUMNS} {_FROM}"
+NEAR_SQL = f"""{_EXACT},
+placed AS (SELECT doc_id, w[p + 1] AS word, p FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM d)),
+cf AS (SELECT word, count(*) AS cf FROM placed GROUP BY word),
+rare AS (SELECT item_id, word, row_number() OVER (PARTITION BY item_id ORDER BY cf, word) AS k
+         FROM (SELECT DISTINCT item_id, unnest(w) AS word FROM b) JOIN cf USING (word) QUALIFY k <= {NEAR_TERMS}),
+few AS (SELECT * FROM rare WHERE item_id IN (SELECT item_id FROM rare GROUP BY item_id HAVING count(*) = {NEAR_TERMS})),
+near AS (SELECT doc_id, item_id, p, {", ".join(f"max(p) FILTER (k = {i + 1}) OVER up AS p{i}" for i in range(NEAR_TERMS))}
+         FROM placed JOIN few USING (word) WINDOW up AS (PARTITION BY doc_id, item_id ORDER BY p)),
+met AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item, least({", ".join(f"p{i}" for i in range(NEAR_TERMS))}) AS first, p AS last
+        FROM near WHERE {" AND ".join(f"p{i} IS NOT NULL" for i in range(NEAR_TERMS))}),
+spots AS (SELECT doc_id, count(DISTINCT item) AS near_items, string_agg(item || ':' || first || '-' || last, ',' ORDER BY item, first, last) AS near_spans
+          FROM met WHERE last - first < {NEAR_SPAN} GROUP BY doc_id)
+{_COLUMNS}, coalesce(near_items, 0) AS near_items, coalesce(near_spans, '') AS near_spans
+{_FROM} LEFT JOIN spots USING (doc_id)"""

@@ -104,7 +104,7 @@ def test_join_paths_beyond_the_broadcast_bound_agree(spark, monkeypatch):
     bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     key = lambda rows: sorted(map(str, rows))
     first = key(decontamination.contamination(df, bench).collect())
-    monkeypatch.setattr(decontamination, "small", lambda d, rows=0: d)
+    monkeypatch.setattr(decontamination, "small", lambda d, rows=0, texts=None: d)
     assert key(decontamination.contamination(df, bench).collect()) == first
 
 
