@@ -124,12 +124,31 @@ def test_proximity_leaves_out_terms_that_no_text_holds(spark):
     assert got == {1: (1, [("1", 0, 4)], False), 2: (0, [], False)}
 
 
+def test_proximity_equals_sql(spark, tmp_path, ids_only):
+    rows = ids_only + [(9500 + i, t, "en", "s", 1, 1, "w", 2, 0.5, "d", 3) for i, t in enumerate(["word of five same line", "straße Word same"])]
+    names = [c.split()[0] for c in edge.DDL.split(", ")]
+    spark.createDataFrame(rows, edge.DDL).select(*names).write.parquet(f"{tmp_path}/documents.parquet")
+    # an item id names one text: the SQL ranks words per id
+    items = [(1, ITEMS[0][1]), (2, ITEMS[1][1]), (3, "Word"), (6, "same line of five words"), (7, "not to be found"), (8, None)]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = contract.queries()["decontamination_near"](spark, str(tmp_path))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    result = con.execute(decontamination.NEAR_SQL)
+    columns = [c[0] for c in result.description]
+    want = [tuple(r) for r in result.fetchall()]
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted((tuple(r) for r in got.select(*columns).collect()), key=str) == sorted(want, key=str)
+    assert sum(r.near_items for r in got.collect()) > 2
+
+
 def test_a_registered_query_returns_proximity_matches(spark, tmp_path):
     spark.createDataFrame([(1, "alpha beta gamma")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(1, "gamma x alpha y beta"), (2, "alpha")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     near = contract.queries()["decontamination_near"](spark, str(tmp_path))
     exact = contract.queries()["op10_decontamination"](spark, str(tmp_path))
-    assert {r.doc_id: (r.near_items, r.near_spans) for r in near.collect()} == {1: (1, [("1", 0, 4)]), 2: (0, [])}
+    assert {r.doc_id: (r.near_items, r.near_spans) for r in near.collect()} == {1: (1, "1:0-4"), 2: (0, "")}
     assert sorted(near.select(*exact.columns).collect()) == sorted(exact.collect())
 
 
