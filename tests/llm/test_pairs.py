@@ -75,23 +75,17 @@ def normal(line):
 
 
 def wanted_lines(rows):
-    """Positions dropped per (doc_id, text): the definition, pair by pair."""
+    """Positions dropped per (doc_id, text): plain edit similarity, pair by pair."""
     spots = {}
     for doc_id, text in {(r[0], r[1]) for r in rows}:
         for pos, line in enumerate((text or "").split("\n") if text is not None else []):
             if len(normal(line)) >= 5:
                 spots.setdefault(tuple(normal(line)), []).append((doc_id is None, doc_id or 0, pos, (doc_id, text)))
     lines = list(spots)
-    prints = [edge.majority([edge.xxh(w) for w in set(x)]) for x in lines]
-    cut = [round(i * 64 / 5) for i in range(6)]
-    near = []
-    for i in range(len(lines)):
-        for j in range(i):
-            diff = prints[i] ^ prints[j]
-            shared = sum((diff >> cut[k]) & ((1 << (cut[k + 1] - cut[k])) - 1) == 0 for k in range(5))
-            most = max(len(lines[i]), len(lines[j]))
-            if shared >= 2 and diff.bit_count() <= 14 and edge.edits(lines[i], lines[j]) <= 0.2 * most + 1e-9:
-                near.append((i, j))
+    near = [
+        (i, j) for i in range(len(lines)) for j in range(i)
+        if edge.edits(lines[i], lines[j]) <= 0.2 * max(len(lines[i]), len(lines[j])) + 1e-9
+    ]
     root, groups = edge.union(len(lines), near), {}
     for i, x in enumerate(lines):
         groups.setdefault(root[i], []).extend(spots[x])
