@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crestline.functions import scalars as fn
@@ -234,8 +234,13 @@ def merge_discovered_items(items: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def first_listings(listings: DataFrame, key: str) -> DataFrame:
-    """One listing per title: regions are walked in order, the first sighting stays."""
-    return latest(listings, [key], [F.col("region_order"), F.col("position")])
+    """One listing per title: regions are walked in order, the first sighting stays.
+
+    A first sighting is one with none before it. Put so, no task that reads listings sorts their documents to cut
+    them early, which rarely drops any; each is sorted with its title's other sightings only.
+    """
+    before = F.lag(F.lit(True)).over(Window.partitionBy(key).orderBy("region_order", "position"))
+    return listings.withColumn("_before", before).filter(F.col("_before").isNull()).drop("_before")
 
 
 def first_documents(listings: DataFrame, key: str) -> DataFrame:

@@ -1,12 +1,15 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from crestline.catalog.queries import QUERIES
 from crestline.plans import ingest
 from crestline.schemas import TABLES, violations
 from crestline.session import stored
 from crestline.sources import payloads as raw
+from crestline.sources import testbed
 from crestline.sources.testbed import Testbed
 
 TODAY = "2024-01-30"
@@ -184,6 +187,54 @@ def test_stored_documents_are_read_once(spark, tmp_path):
         assert got[0] == got[1] and got[0], name
 
 
+def test_first_listings_sort_no_documents_before_titles_meet(spark):
+    listings = spark.createDataFrame(
+        [(1, 0, 5, "later region"), (0, 3, 5, "later place"), (0, 1, 5, "first"), (0, 1, 5, "first"), (None, None, None, "unnamed"),
+         (2, 2, None, "unnamed, later"), (7, 7, 6, "only")],
+        "region_order int, position int, movie_id bigint, details string",
+    )
+    first = ingest.first_listings(listings, "movie_id")
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan and plan.count("Sort [") == 1, plan
+    assert first.columns == listings.columns
+    assert sorted(r.details for r in first.collect()) == ["first", "only", "unnamed"]
+
+
+DOCUMENT_QUERIES = (
+    "discovery_merge", "flatten_movie_items_json", "flatten_credits_json", "flatten_movies_json", "flatten_providers_json",
+    "flatten_tv_items_json", "flatten_seasons_json", "flatten_shows_json",
+)
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """Few parts and customers; part keys repeat and one is null."""
+    spark.range(120).selectExpr(
+        "if(id = 119, null, if(id = 118, 117, id)) as p_partkey", "concat('part ', least(id, 117)) as p_name", "'Brand#1' as p_brand",
+        "'LARGE' as p_type", "cast(least(id, 117) % 50 + 1 as int) as p_size", "900D + least(id, 117) as p_retailprice",
+    ).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(40).selectExpr("id as c_custkey", "concat('c', id) as c_name", "'FURNITURE' as c_mktsegment").write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", DOCUMENT_QUERIES)
+def test_documents_are_flattened_in_tasks_of_so_many_titles(spark, star, monkeypatch, name):
+    monkeypatch.setattr(testbed, "TITLES", 50, raising=False)
+    plan = QUERIES[name](spark, star)._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"hashpartitioning\(p_partkey#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)) == {"3"}, plan
+
+
+@pytest.mark.parametrize("name", ["discovery_merge", "flatten_credits_json", "flatten_tv_items_json"])
+def test_the_number_of_tasks_changes_no_row(spark, star, monkeypatch, name):
+    got = []
+    for titles in (50, 5_000):
+        monkeypatch.setattr(testbed, "TITLES", titles, raising=False)
+        got.append(sorted(map(str, QUERIES[name](spark, star).collect())))
+    assert got[0] == got[1] and len(got[0]) > 40
+
+
 def test_rediscovery_leaves_managed_columns_alone(spark):
     known = items_table(spark, {"item_id": "v1", "tracking_status": "ended", "name": "old", "comments_disabled": True})
     listings = spark.createDataFrame(
