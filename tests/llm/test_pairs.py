@@ -176,3 +176,33 @@ def test_grams_suffice_at_every_length(similarity):
         (q,) = [q for q, low, high in ranges if low <= m and (high is None or m <= high)]
         edits = int((1 - similarity) * m + 1e-9)
         assert all(n - q + 1 >= q * edits + 1 for n in range(5, m + 1) if n >= similarity * m - 1e-9)
+
+
+@pytest.mark.parametrize("similarity", [0.6, 0.8, 0.9])
+def test_near_lines_share_one_of_few_first_grams(spark, similarity):
+    turn = random.Random(7)
+    vocab = [f"w{i}" for i in range(60)]
+    lines = []
+    for n in [5, 6, 8, 10, 13, 16, 21, 26, 40, 48] * 4:
+        base = [turn.choice(vocab) for _ in range(n)]
+        lines += [base, edited(turn, base, int(n * (1 - similarity) + 1e-9)), base + [f"e{i}" for i in range(int(n / similarity + 1e-9) - n)]]
+    lines = [x for x in lines if len(x) >= 5]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id bigint, text string")
+    tokens = line_dedup.tokens_of(df, "doc_id", "text")
+    bits = F.from_json(F.lit(str(line_dedup.common_grams(tokens))), "array<bigint>")
+    cut = line_dedup.with_cuts(tokens, bits, similarity).localCheckpoint()
+    name = {" ".join(x): i for i, x in enumerate(lines)}
+    at = {r.line: name[r.text] for r in df.select("text", F.xxhash64("text").alias("line")).collect()}
+    files = {i: [] for i in at.values()}
+    for r in line_dedup.gram_keys(cut, bits, similarity).collect():
+        files[at[r.line]].append(r.file)
+    near = 0
+    for i in files:
+        for j in files:
+            m = max(len(lines[i]), len(lines[j]))
+            if i < j and min(len(lines[i]), len(lines[j])) >= similarity * m - 1e-9 and edge.edits(lines[i], lines[j]) <= int((1 - similarity) * m + 1e-9):
+                near += 1
+                assert set(files[i]) & set(files[j])
+    assert near > 40
+    if similarity == 0.8:  # 37 before: as if the longest partner's edits all spoiled three grams
+        assert max(len(set(files[i])) for i in files if len(lines[i]) == 48) == 29
