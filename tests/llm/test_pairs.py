@@ -1,5 +1,7 @@
+import glob
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 import edge
 from crestline.llm import line_dedup, simhash_dedup
+from crestline.llm.common import written
 from crestline.llm.components import components
 
 
@@ -206,3 +209,17 @@ def test_near_lines_share_one_of_few_first_grams(spark, similarity):
     assert near > 40
     if similarity == 0.8:  # 37 before: as if the longest partner's edits all spoiled three grams
         assert max(len(set(files[i])) for i in files if len(lines[i]) == 48) == 29
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return sum(len(glob.glob(f"{d}/**/shuffle_*", recursive=True)) for d in root)
+
+    before = shuffled()
+    df = written(spark.range(1000).withColumn("k", F.xxhash64("id")).repartition(7, "k").groupBy("k").count(), "left-over")
+    deadline = time.time() + 20
+    while shuffled() > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert df.count() == 1000
