@@ -2,6 +2,7 @@ import glob
 import random
 import re
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -172,6 +173,38 @@ def test_every_pair_of_the_similarity_is_linked(spark):
         assert {r.doc_id: r.dropped for r in line_dedup.dedup_lines(df, short=short).collect()} == want
 
 
+def test_line_tables_go_when_they_are_read(spark):
+    """Of all the tables of a run the dropped positions alone are kept, whether or not there are long files."""
+    from crestline.session import shared_dir
+
+    made = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("line*")}
+    rows, before = edge.rows() + family(), made()
+    for short in (4, 1000):
+        line_dedup.dedup_lines(edge.frame(spark, rows), short=short).collect()
+    kept = made() - before
+    assert len(kept) == 2 and all(name.startswith("line-dropped-") for name in kept)
+
+
+def test_grams_are_dealt_once_a_turn(spark):
+    """``line-grams`` has every file of two lines or more: a pair as one row, longer ones by member."""
+    texts = ["a b c d e f g h i j k l", "x b c d e f g h i j k l", "a b c d e f g h i j k z", "q r s t u v w"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    files, tokens = line_dedup.gram_files(df, "doc_id", "text", 0.8)
+    assert len(files) == line_dedup.TURNS
+    bits = F.from_json(F.lit(str([0] * (line_dedup.COMMON_BITS // 64))), "array<bigint>")
+    want = {}
+    for r in line_dedup.gram_keys(tokens, bits, 0.8).collect():
+        want.setdefault(r.file, set()).add(r.line)
+    got = [r for f in files for r in f.collect()]
+    pairs = sorted((r.line, r.mate) for r in got if r.mate is not None)
+    assert pairs == sorted(tuple(sorted(v)) for v in want.values() if len(v) == 2)
+    longer = {}
+    for r in got:
+        if r.mate is None:
+            longer.setdefault(r.file, set()).add(r.line)
+    assert longer == {k: v for k, v in want.items() if len(v) > 2} and longer
+
+
 @pytest.mark.parametrize("similarity", [0.6, 0.7, 0.8, 0.9, 0.95])
 def test_grams_suffice_at_every_length(similarity):
     ranges = line_dedup.gram_ranges(similarity)
