@@ -152,6 +152,21 @@ def test_a_registered_query_returns_proximity_matches(spark, tmp_path):
     assert sorted(near.select(*exact.columns).collect()) == sorted(exact.collect())
 
 
+def test_op10_finds_proximity_matches_too(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "alpha beta gamma")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "gamma x alpha y beta"), (2, "alpha")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made, written = {}, decontamination.written
+
+    def kept(df, label):
+        made[label] = written(df, label)
+        return made[label]
+
+    monkeypatch.setattr(decontamination, "written", kept)
+    got = {r.doc_id: (r.n_hit, r.contaminated) for r in contract.queries()["op10_decontamination"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, False), 2: (0, False)}
+    assert {r.doc_id: (r.near_items, r.near_spans) for r in made["contamination"].collect()} == {1: (1, [("1", 0, 4)]), 2: (0, [])}
+
+
 def test_ablations_count_by_masks(spark):
     entries = spark.createDataFrame([(0,), (1,), (1,), (3,), (4,), (12,)], "failed bigint")
     got = {(r.policy, r.rule): (r.failing, r.only, r.dropped) for r in quality_rules.ablations(entries).collect()}
